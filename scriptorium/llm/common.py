@@ -40,7 +40,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

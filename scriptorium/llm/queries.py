@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, token_file, warc
+from . import html_text, langid, packing, token_file, warc
 
 QUERIES = {
     "op1_token_file": token_file.op1_token_file,
     "op2_warc": warc.op2_warc,
+    "op4_language_id": langid.op4_language_id,
     "op6_packing": packing.op6_packing,
+    "op7_html_text": html_text.op7_html_text,
 }
 ORACLE_SQL = {"op2_warc": warc.OP2_SQL}
