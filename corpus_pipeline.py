@@ -1,15 +1,32 @@
-"""The document pipeline: language ID, quality rules, near-duplicate removal, packing."""
+"""The document pipeline: language ID, quality rules, near-duplicate removal, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on every row that its predecessor kept; between stages the documents are
+written as Parquet to the shared folder and read again, so a lost executor repeats part of one stage at most. All stages
+but the last return the columns of documents; the last returns the packed pieces with their token ids.
+No SQL can express the trained network or the tokeniser, so ORACLE_SQL is None and the tests compare with brute force.
+"""
 
 from __future__ import annotations
 
-from scriptorium.llm.packing import pack_documents
+from pyspark.sql import DataFrame, SparkSession
+
+from scriptorium.llm.common import materialise, table
+from scriptorium.llm.jaccard import near_duplicate_stage
+from scriptorium.llm.langid import language_stage
+from scriptorium.llm.packing import packing_stage
+from scriptorium.llm.quality import quality_stage
 
-STAGES = [("packing", lambda spark, docs, sf_dir: pack_documents(docs))]
+STAGES = [
+    ("language_id", language_stage),
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("packing", packing_stage),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -137,3 +137,8 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pipeline's last stage: pieces with their token ids."""
+    return pack_documents(docs)

@@ -31,7 +31,7 @@ SPREADS, MIN_GROUP, BROADCAST_ROWS = 10, 100, 50_000
 #: Measure: (expression over the counts, least quartile distance, fenced below too).
 MEASURES = {
     "symbol_share": ("n_symbols / greatest(word_chars, 1)", 0.006, False),
-    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", 0.03, False),
+    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", 0.05, False),
     "repeat_share": ("n_repeat_words / greatest(n_words, 1)", 0.03, False),
     "word_length": ("word_chars / greatest(n_words, 1)", 0.15, True),
 }
@@ -153,8 +153,8 @@ def _sql() -> str:
             inside.append(f"{e} >= {k}_least")
     return rf"""
 WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
-        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents),
 p AS (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS win
     FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),

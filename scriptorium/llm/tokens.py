@@ -16,8 +16,8 @@ import pyarrow as pa
 
 from .common import text_bytes
 
-#: Distinct chunks kept at a time; the cache is emptied beyond it, which bounds a worker's memory to some 150 MB.
-CACHE_CHUNKS = 1_800_000
+#: Distinct chunks kept at a time; the cache is emptied beyond it, which bounds a worker's memory to some 100 MB.
+CACHE_CHUNKS = 1_000_000
 #: Longest chunk that is cached, in bytes (a multiple of 8).
 KEY_BYTES = 32
 #: Bytes of text handled at once (a longer single text is handled alone).
@@ -33,6 +33,9 @@ _ODD[[0, 9, 11, 12, 13, 28, 29, 30, 31]] = True
 class BatchEncoder:
     """Ids of many texts at once. One for each Python worker (see ``encoder``)."""
 
+    #: Whether a text's first chunk is encoded unlike the same chunk elsewhere.
+    prefixed = False
+
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -55,6 +58,12 @@ class BatchEncoder:
     def direct(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks one after another, number of ids of each)."""
+        got = self.direct(chunks)
+        lens = np.fromiter(map(len, got), np.int32, len(got))
+        return np.fromiter((i for x in got for i in x), self.dtype, int(lens.sum())), lens
+
     def _hash(self, keys: np.ndarray) -> np.ndarray:
         h = keys[0] * _MULT[0]
         for k, m in zip(keys[1:], _MULT[1:]):
@@ -85,14 +94,12 @@ class BatchEncoder:
             self.keys = np.concatenate([self.keys, np.zeros_like(self.keys)], axis=1)
         self.keys[:, n : n + m] = keys
         for at in range(0, m, 8192):
-            got = self.direct(texts[at : at + 8192])
-            lens = np.fromiter(map(len, got), np.int32, len(got))
-            flat = np.fromiter((i for x in got for i in x), self.dtype, int(lens.sum()))
+            flat, lens = self.chunk_ids(texts[at : at + 8192])
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[self.used : self.used + len(flat)] = flat
-            self.starts[n + at : n + at + len(got)] = self.used + np.cumsum(lens) - lens
-            self.lens[n + at : n + at + len(got)] = lens
+            self.starts[n + at : n + at + len(lens)] = self.used + np.cumsum(lens) - lens
+            self.lens[n + at : n + at + len(lens)] = lens
             self.used += len(flat)
         at, mask, left = self._hash(keys), len(self.slot) - 1, np.arange(m)
         while len(left):
@@ -120,6 +127,8 @@ class BatchEncoder:
         wide = lead[((first == 0xC2) & ((two == 0x85) | (two == 0xA0))) | ((first == 0xE1) & (two == 0x9A)) | ((first == 0xE2) & (((two == 0x80) & ((three < 0x8B) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF))) | ((two == 0x81) & (three == 0x9F)))) | ((first == 0xE3) & (two == 0x80) & (three == 0x80))]
         where = np.concatenate([bad, pair, wide])
         odd = np.zeros(len(starts), bool)
+        if self.prefixed and len(full):
+            odd[full] = space[starts[full]]
         if len(where) and len(full):
             odd[full[np.searchsorted(starts[full], where, "right") - 1]] = True
         head = space
@@ -153,11 +162,9 @@ class BatchEncoder:
         if long.any():
             raw, at = b.tobytes(), np.flatnonzero(long)
             texts = [raw[i : i + s].decode() for i, s in zip(begin[at].tolist(), size[at].tolist())]
-            known = dict.fromkeys(texts)
-            ids = dict(zip(known, self.direct(list(known))))
-            n_ids[at] = [len(ids[t]) for t in texts]
+            got, n_ids[at] = self.chunk_ids(texts)
             src[at] = len(self.ids) + np.cumsum(n_ids[at]) - n_ids[at]
-            store = np.concatenate([self.ids, np.array([i for t in texts for i in ids[t]], self.dtype)])
+            store = np.concatenate([self.ids, got])
         ends_ = np.cumsum(n_ids)
         flat = store[np.arange(ends_[-1] if len(ends_) else 0) + np.repeat(src - (ends_ - n_ids), n_ids)]
         sizes = np.bincount(owner, n_ids, len(starts)).astype(np.int64)
