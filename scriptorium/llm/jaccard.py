@@ -249,7 +249,8 @@ def verified_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str,
     member = rows.join(buckets, ["band", "h"]).groupBy("rep").agg(F.collect_list(F.struct("band", "h", "m")).alias("buckets"))  # at most one for each band
     member = materialise(member.join(reps.select("rep", "size"), "rep"), "members")
     own = docs.select(F.col(id_col).cast("long").alias("rep"), F.lower(text_col).alias("t")).filter("t is not null")
-    sent = own.join(member, "rep").withColumn("b", F.explode("buckets"))
+    # texts meet their classes by shuffle at every size: both sides grow with the input
+    sent = own.join(member.hint("merge"), "rep").withColumn("b", F.explode("buckets"))
     blocks = F.ceil(F.col("b.m") / block).cast("int")
     sent = sent.withColumns({"nb": blocks, "own": F.pmod(F.xxhash64("rep", F.lit("b")), blocks).cast("int")})
     sent = sent.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
