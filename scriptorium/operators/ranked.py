@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -123,14 +124,19 @@ def contiguous_scan(rows: DataFrame, folded: str, fold_col: str = "body_fold") -
 def max_sim(items: DataFrame, vectors: DataFrame, query_words: list[str], limit: int = SEMANTIC_LIMIT) -> DataFrame:
     """position, score of the items nearest in meaning: for each query word the best cosine over an item's words, then the
     mean. items: position, words; vectors: word, vector (zero vectors are dropped). Cosines are worked out once a word."""
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    unit = vectors.withColumn("n", norm).filter("n > 0").select("word", F.transform("vector", lambda x: x.cast("double") / F.col("n")).alias("u"))
-    asked = vectors.sparkSession.createDataFrame([(i, w) for i, w in enumerate(query_words)], "q int, word string")
-    known = {r["q"]: r["u"] for r in asked.join(unit, "word").select("q", "u").collect()}  # a vector for each query word
+    asked = vectors.sparkSession.createDataFrame([(i, w) for i, w in enumerate(query_words)], "q int, asked string")
+    found = vectors.join(F.broadcast(asked), F.col("word") == F.col("asked")).select("q", "vector").collect()  # one for each query word
+    known = {}
+    for r in found:
+        length = math.sqrt(sum(float(x) ** 2 for x in r["vector"]))
+        if length > 0:
+            known[r["q"]] = [float(x) / length for x in r["vector"]]
     if not known:
         return items.limit(0).select("position", F.lit(0.0).alias("score"))
-    dot = lambda v: F.aggregate(F.zip_with("u", F.array(*map(F.lit, v)), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    cosines = unit.select("word", *(dot(v).alias(f"c{q}") for q, v in known.items()))
+    # sums of products written out, so that they are compiled
+    part = [F.col("vector")[i].cast("double") for i in range(len(next(iter(known.values()))))]
+    cosines = vectors.withColumn("n", F.sqrt(sum((x * x for x in part[1:]), part[0] * part[0]))).filter("n > 0")
+    cosines = cosines.select("word", *((sum((x * c for x, c in zip(part[1:], v[1:])), part[0] * v[0]) / F.col("n")).alias(f"c{q}") for q, v in known.items()))
     pairs = items.select("position", F.explode(F.array_distinct("words")).alias("word")).join(cosines, "word")
     per = pairs.groupBy("position").agg(*(F.max(f"c{q}").alias(f"c{q}") for q in known))
     scored = per.select("position", (sum(F.col(f"c{q}") for q in known) / len(known)).alias("score"))

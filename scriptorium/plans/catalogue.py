@@ -1,10 +1,502 @@
-"""Registered queries on the standard tables, each with its SQL."""
+"""Registered queries on the standard tables, each over whole tables and whole texts, with the SQL it is compared with.
+
+The standard tables stand in for a collection: a source is a book, a document's place in its source is its row, ten rows
+are a chapter whose title is the first line of its first document, labels are gradings, shifted copies are donors.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import marks as M
+from ..functions import text as T
+from ..functions import words as W
+from ..operators import linkage as L
+from ..operators import ordered as O
+from ..operators import ranked as R
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+# Words that keep a record out of the daily selection.
+BLOCKED = "kill killed killing kills killer fight fights fighting fought violence violent violently murder murdered murderer murders slay slays slain slaying slew slaughter slaughtered slaughtering battle battles war wars warfare slave slaves slavery enslave enslaved slavegirl slavegirls captive captives hit hits hitting beat beats beaten beating strike strikes struck striking smite smote smitten whip whips whipped lash lashes lashed stoned stoning flog flogged flogging wounded bloodshed".split()
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents")
+
+
+def _rows(spark: SparkSession, d: str) -> DataFrame:
+    return O.positions(_docs(spark, d).withColumnRenamed("source", "book"), "book", "doc_id")
+
+
+def _en(x: str) -> str:
+    return rf"lower(regexp_replace({x}, '[\p{{P}}\p{{S}}\p{{M}}]', '', 'g'))"
+
+
+def _norm(x: str) -> str:
+    return rf"regexp_replace(regexp_replace(lower({x}), '[^a-z0-9]', '', 'g'), '{T.HONORIFICS}', '', 'g')"
+
+
+ROWS = "SELECT source AS book, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS row, * FROM documents"
+WORDS = rf"list_filter(string_split_regex({_en('text')}, '\s+'), lambda w: regexp_full_match(w, '[a-z]{{4,24}}'))"
+VOCABULARY = f"SELECT DISTINCT unnest({WORDS}) AS word FROM documents"
+
+# functions
+
+
+@query(f"SELECT doc_id, {_en('text')} AS fold FROM documents")
+def fold_english(spark, d):
+    return _docs(spark, d).select("doc_id", T.fold_english(F.col("text")).alias("fold"))
+
+
+ARABIC_LEAD = "أَحْمَدُ & إلى  الْمَدِينَةِ،ء "
+
+
+@query(rf"""SELECT doc_id, regexp_replace(trim(regexp_replace(lower(regexp_replace(translate('{ARABIC_LEAD}' || text, '{T.ARABIC_FROM}', '{T.ARABIC_TO}'),
+    '[^\P{{P}}&!#]|[^\P{{S}}|]|\p{{M}}', '', 'g')), '[\t\n\x0B\f\r\x{{85}}\x{{2028}}\x{{2029}}\p{{Zs}}]+', ' ', 'g')), '[\x{{64B}}-\x{{65F}}\x{{6D6}}-\x{{6ED}}\x{{670}}\x{{674}}]', '', 'g') AS fold FROM documents""")
+def fold_arabic_probe(spark, d):
+    return _docs(spark, d).select("doc_id", T.fold_arabic(F.concat(F.lit(ARABIC_LEAD), "text")).alias("fold"))
+
+
+_CLEAN = r"""CASE WHEN regexp_matches({0}, '[\n\t\r\x{{A0}}]|  ') THEN trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '\r\n?', chr(10), 'g'),
+    '[\t\x{{A0}}]', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{2,}}', chr(8233), 'g'), '\n', ' ', 'g'), ' {{2,}}', ' ', 'g'), ' ?\x{{2029}} ?', chr(10) || chr(10), 'g'), ' ' || chr(10)) ELSE {0} END"""
+
+
+@query("WITH t AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT conv_id * 1000 + turn, '  ' || role || chr(9) || chr(13) || chr(10) || chr(10) || text FROM conversations) SELECT id, " + _CLEAN.format("text") + " AS cleaned FROM t")
+def clean_whitespace(spark, d):
+    turns = _t(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.concat(F.lit("  "), "role", F.lit("\t\r\n\n"), "text").alias("text"))
+    return _docs(spark, d).select(F.col("doc_id").alias("id"), "text").unionByName(turns).select("id", T.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query(f"SELECT doc_id, {_norm('text')} AS key FROM documents")
+def norm_key(spark, d):
+    return _docs(spark, d).select("doc_id", T.norm_key(F.col("text")).alias("key"))
+
+
+@query(f"SELECT md5({_norm('text')}) AS key, count(*) AS docs, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def norm_duplicate_groups(spark, d):
+    return _docs(spark, d).groupBy(F.md5(T.norm_key(F.col("text")).cast("binary")).alias("key")).agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_id")).filter("docs > 1")
+
+
+_SCARRED = "'pre [x] ' || text || ' [y]  post .'"
+
+
+@query(rf"SELECT doc_id, regexp_replace({_SCARRED}, '\[[^\n]*\]', '', 'g') AS stripped, regexp_matches({_SCARRED}, '[a-zA-Z\)\]\"\x{{201D}}]\s+[.,:;]|[a-z]  +[a-zA-Z]') AS scarred, len(regexp_extract_all({_SCARRED}, '\[[^\]]*\]')) AS spans FROM documents")
+def greedy_strip(spark, d):
+    s = F.concat(F.lit("pre [x] "), "text", F.lit(" [y]  post ."))
+    return _docs(spark, d).select("doc_id", T.greedy_strip(s).alias("stripped"), T.looks_scarred(s).alias("scarred"), F.size(T.bracket_spans(s)).cast("long").alias("spans"))
+
+
+_PROOF = "'[a] ' || text || ' [b] mid [c] ' || lang || ' end'"
+
+
+@query(rf"""WITH p AS (SELECT doc_id, string_split_regex({_PROOF}, '\[[^\]]*\]') AS s, {_norm("text || ' ' || lang || ' end'")} AS target, {_norm("text || ' end'")} AS wrong FROM documents),
+k AS (SELECT *, [{_norm("array_to_string(list_filter(s, lambda x, j: j = 1 OR j = len(s) OR (m >> (j - 2)) & 1 = 1), '')")} FOR m IN range(0, (1 << (len(s) - 2))::BIGINT)] AS keys FROM p WHERE len(s) BETWEEN 2 AND 13)
+SELECT doc_id, coalesce(list_contains(keys, target), FALSE) AS proved, coalesce(list_contains(keys, wrong), FALSE) AS proved_wrong FROM p LEFT JOIN (SELECT doc_id, keys FROM k) USING (doc_id)""")
+def bracket_proof(spark, d):
+    s = F.concat(F.lit("[a] "), "text", F.lit(" [b] mid [c] "), "lang", F.lit(" end"))
+    own = _docs(spark, d).select("doc_id", s.alias("s"), T.norm_key(F.concat_ws(" ", "text", "lang", F.lit("end"))).alias("target"), T.norm_key(F.concat(F.col("text"), F.lit(" end"))).alias("wrong"))
+    return own.select("doc_id", T.provable(F.col("s"), F.col("target")).alias("proved"), T.provable(F.col("s"), F.col("wrong")).alias("proved_wrong"))
+
+
+@query(rf"SELECT doc_id, regexp_matches(text || CASE WHEN doc_id % 7 = 0 THEN chr(1593) ELSE '' END, '[\x{{600}}-\x{{6FF}}\x{{750}}-\x{{77F}}\x{{8A0}}-\x{{8FF}}]') AS arabic, regexp_replace(regexp_replace(lower(text), '', ''), '[^a-z]', '', 'g') = '' AS no_latin FROM documents")
+def script_flags(spark, d):
+    t = F.concat("text", F.when(F.col("doc_id") % 7 == 0, "ع").otherwise(""))
+    return _docs(spark, d).select("doc_id", T.is_arabic(t).alias("arabic"), (F.regexp_replace(F.lower("text"), "[^a-z]", "") == "").alias("no_latin"))
+
+
+@query("""WITH v AS (SELECT doc_id, (doc_id % 97) + (doc_id % 3) / 10.0 AS x FROM documents)
+SELECT doc_id, CAST(CASE WHEN x = floor(x) THEN x ELSE 1000 + round(x * 10) END AS INTEGER) AS chapter FROM v""")
+def chapter_numbers(spark, d):
+    return _docs(spark, d).select("doc_id", M.chapter_number(((F.col("doc_id") % 97) + (F.col("doc_id") % 3) / 10).cast("string")).alias("chapter"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey AS INTEGER) AS base, CAST(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 26 + 1 END AS INTEGER) AS suffix FROM orders")
+def citation_parts(spark, d):
+    c = F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.chr(F.col("o_orderkey") % 26 + 97)))
+    return _t(spark, d, "orders").select("o_orderkey", M.citation_base(c).alias("base"), M.citation_suffix(c).alias("suffix"))
+
+
+@query("SELECT doc_id, 'q' || chr(31) || quality || CASE WHEN toxic = 1 THEN chr(30) || 't' || chr(31) || 'toxic' ELSE '' END AS encoded, 1 + toxic AS entries FROM labels")
+def grade_codec(spark, d):
+    g = F.array(F.struct(F.lit(" q").alias("name"), F.col("quality").cast("string").alias("grade")), F.struct(F.lit("t").alias("name"), F.when(F.col("toxic") == 1, "toxic ").otherwise(" ").alias("grade")))
+    e = M.encode_grades(g)
+    return _t(spark, d, "labels").select("doc_id", e.alias("encoded"), F.size(M.decode_grades(e)).alias("entries"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN c_name ELSE '' END AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS grade FROM customer")
+def grade_parse(spark, d):
+    raw = F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit(" Grade : "), "c_mktsegment", F.lit(" ("), "c_name", F.lit(") صح"))).otherwise(F.concat(F.lit("grade:"), "c_mktsegment"))
+    return _t(spark, d, "customer").select("c_custkey", M.parse_grade(raw).alias("g")).select("c_custkey", "g.name", "g.grade")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN o_custkey::VARCHAR ELSE o_orderkey || 'b' END AS citation FROM orders")
+def citation_parse(spark, d):
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    slug = F.when(k % 4 == 0, "malik").when(k % 4 == 1, "darimi").otherwise("muslim")
+    raw = F.concat(F.lit("Reference : Book "), k.cast("string"), F.lit(" b In-book reference : Book 7, Hadith 9 Arabic reference : Book 2, Hadith "), c)
+    return _t(spark, d, "orders").select("o_orderkey", M.parse_citation(slug, raw).alias("citation"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Sahih ' || doc_id WHEN doc_id % 3 = 1 THEN 'Hasan ' || doc_id ELSE 'Its isnad is ' || doc_id END AS grade, doc_id % 3 <> 1 AS artifact FROM documents")
+def grade_repair(spark, d):
+    i = F.col("doc_id").cast("string")
+    g = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Sahih "), i, F.lit(" (N)], Sahih "), i)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("Hasan "), i)).otherwise(F.concat(F.lit("Lts isnad is "), i, F.lit("]")))
+    return _docs(spark, d).select("doc_id", M.repair_grade(g, F.lit("N")).alias("grade"), M.has_artifact(g, F.lit("N")).alias("artifact"))
+
+
+@query("SELECT doc_id, translate('احمدالا', '', '') AS key FROM documents WHERE text IS NOT NULL")
+def match_fold(spark, d):
+    return _docs(spark, d).filter("text is not null").select("doc_id", T.match_fold(F.concat(F.lit("أَحْمَد إلىء "), F.regexp_replace("text", r"[\x{600}-\x{6FF}]", ""))).alias("key"))
+
+
+# vocabulary and words
+
+
+def _vocabulary(spark, d) -> DataFrame:
+    return _docs(spark, d).select(F.explode(T.vocabulary_words(T.fold_english(F.col("text")))).alias("word")).distinct()
+
+
+@query(VOCABULARY)
+def vocabulary_build(spark, d):
+    return _vocabulary(spark, d)
+
+
+@query(rf"WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS ws FROM documents), x AS (SELECT unnest(ws) AS word FROM w) SELECT (SELECT count(DISTINCT word) FROM x) AS distinct_words, (SELECT count(*) FROM x) AS occurrences, (SELECT count(*) FROM w) AS items, (SELECT count(*) FROM w WHERE len(ws) = 0) AS empty_items")
+def vocabulary_stats(spark, d):
+    w = _docs(spark, d).select(T.semantic_words(F.col("text")).alias("ws"))
+    per = w.agg(F.count("*").alias("items"), F.count_if(F.size("ws") == 0).alias("empty_items"), F.sum(F.size("ws").cast("long")).alias("occurrences"))
+    words = w.select(F.explode("ws").alias("word")).distinct().agg(F.count("*").alias("distinct_words"))
+    return words.join(F.broadcast(per)).select("distinct_words", "occurrences", "items", "empty_items")  # one row each
+
+
+@query(f"WITH a AS (SELECT DISTINCT unnest({WORDS}) AS word FROM documents WHERE lang = 'en'), b AS (SELECT DISTINCT unnest({WORDS}) AS word FROM documents WHERE lang = 'de') SELECT word, 'left' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT word, 'right' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
+def list_symmetric_difference(spark, d):
+    words = lambda lang: _docs(spark, d).filter(F.col("lang") == lang).select(F.explode(T.vocabulary_words(T.fold_english(F.col("text")))).alias("word")).distinct()
+    return L.symmetric_difference(words("en"), words("de"))
+
+
+def _stem_sql(w: str) -> str:
+    def undoubled(s):
+        two = f"length({s}) >= 2 AND right({s}, 1) = left(right({s}, 2), 1) AND contains('{W.DOUBLED}', right({s}, 1))"
+        return f"CASE WHEN {two} AND length({s}) >= CASE WHEN right({s}, 1) = 'l' THEN 7 ELSE 4 END THEN left({s}, -1) ELSE {s} END"
+
+    cases = " ".join(f"WHEN suffix({w}, '{s}') AND length({w}) >= {len(s) + 4} THEN {undoubled(f'left({w}, -{len(s)})')}" for s in W.SUFFIXES)
+    return f"CASE WHEN length({w}) < 5 THEN NULL {cases} END"
+
+
+def _variant_sql(w: str) -> str:
+    return f"CASE WHEN length({w}) >= 6 AND suffix({w}, 'our') THEN left({w}, -3) || 'or' WHEN length({w}) >= 5 AND suffix({w}, 'or') THEN left({w}, -2) || 'our' WHEN length({w}) >= 6 AND suffix({w}, 'ise') THEN left({w}, -3) || 'ize' WHEN length({w}) >= 6 AND suffix({w}, 'ize') THEN left({w}, -3) || 'ise' END"
+
+
+@query(f"WITH v AS ({VOCABULARY}) SELECT word, {_stem_sql('word')} AS stem, {_variant_sql('word')} AS variant FROM v")
+def stem_and_variant(spark, d):
+    return _vocabulary(spark, d).select("word", W.stem(F.col("word")).alias("stem"), W.variant(F.col("word")).alias("variant"))
+
+
+@query(f"WITH v AS ({VOCABULARY}) SELECT word, CAST(" + " + ".join(f"CASE WHEN contains(word, '{c}') THEN {1 << i} ELSE 0 END" for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")) + " AS INTEGER) AS mask, CAST(least(levenshtein(word, 'thanedble'), 3) AS INTEGER) AS distance FROM v")
+def letter_masks(spark, d):
+    return _vocabulary(spark, d).select("word", W.letter_mask(F.col("word")).alias("mask"), W.bounded_distance(F.col("word"), F.lit("thanedble"), 2).alias("distance"))
+
+
+TYPOS = ["thanedbel", "attoin", "erinner", "qzxj", "the", "thanedble"]
+
+
+@query("WITH v AS (" + VOCABULARY + "), q AS (SELECT unnest(" + str(TYPOS) + ") AS asked), n AS (SELECT asked, word, levenshtein(asked, word) AS dist FROM q, v WHERE abs(length(word) - length(asked)) <= CASE WHEN length(asked) >= 7 THEN 2 ELSE 1 END AND length(asked) >= 4 AND NOT EXISTS (SELECT 1 FROM v x WHERE contains(x.word, asked))) SELECT asked, arg_min(word, (dist, length(word), word)) AS corrected FROM n WHERE dist <= CASE WHEN length(asked) >= 7 THEN 2 ELSE 1 END GROUP BY asked")
+def nearest_word(spark, d):
+    return spark.createDataFrame(sorted(R.nearest_words(_vocabulary(spark, d), TYPOS).items()), "asked string, corrected string")
+
+
+@query(rf"WITH v AS ({VOCABULARY}) SELECT word, printf('%016x', CAST(list_reduce(list_prepend(14695981039346656037::HUGEINT, [ord(c)::HUGEINT FOR c IN string_split(word, '')]), lambda h, b: (xor(h, b) * 1099511628211) % 18446744073709551616::HUGEINT) AS UBIGINT)) AS fingerprint FROM v")
+def word_fingerprints(spark, d):
+    return _vocabulary(spark, d).select("word", T.fnv1a(F.col("word")).alias("fingerprint"))
+
+
+@query(rf"SELECT doc_id, text <> '' AND length_grapheme(text) <= 220 AS daily_length, NOT list_has_any(string_split_regex(lower(text || ' ' || lang), '[^\p{{L}}]+'), {BLOCKED}) AS daily_gentle FROM documents")
+def daily_flags(spark, d):
+    return _docs(spark, d).select("doc_id", ((F.col("text") != "") & (T.graphemes(F.col("text")) <= 220)).alias("daily_length"), (~T.has_blocked_word(F.concat_ws(" ", "text", "lang"), BLOCKED)).alias("daily_gentle"))
+
+
+# search
+
+
+def corpus(spark: SparkSession, d: str) -> R.Corpus:
+    rows = _rows(spark, d).withColumn("chapter", F.floor(F.col("row") / 10))
+    first = rows.filter("row % 10 = 0").select("book", "chapter", T.fold_english(F.split_part("text", F.lit("\n"), F.lit(1))).alias("title_fold"))
+    books = _docs(spark, d).select(F.col("source").alias("book")).distinct().withColumn("title_fold", T.fold_english(F.col("book")))
+    return R.Corpus(rows.select("book", "row", "chapter", T.fold_english(F.concat("text", F.lit("\n"), "lang")).alias("body_fold")), first, books)
+
+
+def _search_sql(tokens: list[tuple[str, str | None]], phrase: str, fuzzy: dict[str, str] | None = None) -> str:
+    n, fuzzy = len(tokens), fuzzy or {}
+
+    def hit(i, fold, weight):
+        word, stem = tokens[i]
+        pad = f"(' ' || translate({fold}, chr(10) || chr(9) || chr(13), '   ') || ' ')"
+        out = f"CASE WHEN contains({pad}, ' {word} ') THEN {weight + R.WHOLE_WORD} WHEN contains({fold}, '{word}') THEN {weight} "
+        if stem:
+            out += f"WHEN contains({pad}, ' {stem}') THEN {max(1, weight - R.STEM_PENALTY)} "
+        if word in fuzzy:
+            out += f"WHEN contains({pad}, ' ' || (SELECT w FROM fix)) THEN {max(1, weight - R.FUZZY_PENALTY)} "
+        return out + "ELSE 0 END"
+
+    title = ", ".join(f"greatest({hit(i, 'tf', R.TITLE)}, {hit(i, 'bf', R.CITATION)}) AS t{i}" for i in range(n))
+    body = ", ".join(f"{hit(i, 'body', R.BODY)} AS b{i}" for i in range(n))
+    many = n > 1
+    fix = "".join(f"v AS ({VOCABULARY}), fix AS (SELECT arg_min(word, (levenshtein('{w}', word), length(word), word)) AS w FROM v WHERE levenshtein('{w}', word) <= {lim} AND NOT EXISTS (SELECT 1 FROM v x WHERE contains(x.word, '{w}')))," for w, lim in fuzzy.items())
+    return f"""WITH {fix} r AS ({ROWS}), body AS (SELECT book, row, row // 10 AS chapter, {_en("text || chr(10) || lang")} AS body FROM r),
+    ch AS (SELECT book, row // 10 AS chapter, {_en("split_part(text, chr(10), 1)")} AS tf, {_en('book')} AS bf FROM r WHERE row % 10 = 0),
+    ts AS (SELECT book, chapter, {title}, {f"CASE WHEN contains(tf, '{phrase}') THEN {R.PHRASE_TITLE} ELSE 0 END" if many else '0'} AS tb FROM ch),
+    bs AS (SELECT body.*, {body} FROM body),
+    s AS (SELECT book, row, {' + '.join(f't{i} + b{i}' for i in range(n))} + tb + {f"CASE WHEN contains(body, '{phrase}') THEN {R.PHRASE_BODY} ELSE 0 END" if many else '0'} AS score,
+        {' + '.join(f'CASE WHEN t{i} > 0 OR b{i} > 0 THEN 1 ELSE 0 END' for i in range(n))} AS matched FROM bs JOIN ts USING (book, chapter)),
+    m AS (SELECT coalesce(max(matched), 0) AS most FROM s WHERE matched > 0)
+    SELECT book, row, CAST(score + CASE WHEN most < {n} THEN {R.RELAXED} * matched ELSE 0 END AS INTEGER) AS score, CAST(matched AS INTEGER) AS matched, most < {n} AS relaxed
+    FROM s, m WHERE matched > 0 AND matched = most AND (most = {n} OR {str(many).upper()})"""
+
+
+@query(f"WITH r AS ({ROWS}) SELECT book, row FROM r WHERE contains({_en('text || chr(10) || lang')}, 'attion to thanedble')")
+def contiguous_scan(spark, d):
+    return R.contiguous_scan(corpus(spark, d).rows, "attion to thanedble").select("book", "row")
+
+
+@query(_search_sql([("attion", None), ("thanedble", None)], "attion thanedble"))
+def ranked_strict(spark, d):
+    return R.search(R.parse(spark, "The attion to thanedble!"), corpus(spark, d))
+
+
+@query(_search_sql([("attion", None), ("zzqx", None), ("thanedble", None)], "attion zzqx thanedble"))
+def ranked_relaxed(spark, d):
+    return R.search(R.parse(spark, "attion zzqx thanedble"), corpus(spark, d))
+
+
+@query(_search_sql([("tionings", "tioning")], "tionings"))
+def ranked_stem(spark, d):
+    return R.search(R.parse(spark, "tionings of the"), corpus(spark, d))
+
+
+@query(_search_sql([("thanedbel", None)], "thanedbel", {"thanedbel": "2"}))
+def ranked_typo(spark, d):
+    return R.search(R.parse(spark, "thanedbel", _vocabulary(spark, d)), corpus(spark, d))
+
+
+@query(_search_sql([("the", None)], "the"))
+def ranked_stopword_only(spark, d):
+    return R.search(R.parse(spark, "the"), corpus(spark, d))
+
+
+@query(_search_sql([("attion", None), ("thanedble", None)], "attion thanedble") + " ORDER BY score DESC, book, row LIMIT 20")
+def ranked_topk(spark, d):
+    return R.search(R.parse(spark, "attion thanedble"), corpus(spark, d), 20)
+
+
+_SLOT = "CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 500"
+
+
+@query(rf"""WITH i AS (SELECT doc_id, unnest({WORDS}) AS word FROM documents), p AS (SELECT DISTINCT doc_id AS position, word FROM i),
+u AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS u FROM embeddings),
+w AS (SELECT word, u FROM (SELECT DISTINCT word FROM p) x JOIN u ON vec_id = {_SLOT}),
+q AS (SELECT word AS asked, u AS qu FROM w WHERE word IN ('that', 'with', 'this')),
+c AS (SELECT position, asked, max(list_inner_product(u, qu)) AS best FROM p JOIN w USING (word), q GROUP BY ALL),
+s AS (SELECT position, avg(best) AS score FROM c GROUP BY 1)
+SELECT position, round(score, 6) AS score FROM s WHERE score >= greatest(0.38, 0.85 * (SELECT max(score) FROM s)) ORDER BY s.score DESC, position LIMIT 20""")
+def maxsim_search(spark, d):
+    items = _docs(spark, d).select(F.col("doc_id").alias("position"), T.vocabulary_words(T.fold_english(F.col("text"))).alias("words"))
+    words = _vocabulary(spark, d).withColumn("slot", F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 8), 16, 10).cast("long") % 500)
+    vectors = words.join(_t(spark, d, "embeddings").select(F.col("vec_id").alias("slot"), F.col("embedding").alias("vector")), "slot").select("word", "vector")
+    return R.max_sim(items, vectors, ["that", "with", "this"]).select("position", F.round("score", 6).alias("score"))
+
+
+# aggregates and ordered operators
+
+
+@query("SELECT source, count(*) AS docs, count(l.doc_id) AS graded, count(*) FILTER (WHERE text <> '') AS with_text, coalesce(sum(toxic), 0)::BIGINT AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY ROLLUP (source)")
+def corpus_shape(spark, d):
+    j = _docs(spark, d).join(_t(spark, d, "labels").withColumnRenamed("doc_id", "labelled"), F.col("doc_id") == F.col("labelled"), "left")
+    return j.rollup("source").agg(F.count("*").alias("docs"), F.count("labelled").alias("graded"), F.count_if(F.col("text") != "").alias("with_text"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
+
+
+@query(f"WITH r AS ({ROWS}) SELECT book, row // 10 AS chapter, min(row) AS first_row, count(*) AS n_rows, max(row) - min(row) + 1 = count(*) AS contiguous FROM r GROUP BY 1, 2")
+def chapter_ranges(spark, d):
+    return O.chapter_runs(_rows(spark, d).withColumn("chapter", F.floor(F.col("row") / 10)))
+
+
+@query(f"WITH r AS ({ROWS}) SELECT book, lang AS chapter, min(row) AS first_row, count(*) AS n_rows, max(row) - min(row) + 1 = count(*) AS contiguous FROM r GROUP BY 1, 2")
+def chapter_contiguity(spark, d):
+    return O.chapter_runs(_rows(spark, d).withColumn("chapter", F.col("lang")))
+
+
+@query(f"""WITH RECURSIVE r AS ({ROWS}), b AS (SELECT book, row, strlen(text) + 16 AS bytes FROM r),
+t(book, row, block, held) AS (SELECT book, row, 0, bytes FROM b WHERE row = 0
+    UNION ALL SELECT b.book, b.row, CASE WHEN held >= 16384 THEN block + 1 ELSE block END, CASE WHEN held >= 16384 THEN bytes ELSE held + bytes END FROM t JOIN b ON b.book = t.book AND b.row = t.row + 1)
+SELECT book, row, CAST(block AS INTEGER) AS block FROM t""")
+def block_assignment(spark, d):
+    return O.block_assignment(_rows(spark, d).select("book", "row", (F.octet_length("text") + 16).cast("long").alias("bytes")), 16384)
+
+
+@query("SELECT source, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sha256(string_agg(sha256(text), '' ORDER BY sha256(text))) AS digest FROM documents GROUP BY source")
+def manifest(spark, d):
+    # hashes of 64 characters are gathered for each source, never texts
+    return _docs(spark, d).groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("text", 256))), ""), 256).alias("digest"))
+
+
+@query("SELECT text, count(*) AS copies FROM documents GROUP BY text HAVING count(*) > 1")
+def key_uniqueness(spark, d):
+    return _docs(spark, d).groupBy("text").agg(F.count("*").alias("copies")).filter("copies > 1")
+
+
+@query("SELECT user_id, count(*) AS events, count(*) FILTER (WHERE value < p) AS descents FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY user_id")
+def sequence_inversions(spark, d):
+    e = _t(spark, d, "events").withColumn("p", F.lag("value").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    return e.groupBy("user_id").agg(F.count("*").alias("events"), F.count_if(F.col("value") < F.col("p")).alias("descents"))
+
+
+@query("""WITH k AS (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS v, value FROM events),
+n AS (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo,
+    first_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS hi FROM k)
+SELECT event_id, lo, hi, coalesce(lo < value AND value < hi, FALSE) AS between_neighbours FROM n WHERE v IS NULL""")
+def neighbour_adjudication(spark, d):
+    e = _t(spark, d, "events").select("user_id", "event_id", "value", F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("v"))
+    lo, hi = O.nearest_known("v", "user_id", "event_id")
+    return e.withColumns({"lo": lo, "hi": hi}).filter("v is null").select("event_id", "lo", "hi", F.coalesce((F.col("lo") < F.col("value")) & (F.col("value") < F.col("hi")), F.lit(False)).alias("between_neighbours"))
+
+
+# linkage
+
+
+def _sides(spark, d) -> tuple[DataFrame, DataFrame]:
+    fold = T.norm_key(F.col("text"))
+    rows = _rows(spark, d)
+    return rows.select("book", "row", fold.alias("fold")), rows.filter("row % 9 <> 4").select("book", (F.col("row") + 3).alias("row"), fold.alias("fold"))
+
+
+_SIDES = f"WITH r AS ({ROWS}), a AS (SELECT book, row, {_norm('text')} AS fold FROM r), b AS (SELECT book, row + 3 AS row, fold FROM a WHERE row % 9 <> 4)"
+_PAIRS = _SIDES + ", an AS (SELECT *, row_number() OVER (PARTITION BY book, fold ORDER BY row) AS i, count(*) OVER (PARTITION BY book, fold) AS n FROM a), bn AS (SELECT *, row_number() OVER (PARTITION BY book, fold ORDER BY row) AS i, count(*) OVER (PARTITION BY book, fold) AS n FROM b), p AS (SELECT an.book, an.row, bn.row AS donor, an.n FROM an JOIN bn USING (book, fold, i, n))"
+
+
+@query(_PAIRS + " SELECT * FROM p")
+def align_grouped(spark, d):
+    return L.align_groups(*_sides(spark, d))
+
+
+@query(_PAIRS + ", s AS (SELECT *, CASE WHEN row - lag(row) OVER w > 4 OR donor - lag(donor) OVER w NOT BETWEEN 1 AND 4 THEN 1 ELSE 0 END AS brk FROM p WINDOW w AS (PARTITION BY book ORDER BY row)), g AS (SELECT *, sum(brk) OVER (PARTITION BY book ORDER BY row) AS island FROM s), c AS (SELECT *, count(*) OVER (PARTITION BY book, island) AS run FROM g) SELECT book, row, donor, run FROM c WHERE run >= 5")
+def align_runs(spark, d):
+    return O.steady_runs(L.align_groups(*_sides(spark, d))).select("book", "row", "donor", "run")
+
+
+@query(_PAIRS + """, j AS (SELECT a.book, a.row, p.donor FROM a LEFT JOIN p ON a.book = p.book AND a.row = p.row),
+n AS (SELECT *, last_value(donor IGNORE NULLS) OVER lo AS ld, last_value(CASE WHEN donor IS NOT NULL THEN row END IGNORE NULLS) OVER lo AS lr,
+    first_value(donor IGNORE NULLS) OVER hi AS hd, first_value(CASE WHEN donor IS NOT NULL THEN row END IGNORE NULLS) OVER hi AS hr FROM j
+    WINDOW lo AS (PARTITION BY book ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), hi AS (PARTITION BY book ORDER BY row ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT book, row, CASE WHEN donor IS NOT NULL THEN donor WHEN hr - lr = hd - ld THEN ld + row - lr END AS donor,
+    CASE WHEN donor IS NOT NULL THEN 'matched' WHEN hr - lr = hd - ld THEN 'interpolated' ELSE 'open' END AS tier FROM n""")
+def align_interpolate(spark, d):
+    left, right = _sides(spark, d)
+    pairs = L.align_groups(left, right).select("book", "row", "donor")
+    return O.interpolate(left.select("book", "row").join(pairs, ["book", "row"], "left"))
+
+
+@query("""WITH f AS (SELECT doc_id % 400 AS key, 'q' || toxic AS name, quality::VARCHAR AS value FROM labels), g AS (SELECT key, name, min(value) AS lo, max(value) AS hi FROM f GROUP BY 1, 2),
+k AS (SELECT key, max(lo <> hi) AS refused, string_agg(name || '=' || lo, ';' ORDER BY name) AS facts FROM g GROUP BY 1)
+SELECT doc_id, CASE WHEN NOT k.refused THEN k.facts END AS facts, coalesce(k.refused, FALSE) AS refused FROM documents LEFT JOIN k ON doc_id % 400 = key""")
+def grades_attach(spark, d):
+    facts = _t(spark, d, "labels").select((F.col("doc_id") % 400).alias("key"), F.concat(F.lit("q"), F.col("toxic").cast("string")).alias("name"), F.col("quality").cast("string").alias("value"))
+    out = L.attach_unique(_docs(spark, d).select("doc_id", (F.col("doc_id") % 400).alias("key")), facts, "key", "name", "value")
+    return out.select("doc_id", F.array_join(F.transform("facts", lambda x: F.concat(x["name"], F.lit("="), x["value"])), ";").alias("facts"), "refused")
+
+
+_NO_BRACKETS = r"regexp_replace({}, '\[[^\n]*\]', '', 'g')"
+_NO_SPANS = r"regexp_replace({}, '\[[^\]]*\]', '', 'g')"
+_DAMAGED = "CASE WHEN doc_id % 2 = 0 THEN 'a z ' || text ELSE text END"
+_DONOR = "CASE WHEN doc_id % 2 = 0 THEN 'a [b ' || doc_id % 3 || '] z ' || text ELSE text END"
+
+
+@query(rf"""WITH d AS (SELECT doc_id AS id, {_norm(_DAMAGED)} AS key FROM documents), c AS (SELECT doc_id % 3 AS ord, {_DONOR} AS clean FROM documents),
+p AS (SELECT {_norm(_NO_BRACKETS.format('clean'))} AS key, ord, min({_norm('clean')}) AS lo, max({_norm('clean')}) AS hi, min(clean) AS clean FROM c GROUP BY 1, 2),
+b AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY key ORDER BY ord) = 1)
+SELECT id, CASE WHEN b.key IS NULL THEN 'unmatched' WHEN lo <> hi THEN 'ambiguous' WHEN lo = d.key THEN 'unchanged' ELSE 'repaired' END AS status,
+    CASE WHEN lo = hi AND lo <> d.key THEN clean END AS repaired FROM d LEFT JOIN b ON d.key = b.key""")
+def repair_pass1(spark, d):
+    t, even = F.col("text"), F.col("doc_id") % 2 == 0
+    docs = _docs(spark, d)
+    damaged = docs.select(F.col("doc_id").alias("id"), F.when(even, F.concat(F.lit("a z "), t)).otherwise(t).alias("body"))
+    donors = docs.select((F.col("doc_id") % 3).alias("ord"), F.when(even, F.concat(F.lit("a [b "), (F.col("doc_id") % 3).cast("string"), F.lit("] z "), t)).otherwise(t).alias("body"))
+    return L.repair_by_key(damaged, donors)
+
+
+@query(rf"""WITH t AS (SELECT lang AS book, doc_id AS id, {_norm("text || ' zz'")} AS key FROM documents), c AS (SELECT lang AS book, text || ' [x' || doc_id % 5 || '] zz' AS clean FROM documents WHERE doc_id % 3 <> 0),
+u AS (SELECT book, {_norm('clean')} AS key, min(clean) AS clean FROM c GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY key) - 1 AS r FROM u),
+pl AS (SELECT t.book, t.id, t.key, count(k.key) AS place FROM t LEFT JOIN k ON k.book = t.book AND k.key < t.key GROUP BY 1, 2, 3),
+f AS (SELECT pl.book, pl.id, k.clean, k.r FROM pl JOIN k ON k.book = pl.book AND k.r BETWEEN greatest(place - 64, 0) AND place + 63 WHERE {_norm(_NO_SPANS.format('k.clean'))} = pl.key)
+SELECT book, id, arg_min(clean, r) AS clean FROM f GROUP BY 1, 2""")
+def repair_pass2(spark, d):
+    docs = _docs(spark, d)
+    targets = docs.select(F.col("lang").alias("book"), F.col("doc_id").alias("id"), T.norm_key(F.concat("text", F.lit(" zz"))).alias("key"))
+    donors = docs.filter("doc_id % 3 <> 0").select(F.col("lang").alias("book"), F.concat("text", F.lit(" [x"), (F.col("doc_id") % 5).cast("string"), F.lit("] zz")).alias("clean"))
+    return L.repair_by_proof(targets, donors)
+
+
+@query(f"WITH m AS (SELECT n_chars AS id, text AS clean FROM documents) SELECT id, min(clean) AS clean, count(*) AS confirmed_by FROM m GROUP BY id HAVING count(DISTINCT {_norm('clean')}) = 1")
+def donor_agreement(spark, d):
+    return L.agreed(_docs(spark, d).select(F.col("n_chars").alias("id"), F.col("text").alias("clean")))
+
+
+# trees, indexes, gates
+
+
+def _tree(spark, d) -> DataFrame:
+    region = _t(spark, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node"), F.lit(None).cast("string").alias("parent"))
+    nation = _t(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")))
+    people = _t(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    return region.union(nation).union(people)
+
+
+_TREE = "e AS (SELECT 'r' || r_regionkey AS node, NULL AS parent FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer), t AS (SELECT node AS ancestor, node, 0 AS depth FROM e UNION ALL SELECT t.ancestor, e.node, depth + 1 FROM t JOIN e ON e.parent = t.node)"
+
+
+@query(f"WITH RECURSIVE {_TREE} SELECT ancestor, node, CAST(depth AS INTEGER) AS depth FROM t WHERE starts_with(ancestor, 'r')")
+def subtree_members(spark, d):
+    return L.descendants(spark, _tree(spark, d)).filter("startswith(ancestor, 'r')")
+
+
+@query(f"WITH RECURSIVE {_TREE} SELECT CAST(depth AS INTEGER) AS depth, count(*) AS nodes FROM t WHERE starts_with(ancestor, 'r') GROUP BY 1")
+def tree_depth(spark, d):
+    return L.descendants(spark, _tree(spark, d)).filter("startswith(ancestor, 'r')").groupBy("depth").agg(F.count("*").alias("nodes"))
+
+
+@query("SELECT r_name AS lane, n_name AS topic, count(*) AS entries FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2")
+def topic_tally(spark, d):
+    j = _t(spark, d, "customer").join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return j.groupBy(F.col("r_name").alias("lane"), F.col("n_name").alias("topic")).agg(F.count("*").alias("entries"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 10 <> 3)")
+def topic_orphans(spark, d):
+    known = _t(spark, d, "customer").filter("c_custkey % 10 <> 3")
+    return _t(spark, d, "orders").join(known, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'missing' ELSE 'changed' END AS problem FROM documents WHERE doc_id % 11 = 0 OR doc_id % 13 = 0")
+def gate_diff(spark, d):
+    left = _docs(spark, d).select("doc_id", "text", "lang")
+    right = left.filter("doc_id % 11 <> 0").withColumn("lang", F.when(F.col("doc_id") % 13 == 0, "??").otherwise(F.col("lang")))
+    return L.diff(left, right, ["doc_id"]).select("doc_id", F.when(F.col("r").isNull(), "missing").otherwise("changed").alias("problem"))
 
 
-def flagship(spark, sf_dir):
-    return QUERIES["ranked_strict"](spark, sf_dir)
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_strict(spark, sf_dir)
