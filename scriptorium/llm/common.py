@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -70,6 +71,15 @@ def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def trim() -> None:
+    """Gives memory that a finished task has freed back to the system: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def text_bytes(col: pa.Array) -> tuple:
     """UTF-8 bytes of a string column without Python strings: (uint8 buffer, int64 starts, int64 lengths); null counts as empty."""
     import numpy as np

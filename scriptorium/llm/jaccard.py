@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, slots, table, text_bytes
+from .common import materialise, slots, table, text_bytes, trim
 
 N, THRESHOLD, RECALL, MAX_HASHES, BLOCK = 5, 0.8, 0.9999, 128, 512
 _P = np.uint64(0x9E3779B97F4A7C15)
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -172,6 +172,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
                 ids = batch.column(0)
                 cls = [c if v else None for c, v in zip(cls, ids.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(cls, pa.string()), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "cls", "bands"])
+        trim()
 
     return own.mapInArrow(sketch, "doc_id long, cls string, bands array<long>")
 
@@ -289,6 +290,7 @@ def verified_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str,
             out += unit.links(threshold)
         if out:
             yield batch_of(out)
+        trim()
 
     dealt = sent.repartition(max(slots(spark), 2 * spark.sparkContext.defaultParallelism), "band", "h", "bi", "bj").sortWithinPartitions("band", "h", "bi", "bj")
     links = materialise(dealt.mapInArrow(verify, "rep long, linked long, root long"), "links")

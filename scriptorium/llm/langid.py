@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes
+from .common import table, text_bytes, trim
 
 WINDOW = 128
 FILTERS = 12
@@ -182,6 +182,7 @@ def language(text: Column, net: ByteNet | None) -> Column:
             best, score = net.predict(col)
             names = pa.DictionaryArray.from_arrays(pa.array(best, pa.int32()), pa.array(net.langs, pa.string())).cast(pa.string())
             yield pa.StructArray.from_arrays([names, pa.array(score, pa.float64())], ["lang_pred", "score"])
+        trim()
 
     return F.when(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)), predict(text)).otherwise(no_letter)
 

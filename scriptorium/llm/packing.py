@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, trim
 from .tokens import default_path, encoder
 
 CAPACITY, GRAIN = 2048, 128
@@ -114,7 +114,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 c.clear()
             return batch
 
-        for batch in batches:
+        for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
             got, sizes = enc.encode_column(batch.column(1))
             at = 0
             for doc, n in zip(batch.column(0).to_pylist(), sizes.tolist()):
@@ -130,6 +130,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             lay(sequence)
         if rows[0]:
             yield out()
+        trim()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return own.mapInArrow(pack, SCHEMA + ", ids array<long>" * with_ids)

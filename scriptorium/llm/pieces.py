@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, trim
 from .tokens import CACHE_CHUNKS, BatchEncoder
 
 SPACE = "▁"
@@ -264,6 +264,7 @@ def encode_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     [batch.column(0), pa.array(counts), pa.array(crc, pa.int64()), pa.array([zlib.crc32(b) for b in back], pa.int64()), pa.array([a == b for a, b in zip(texts, back)])],
                     names=["doc_id", "n_pieces", "ids_crc32", "text_crc32", "round_trip"],
                 )
+        trim()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return own.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, text_crc32 long, round_trip boolean" if digest else "doc_id long, ids array<int>, text string")

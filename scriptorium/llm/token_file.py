@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import get_file, put_file, table, work_dir
+from .common import get_file, put_file, table, trim, work_dir
 from .tokens import default_path, encoder
 
 MAGIC = b"RTKV0001"
@@ -123,7 +123,7 @@ def write_token_file(docs: DataFrame, out_dir: str, *, id_col: str = "doc_id", t
             put_file(where, raw)
             return pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), "shard": pa.array([shard], pa.int32()), "path": [where], "n_docs": [len(held)], "n_tokens": [total], "n_bytes": [len(raw)]})
 
-        for batch in batches:
+        for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
             got, sizes = enc.encode_column(batch.column(1))
             sizes = sizes + 1
             ends = np.cumsum(sizes)
@@ -146,6 +146,7 @@ def write_token_file(docs: DataFrame, out_dir: str, *, id_col: str = "doc_id", t
                     shard, held, ids, counts, total = shard + 1, [], [], [], 0
         if held:
             yield flush()
+        trim()
 
     dealt = own.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     dealt.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")

@@ -21,7 +21,7 @@ CACHE_CHUNKS = 1_000_000
 #: Longest chunk that is cached, in bytes (a multiple of 8).
 KEY_BYTES = 32
 #: Bytes of text handled at once (a longer single text is handled alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 _SPACE = np.zeros(256, bool)
