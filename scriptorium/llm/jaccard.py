@@ -338,7 +338,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = materialise(ngram_jaccard_join(docs), "near")
     stay = groups.filter("class_id is null or doc_id = class_id")
     keep = stay.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("__rows"))
-    out = docs.join(keep.select(F.col("doc_id").alias("__id"), "__rows"), F.col("doc_id") == F.col("__id"))
+    out = docs.join(keep.select(F.col("doc_id").alias("__id"), "__rows").hint("merge"), F.col("doc_id") == F.col("__id"))
     out = out.unionByName(docs.filter("doc_id is null").withColumns({"__id": F.lit(None).cast("long"), "__rows": F.lit(1).cast("long")}))
     if keep.filter("__rows > 1").isEmpty():
         return out.select(*docs.columns)
