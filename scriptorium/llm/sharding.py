@@ -55,7 +55,8 @@ def shards(docs: DataFrame, limit: int = LIMIT_BYTES, *, id_col: str = "doc_id",
         leaves = leaves.select("depth", F.col("p").alias("shard"), F.col("bytes").alias("shard_bytes"), F.col("docs").alias("shard_docs"))
         directory = cells.select("cell", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("shard", F.expr("substring(cell, 1, depth)")).join(leaves, ["depth", "shard"])
         directory = materialise(directory, "directory")
-        found = rows.withColumn("cell", F.substring("bits", 1, high)).join(directory, "cell").select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
+        # a directory grows with the input, so it meets the rows by shuffle
+        found = rows.select("doc_id", "n_bytes", F.substring("bits", 1, high).alias("cell")).join(directory.hint("merge"), "cell").select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
         out = found if out is None else out.unionByName(found)
         left = cells.filter((F.col("bytes") > limit) & (F.col("docs") > 1))
         if high >= 2 * HASH_BITS or left.isEmpty():

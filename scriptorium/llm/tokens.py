@@ -44,10 +44,10 @@ class BatchEncoder:
         self.tok.encode_special_tokens = True
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.limit = cache_chunks
-        self.bits = max(10, int(np.ceil(np.log2(cache_chunks / 0.6))))
         self._clear()
 
     def _clear(self) -> None:
+        self.bits = max(10, int(np.ceil(np.log2(self.limit / 0.6))))
         self.slot = np.full(1 << self.bits, -1, np.int32)
         self.keys = np.zeros((KEY_BYTES // 8, 1 << 14), np.uint64)
         self.starts = np.zeros(1 << 14, np.int64)
@@ -101,14 +101,22 @@ class BatchEncoder:
             self.starts[n + at : n + at + len(lens)] = self.used + np.cumsum(lens) - lens
             self.lens[n + at : n + at + len(lens)] = lens
             self.used += len(flat)
-        at, mask, left = self._hash(keys), len(self.slot) - 1, np.arange(m)
+        self.n += m
+        if self.n > 0.7 * len(self.slot):  # one long text may bring more chunks than the cache is made for
+            self.bits = int(np.ceil(np.log2(self.n / 0.5)))
+            self.slot = np.full(1 << self.bits, -1, np.int32)
+            self._insert(self.keys[:, : self.n], 0)
+        else:
+            self._insert(keys, n)
+
+    def _insert(self, keys: np.ndarray, first: int) -> None:
+        at, mask, left = self._hash(keys), len(self.slot) - 1, np.arange(keys.shape[1])
         while len(left):
             free = left[self.slot[at[left]] < 0]
-            self.slot[at[free]] = n + free
-            won = free[self.slot[at[free]] == n + free]
+            self.slot[at[free]] = first + free
+            won = free[self.slot[at[free]] == first + free]
             left = np.setdiff1d(left, won, assume_unique=True)
             at[left] = (at[left] + 1) & mask
-        self.n += m
 
     def _slice(self, data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lo, hi = int(starts[0]), int(starts[-1] + lens[-1])
