@@ -51,9 +51,9 @@ def shards(docs: DataFrame, limit: int = LIMIT_BYTES, *, id_col: str = "doc_id",
         fits = (F.col("bytes") <= limit) | (F.col("docs") == 1) | (F.col("depth") == 2 * HASH_BITS)
         over = nodes.filter(~fits).select((F.col("depth") + 1).alias("depth"), F.col("p").alias("parent"))
         good = nodes.filter(fits).withColumn("parent", F.expr("substring(p, 1, greatest(depth - 1, 0))"))
-        leaves = good.filter(F.col("depth") == low).unionByName(good.filter(F.col("depth") > low).join(over, ["depth", "parent"], "left_semi"))
+        leaves = good.filter(F.col("depth") == low).unionByName(good.filter(F.col("depth") > low).join(over.hint("merge"), ["depth", "parent"], "left_semi"))
         leaves = leaves.select("depth", F.col("p").alias("shard"), F.col("bytes").alias("shard_bytes"), F.col("docs").alias("shard_docs"))
-        directory = cells.select("cell", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("shard", F.expr("substring(cell, 1, depth)")).join(leaves, ["depth", "shard"])
+        directory = cells.select("cell", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("shard", F.expr("substring(cell, 1, depth)")).join(leaves.hint("merge"), ["depth", "shard"])
         directory = materialise(directory, "directory")
         # a directory grows with the input, so it meets the rows by shuffle
         found = rows.select("doc_id", "n_bytes", F.substring("bits", 1, high).alias("cell")).join(directory.hint("merge"), "cell").select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
