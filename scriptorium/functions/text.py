@@ -94,6 +94,15 @@ def provable(clean: Column, target_key: Column) -> Column:
     return F.when((k < 1) | (k > MAX_PAIRS), F.lit(False)).otherwise(F.exists(ways, lambda m: norm_key(strip_grouped(segments, m)) == target_key))
 
 
+def grouping_hashes(clean: Column) -> Column:
+    """xxhash64 of each key that some grouping of the brackets of clean gives; empty without brackets or with too many."""
+    segments = F.transform(bracket_segments(clean), lambda x: F.regexp_replace(F.lower(x), "[^a-z0-9]", ""))
+    k = F.size(segments) - 1
+    ways = F.sequence(F.lit(0), (F.pow(F.lit(2), F.greatest(F.least(k, F.lit(MAX_PAIRS)), F.lit(1)) - 1) - 1).cast("int"))
+    made = F.transform(ways, lambda m: F.xxhash64(F.regexp_replace(strip_grouped(segments, m), HONORIFICS, "")))
+    return F.when((k < 1) | (k > MAX_PAIRS), F.array().cast("array<bigint>")).otherwise(F.array_distinct(made))
+
+
 def trim_lead(s: Column) -> Column:
     return F.regexp_replace(s, "^[ \t\r\n):;,.\\-\u2013\\]]+", "")
 

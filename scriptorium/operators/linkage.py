@@ -21,23 +21,36 @@ def repair_by_key(damaged: DataFrame, donors: DataFrame) -> DataFrame:
     return j.select("id", status.alias("status"), F.when(status == "repaired", F.col("c.clean")).alias("repaired"))
 
 
-def candidate_window(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
-    """(book, id, donor_rank): for each target the donors around its place in the sorted donor keys.
-    targets: book, id, key; donors: book, key (distinct). The place is where bisect_left would insert the target."""
+def places(targets: DataFrame, donors: DataFrame) -> DataFrame:
+    """(book, id, key, place): where bisect_left would insert each target into its book's sorted donor keys.
+    targets: book, id, key; donors: book, key (distinct)."""
     both = targets.select("book", "key", F.lit(0).alias("is_donor"), "id").unionByName(donors.select("book", "key", F.lit(1).alias("is_donor"), F.lit(None).cast("long").alias("id")))
     w = Window.partitionBy("book").orderBy("key", "is_donor").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = both.withColumn("place", F.sum("is_donor").over(w))
-    return placed.filter("is_donor = 0").select("book", "id", F.explode(F.sequence(F.greatest(F.col("place") - radius, F.lit(0)), F.col("place") + radius - 1)).alias("donor_rank"))
+    return both.withColumn("place", F.sum("is_donor").over(w)).filter("is_donor = 0").select("book", "id", "key", "place")
+
+
+def candidate_window(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
+    """(book, id, donor_rank): for each target the donors around its place in the sorted donor keys."""
+    return places(targets, donors).select("book", "id", F.explode(F.sequence(F.greatest(F.col("place") - radius, F.lit(0)), F.col("place") + radius - 1)).alias("donor_rank"))
+
+
+def proved_in_window(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
+    """(book, id, donor_rank, key, clean): the donors of each target's candidate window from which a bracket grouping gives
+    the target. targets: book, id, key; donors: book, key (distinct), clean. The keys that a donor can give depend on the
+    donor alone, so they are made once for each donor and meet the targets by a hash; meetings are proved exactly."""
+    ranked = donors.select("book", "key", "clean", (F.row_number().over(Window.partitionBy("book").orderBy("key")) - 1).cast("long").alias("donor_rank"))
+    given = ranked.select("book", "donor_rank", F.explode(T.grouping_hashes(F.col("clean"))).alias("h"))
+    placed = places(targets, donors).withColumn("h", F.xxhash64("key"))
+    met = placed.join(given, ["book", "h"]).filter((F.col("donor_rank") >= F.col("place") - radius) & (F.col("donor_rank") < F.col("place") + radius))
+    met = met.select("book", "id", F.col("key").alias("target"), "donor_rank").join(ranked.drop("key"), ["book", "donor_rank"])
+    return met.filter(T.provable(F.col("clean"), F.col("target"))).select("book", "id", "donor_rank", F.col("target").alias("key"), "clean")
 
 
 def repair_by_proof(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
     """(book, id, clean): the donor near each target from which a bracket grouping gives the target; the nearest key order's
     first one. targets: book, id, key; donors: book, clean."""
     d = donors.select("book", "clean", T.norm_key(F.col("clean")).alias("key")).groupBy("book", "key").agg(F.min("clean").alias("clean"))
-    ranked = d.withColumn("donor_rank", (F.row_number().over(Window.partitionBy("book").orderBy("key")) - 1).cast("long"))
-    found = candidate_window(targets, d, radius).join(ranked.select("book", "donor_rank", "clean"), ["book", "donor_rank"]).join(targets, ["book", "id"])
-    proved = found.filter(T.provable(F.col("clean"), F.col("key")))
-    return proved.groupBy("book", "id").agg(F.min_by("clean", "donor_rank").alias("clean"))
+    return proved_in_window(targets, d, radius).groupBy("book", "id").agg(F.min_by("clean", "donor_rank").alias("clean"))
 
 
 def agreed(matches: DataFrame) -> DataFrame:
