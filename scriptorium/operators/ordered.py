@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,16 +27,26 @@ def chapter_runs(rows: DataFrame) -> DataFrame:
 
 def block_assignment(rows: DataFrame, target: int) -> DataFrame:
     """Blocks of consecutive rows of a book, closed when their bytes reach the target. rows: book, row, bytes.
-    A book is one unit of work, as a block's start depends on all rows before it."""
-    packed = rows.groupBy("book").agg(F.array_sort(F.collect_list(F.struct("row", "bytes"))).alias("rows"))
-    start = F.struct(F.lit(0).alias("block"), F.lit(0).cast("long").alias("held"), F.array().cast("array<struct<row:bigint,block:int>>").alias("out"))
-
-    def step(a, x):
-        held = a["held"] + x["bytes"]
-        full = held >= target
-        return F.struct((a["block"] + F.when(full, 1).otherwise(0)).alias("block"), F.when(full, F.lit(0).cast("long")).otherwise(held).alias("held"), F.concat(a["out"], F.array(F.struct(x["row"].alias("row"), a["block"].alias("block")))).alias("out"))
-
-    return packed.select("book", F.explode(F.aggregate("rows", start, step, lambda a: a["out"])).alias("x")).select("book", "x.row", "x.block")
+    A block's start depends on all rows before it, so a book's (row, bytes) stream through one task in order; the task
+    holds one batch and the running total, never the book."""
+
+    def cut(batches):
+        book = object()
+        held = block = 0
+        for batch in batches:
+            out = []
+            for own, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if own != book:
+                    book, held, block = own, 0, 0
+                out.append(block)
+                held += size or 0
+                if held >= target:
+                    held, block = 0, block + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int32())], names=["book", "row", "block"])
+
+    own = rows.select("book", F.col("row").cast("long").alias("row"), F.col("bytes").cast("long").alias("bytes"))
+    book = own.schema["book"].dataType.simpleString()
+    return own.repartition("book").sortWithinPartitions("book", "row").mapInArrow(cut, f"book {book}, row long, block int")
 
 
 def islands(df: DataFrame, group: str, order: str, breaks: Column) -> DataFrame:
