@@ -9,15 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import letters as A
 from ..functions import marks as M
 from ..functions import text as T
 from ..functions import words as W
+from ..operators import boundary as B
 from ..operators import linkage as L
 from ..operators import ordered as O
 from ..operators import ranked as R
+from ..operators import tiers as Z
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+WITHOUT_SQL = {"alignment_tiers"}  # the choice among candidates is sequential; compared with brute force in the tests
 # Words that keep a record out of the daily selection.
 BLOCKED = "kill killed killing kills killer fight fights fighting fought violence violent violently murder murdered murderer murders slay slays slain slaying slew slaughter slaughtered slaughtering battle battles war wars warfare slave slaves slavery enslave enslaved slavegirl slavegirls captive captives hit hits hitting beat beats beaten beating strike strikes struck striking smite smote smitten whip whips whipped lash lashes lashed stoned stoning flog flogged flogging wounded bloodshed".split()
 
@@ -456,6 +460,32 @@ def donor_agreement(spark, d):
     return L.agreed(_docs(spark, d).select(F.col("n_chars").alias("id"), F.col("text").alias("clean")))
 
 
+@query(r"""SELECT doc_id AS id, 'Narrated by S' AS narrator, regexp_replace(regexp_replace('[x] ' || text, '[ \t]{2,}', ' ', 'g'), '\s+$', '') AS body, text AS before, FALSE AS narrator_folded, 'repaired' AS status
+FROM documents WHERE text IS NOT NULL""")
+def narrator_restore(spark, d):
+    docs = _docs(spark, d).filter("text is not null")
+    rows = docs.select(F.col("doc_id").alias("id"), F.lit("Narrated by S").alias("narrator"), F.col("text").alias("body"))
+    return B.restore_rows(rows, docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("Narrated by S: [x] "), F.col("text")).alias("clean")), "deletion")
+
+
+@query("SELECT c_custkey AS id, CAST(n_nationkey AS VARCHAR) AS slug, CAST(c_custkey AS VARCHAR) AS number FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def reference_names(spark, d):
+    # numbers name no book, so a nation's key is spelled as a letter
+    nation = _t(spark, d, "nation").withColumn("name", F.concat(F.lit("Na'tion"), F.char(F.col("n_nationkey") + 97)))
+    books = nation.select(F.col("n_nationkey").cast("string").alias("slug"), F.array(F.replace(F.lower("name"), F.lit("'"), F.lit(""))).alias("aliases"))
+    named = _t(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return A.resolve_references(named.select("c_custkey", F.concat(F.lit("The Sunan of "), F.col("name"), F.lit(" "), F.col("c_custkey").cast("string")).alias("t")), "c_custkey", "t", books)
+
+
+@query()
+def alignment_tiers(spark, d):
+    rows = _rows(spark, d).select("book", "row", T.norm_key(F.coalesce("text", F.lit(""))).alias("fold"), F.lit("").alias("narrator"), "text")
+    changed = F.when(F.col("row") % 9 == 2, F.concat(F.substring("fold", 1, 60), F.lit("q"))).when(F.col("row") % 9 == 6, F.reverse("fold")).otherwise(F.col("fold"))
+    english = F.when(F.col("row") % 9 == 6, F.concat(F.lit("[x] "), F.col("text"))).when(F.col("row") % 9 == 2, F.lit("")).otherwise(F.col("text"))
+    donors = rows.filter("row % 9 <> 4").select("book", (F.col("row") - F.floor((F.col("row") + 4) / 9)).alias("donor"), changed.alias("fold"), english.alias("english"))
+    return Z.aligned(rows, donors)
+
+
 # trees, indexes, gates
 
 
