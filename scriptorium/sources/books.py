@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import lzma
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import letters as A
 from ..functions import marks as M
 
 GRADES = "array<struct<name:string,grade:string>>"
@@ -51,14 +55,37 @@ def read_donor_a(spark: SparkSession, path: str) -> DataFrame:
 
 def read_donor_b(spark: SparkSession, path: str) -> DataFrame:
     """Files with a byte order mark; rows in book order: by the file name's leading number, then by place."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path).withColumn("file", F.col("_metadata.file_name"))
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
     d = raw.select("file", F.posexplode(F.from_json(F.regexp_replace("value", "^﻿", ""), f"array<struct<{DONOR_B.replace(' ', ':')}>>".replace(",:", ","))).alias("position", "r"))
     return d.select(F.coalesce(F.regexp_extract("file", r"^(\d+)", 1).try_cast("int"), F.lit(0)).alias("file_number"), "file", "position", "r.*", M.parse_grade(F.col("r.grade")).alias("parsed_grade"))
 
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct lower-case words; blank lines and lines that begin with # are left out."""
-    return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter("word <> '' and not startswith(word, '#')").distinct()
+    """Distinct lower-case words; blank lines and lines that begin with # are left out. Files may be compressed by xz."""
+
+    def lines(batches):
+        for pdf in batches:
+            for blob in pdf["content"]:
+                yield pd.DataFrame({"value": lzma.decompress(bytes(blob)).decode().split("\n")})
+
+    raw = spark.read.format("binaryFile").load(path).select("content").mapInPandas(lines, "value string") if path.endswith(".xz") else spark.read.text(path)
+    return raw.select(F.lower(F.trim("value")).alias("word")).filter("word <> '' and not startswith(word, '#')").distinct()
+
+
+def read_catalog_literals(spark: SparkSession, path: str, type_name: str, fields: list[str]) -> DataFrame:
+    """(position, group, fields, aliases) of the literals `type_name( name: "value", group: .name, aliases: [...] )` in source
+    text, each literal on lines of its own. A field that a literal lacks is null."""
+    text = spark.read.text(path, wholetext=True)
+    literal = rf"(?s){type_name}\(\s*\n(.*?)\n\s*\),?(?:\n|$)"
+    one = text.select(F.posexplode(F.regexp_extract_all("value", F.lit(literal), F.lit(1))).alias("position", "x"))
+    quoted = r'"((?:[^"\\]|\\.)*)"'
+    listed = F.regexp_extract("x", r"(?s)aliases:\s*\[(.*?)\]", 1)
+    return one.select(
+        "position",
+        F.regexp_extract("x", r"group:\s*\.(\w+)", 1).alias("group"),
+        *(F.when(F.col("x").rlike(rf"\b{f}:\s*{quoted}"), A.unescape(F.regexp_extract("x", rf"\b{f}:\s*{quoted}", 1))).alias(f) for f in fields),
+        F.regexp_extract_all(listed, F.lit(quoted), F.lit(1)).alias("aliases"),
+    )
 
 
 def write_pack(rows: DataFrame, path: str, partitions: int = 16) -> None:

@@ -112,7 +112,7 @@ def test_book_files(spark, tmp_path):
     B.write_pack(B.records(B.read_books(spark, str(tmp_path))), str(tmp_path / "pack"), 2)
     assert B.chapter_slice(spark.read.parquet(str(tmp_path / "pack")), "demo", 1, 1).count() == 1
     (tmp_path / "b").mkdir()
-    (tmp_path / "b" / "2 x.json").write_text("﻿" + json.dumps([{"english": "e", "arabic": "a", "reference": "r", "grade": "Grade : Hasan (Nn)"}]))
+    (tmp_path / "b" / "2 x.json").write_text("﻿" + json.dumps([{"english": "e", "arabic": "a", "reference": "r", "grade": "Grade : Hasan (Nn)"}], indent=1))
     x = B.read_donor_b(spark, str(tmp_path / "b")).first()
     assert (x["file_number"], x["english"], x["parsed_grade"]["grade"]) == (2, "e", "Hasan")
 
