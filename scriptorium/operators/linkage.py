@@ -46,11 +46,27 @@ def proved_in_window(targets: DataFrame, donors: DataFrame, radius: int = 64) ->
     return met.filter(T.provable(F.col("clean"), F.col("target"))).select("book", "id", "donor_rank", F.col("target").alias("key"), "clean")
 
 
-def repair_by_proof(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
-    """(book, id, clean): the donor near each target from which a bracket grouping gives the target; the nearest key order's
-    first one. targets: book, id, key; donors: book, clean."""
+def _proofs(targets: DataFrame, donors: DataFrame, radius: int) -> DataFrame:
+    """(book, id, lo, hi, clean): the first and last rank of the donors that prove each target, where any does. A donor whose
+    key is the target's lost nothing and does not count. Donors are distinct by key, so two ranks are two keys."""
     d = donors.select("book", "clean", T.norm_key(F.col("clean")).alias("key")).groupBy("book", "key").agg(F.min("clean").alias("clean"))
-    return proved_in_window(targets, d, radius).groupBy("book", "id").agg(F.min_by("clean", "donor_rank").alias("clean"))
+    proved = proved_in_window(targets, d, radius).filter(T.norm_key(F.col("clean")) != F.col("key"))
+    return proved.groupBy("book", "id").agg(F.min("donor_rank").alias("lo"), F.max("donor_rank").alias("hi"), F.min("clean").alias("clean"))
+
+
+def proof_status(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
+    """(book, id, status, clean) for every target: repaired if the donors near it from which a bracket grouping gives it have
+    one key, ambiguous if they have several, unmatched if there is none. Among donors of one key the least text is taken.
+    targets: book, id, key; donors: book, clean."""
+    per = _proofs(targets, donors, radius).withColumnsRenamed({"book": "__book", "id": "__id", "clean": "__clean"})
+    j = targets.select("book", "id").distinct().join(per, F.col("book").eqNullSafe(F.col("__book")) & F.col("id").eqNullSafe(F.col("__id")), "left")
+    status = F.when(F.col("lo").isNull(), "unmatched").when(F.col("lo") != F.col("hi"), "ambiguous").otherwise("repaired")
+    return j.select("book", "id", status.alias("status"), F.when(status == "repaired", F.col("__clean")).alias("clean"))
+
+
+def repair_by_proof(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
+    """(book, id, clean): the targets that one donor key proves; those that several prove are refused (see ``proof_status``)."""
+    return _proofs(targets, donors, radius).filter("lo = hi").select("book", "id", "clean")
 
 
 def agreed(matches: DataFrame) -> DataFrame:

@@ -96,6 +96,14 @@ def test_repair_by_proof(spark):
     assert [tuple(r) for r in L.repair_by_proof(t, d).collect()] == [("b", 1, "abc [x] end")]
 
 
+def test_repair_by_proof_refuses_ambiguity(spark):
+    t = spark.createDataFrame([("b", 1, "abcend"), ("b", 2, "nothing"), ("b", 3, "sameend"), ("b", 4, "oneend")], "book string, id long, key string")
+    d = spark.createDataFrame([("b", x) for x in ("abc [x] end", "abc [y] end", "same [-] end", "one [z] end", "One [z] end!")], "book string, clean string")
+    got = {r["id"]: (r["status"], r["clean"]) for r in L.proof_status(t, d).collect()}
+    assert got == {1: ("ambiguous", None), 2: ("unmatched", None), 3: ("unmatched", None), 4: ("repaired", "One [z] end!")}
+    assert [tuple(r) for r in L.repair_by_proof(t, d).collect()] == [("b", 4, "One [z] end!")]
+
+
 def test_empty_query_and_max_sim(spark):
     assert R.parse(spark, " a ") is None
     items = spark.createDataFrame([(0, ["a", "b"]), (1, ["c"]), (2, [])], "position int, words array<string>")
