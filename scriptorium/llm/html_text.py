@@ -5,9 +5,10 @@ the roles (from class, id and role attributes) of its ancestors, and its own tex
 phrases. The chain has two states, main text and other; weights are learnt in numpy by gradient ascent on the likelihood
 of labelled pages (see ``page_generator``), and a page is decoded by Viterbi, all pages of an Arrow batch together.
 
-Defined results: null or empty html gives an empty text; script, style and other raw text, comments and the head are no
-blocks; an unclosed element ends where its parent ends; white space is what str.split() splits at, no-break spaces
-included; repeated rows get equal results; an empty table gives no rows; other columns are not read.
+Defined results: null or empty html gives an empty text; script, style, textarea, title and comments are no blocks, nor is
+the content of IGNORED elements; such an element without an end tag is empty, any other ends where its parent ends; the
+text of math is part of its sentence; only an unclosed raw text element hides the rest of a page; white space is what
+str.split() splits at, no-break spaces included; repeated rows get equal results; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,14 +24,22 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-RAW = "script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|select|audio|video|head"
+#: Their content is text up to their end tag, or to the end of the page.
+RAW = "script|style|textarea|title"
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>",
     re.S | re.I,
 )
-_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
-_HEAD_END = re.compile(r"</head\s*>|<body\b", re.I)
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW.split("|")}
+#: Elements whose content is not shown as text; one without an end tag is taken as empty.
+IGNORED = frozenset("noscript template svg iframe object canvas select audio video annotation annotation-xml".split())
+#: '/>' closes these and what is in them; the slash of an unquoted value is none.
+FOREIGN = frozenset("svg math".split())
+_SLASH = re.compile(r"(?:\A|[\s\"'])[^\s\"'=]*/\Z")
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mspace msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag of the key closes an open element of the values.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -96,6 +105,35 @@ def _roles(attrs: str) -> tuple:
     return got
 
 
+def _tokens(page: str) -> tuple[list[tuple], set[int]]:
+    """Tags of a page, (start, end, "/" or "", name, attributes), raw text elements being one nameless tag with their
+    content; and the places in that list of ignored elements that have an end tag of their own."""
+    out: list[tuple] = []
+    opened: dict[str, list[int]] = {}
+    closed: set[int] = set()
+    search = _TAG.search
+    at, end = 0, len(page)
+    while at < end and (m := search(page, at)):
+        start, at = m.span()
+        raw, name = m[1], m[4]
+        if raw:
+            foreign = opened.get("svg") or opened.get("math")
+            if not (foreign and _SLASH.search(m[2])):
+                close = _ENDS[raw.lower()].search(page, at)
+                at = close.end() if close else at if foreign else end
+            out.append((start, at, "", "", ""))
+            continue
+        name = name.lower() if name else ""
+        if name in IGNORED or name in FOREIGN:
+            if m[3]:
+                if own := opened.get(name):
+                    closed.add(own.pop())
+            elif not (name in FOREIGN and _SLASH.search(m[5])):
+                opened.setdefault(name, []).append(len(out))
+        out.append((start, at, m[3] or "", name, m[5] or ""))
+    return out, closed
+
+
 def blocks(page: str | None) -> list[tuple[str, str, frozenset, int]]:
     """Leaf blocks of a page: (text, block tag, ancestor features, characters inside links)."""
     out: list = []
@@ -106,6 +144,7 @@ def blocks(page: str | None) -> list[tuple[str, str, frozenset, int]]:
     parts: list[str] = []
     linked = links = 0
     at = 0
+    off = -1  # place in stack of the outermost ignored element
 
     def flush():
         nonlocal linked
@@ -123,61 +162,71 @@ def blocks(page: str | None) -> list[tuple[str, str, frozenset, int]]:
         out.append((text, tag, stack[-1][1] if stack else none, n))
 
     def pop_to(i: int):
-        nonlocal links
+        nonlocal links, off
         links -= sum(t == "a" for t, _ in stack[i:])
         del stack[i:]
+        if off >= i:
+            off = -1
 
-    search = _TAG.search
-    end = len(page)
-    while at < end:
-        m = search(page, at)
-        stop = m.start() if m else end
-        if stop > at:
+    tokens, closed = _tokens(page)
+    tokens.append((len(page), len(page), "", "", ""))
+    for k, (stop, after, slash, name, attrs) in enumerate(tokens):
+        if stop > at and off < 0:
             parts.append(page[at:stop])
             if links:
                 linked += stop - at
-        if not m:
-            break
-        at = m.end()
-        raw = m[1]
-        if raw:
-            raw = raw.lower()
-            close = (_HEAD_END if raw == "head" else _ENDS[raw]).search(page, at)
-            at = end if close is None else close.start() if close[0][1] != "/" else close.end()
-            if raw == "head":
-                flush()
-            continue
-        name = m[3]
+        at = after
         if not name:
             continue
-        name = name.lower()
-        if m[2]:
+        if slash:
             i = len(stack) - 1
             while i >= 0 and stack[i][0] != name:
                 i -= 1
-            if name not in INLINE:
+            if off >= 0:
+                if i >= off:
+                    pop_to(i)
+                    continue
+                if i < 0 or name in INLINE:
+                    continue
+                pop_to(off)  # its parent ends
+            if name not in INLINE and name not in IGNORED:
                 flush()
             if i >= 0 and (name not in INLINE or all(t in INLINE for t, _ in stack[i:])):
                 pop_to(i)
             continue
         if name in VOID:
+            if off >= 0:
+                continue
             if name == "br":
                 parts.append(" ")
             elif name == "hr":
                 flush()
             continue
-        attrs = m[4]
-        if name not in INLINE:
+        if name in IGNORED:
+            if k in closed:
+                stack.append((name, stack[-1][1] if stack else none))
+                if off < 0:
+                    off = len(stack) - 1
+            continue
+        if name == "head":  # what may be in a head holds no text, and the rest ends it
             flush()
+            continue
+        if attrs.endswith("/") and _SLASH.search(attrs) and (name in FOREIGN or any(t in FOREIGN for t, _ in stack)):
+            continue
+        if name not in INLINE:
+            if off < 0:
+                flush()
             own = CLOSES.get(name, none) | ({"p"} if name in ENDS_P else none)
             if own:
-                for i in range(len(stack) - 1, -1, -1):
+                for i in range(len(stack) - 1, off, -1):
                     t = stack[i][0]
                     if t in own:
                         pop_to(i)
                         break
                     if t in SCOPE:
                         break
+        elif name == "mtd" and off < 0:
+            parts.append(" ")
         if attrs.endswith("/") and name not in INLINE and len(attrs) < 2:
             continue
         feats = stack[-1][1] if stack else none

@@ -223,6 +223,17 @@ def test_html_extraction():
     assert html_text.extract([None, "", page, "a < b", "<p", "<!-- x", "<b>" * 3000], model)[:3] == ["", "", "A & B\none two three four <i>\nx y and some more words here."]
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p>a<svg class="i"/>b</p><p>c</p>', ["ab", "c"]), ('<p>a<svg/>b<svg><text>no</text></svg>c', ["abc"]), ("<p>a<svg class=i/><g><text>no</text></g></svg>b", ["ab"]),
+    ("<article><video src=x><p>b</p></article><p>c", ["b", "c"]), ("<object data=x><p>c</p>", ["c"]), ("<p>a<iframe src=x />b<p>c<iframe></iframe>d", ["ab", "cd"]),
+    ("<div>a<select><option>no</select>b<video></div>c<div></video>d</div>", ["ab", "c", "d"]), ("<p>a <object><p>no</p></object> b</p>", ["a b"]), ("<select-box>a</select-box>", ["a"]),
+    ("<html><head><meta charset=x><title>no</title><h1>a</h1><p>b", ["a", "b"]), ("<head><title>no</title></head><body>a", ["a"]), ("<svg><title>no</svg>a", ["a"]), ("a<script>no", ["a"]),
+    ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> b", ["a x=2 b"]), ('a<script>var s = "<select>"</script>b<!-- </select> -->c', ["abc"]),
+])
+def test_html_without_end_tags(page, want):
+    assert [b[0] for b in html_text.blocks(page)] == want
+
+
 def test_html_query_keeps_every_row(spark):
     model = html_text.train(page_generator.labelled_pages(60))
     pages = spark.createDataFrame([(1, None, "old"), (1, "<article><p>Some words that are here.</p></article>", "old")], "page_id int, html string, text string")
