@@ -3,9 +3,10 @@
 Each text gets counts of words, symbols, repeated lines and words in repeated 8-word windows. For each language and
 source a quantile sketch of each measure is kept: a histogram with buckets that grow by GAMMA, so any quantile is known
 to about 1 % and two sketches merge by adding their counts. A group's fence is its median and SPREADS times its upper
-(lower) quartile distance away, which at least MIN_SPREAD stands for; groups with under MIN_GROUP documents take the
+(lower) quartile distance away, which at least MIN_SPREAD (the second value in MEASURES) stands for; groups with under MIN_GROUP documents take the
 merged sketch of their language, and languages with fewer the merged sketch of all. A document is kept if it passes the
-base rule and lies inside the fences of its group. Nothing is cut at a fixed value of a measure.
+base rule and lies inside the fences of its group. Where MIN_SPREAD is more than a group's quartile distance it fixes the
+fence; on the given tables that is the rule (see the README).
 
 The measures are stored before the sketches are read, so texts are measured once; fences (a row for each language and
 source) are broadcast if there are at most BROADCAST_ROWS of them and joined by shuffle otherwise. No group of rows is
