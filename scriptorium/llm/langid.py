@@ -3,8 +3,9 @@
 The whole UTF-8 text is cut into windows of WINDOW bytes (the last one padded with zeros). Filters of widths 2, 3 and 4
 run over each window, the largest response of each filter goes through a rectifier into a softmax layer, and a text's
 score for a language is the mean of its windows' probabilities, weighted by their bytes. The network is trained in numpy
-on the driver, on a bounded sample of labelled rows: about FIT_ROWS a language, FIT_WINDOWS windows of each. Prediction
-runs on Arrow batches; a filter's response is the sum of two table rows, looked up by byte pairs.
+on the driver, on a sample of labelled texts: about FIT_ROWS distinct ones a language, FIT_WINDOWS windows of each, spread
+over the whole text. Prediction runs on Arrow batches; a filter's response is the sum of two table rows, looked up by byte
+pairs.
 
 Only the text is an input of a prediction. Defined results: a null text, or one without a letter, is ``und`` with score
 0; a row without a label or text takes no part in training; without any labelled row all texts are ``und``; equal scores
@@ -25,7 +26,7 @@ from .common import table, text_bytes, trim
 
 WINDOW = 128
 FILTERS = 12
-FIT_ROWS, FIT_WINDOWS, FIT_CHARS, FIT_STEPS, FIT_BATCH, MAX_LANGS = 400, 6, 4000, 260, 192, 256
+FIT_ROWS, FIT_WINDOWS, FIT_STEPS, FIT_BATCH = 400, 6, 260, 192
 WIDTHS = (2, 3, 4)
 UNDETERMINED = "und"
 
@@ -146,25 +147,36 @@ class ByteNet:
 
 
 def fit_languages(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS) -> ByteNet | None:
-    """A network fitted on about ``rows`` rows of each language; None if no row has a label and a letter.
+    """A network fitted on about ``rows`` distinct texts of each language; None if no row has a label and a letter.
 
-    The sample is the rows whose hash falls below a share of the hash range, set for each language from its row count.
+    The sample is the texts with the smallest hashes, up to a limit that is set for each language from the number of its
+    distinct texts, and its smallest hash at least, so every label has a text. A text gives up to FIT_WINDOWS windows,
+    spread over all of it. The driver holds some 0.3 MB for each language.
     """
-    own = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).filter("l is not null and t rlike '\\\\p{L}'")
-    counts = own.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
+    h = F.xxhash64("t", F.lit("fit")).bitwiseAND(F.lit((1 << 63) - 1))
+    own = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).filter("l is not null and t rlike '\\\\p{L}'").withColumn("h", h)
+    counts = own.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
     if not counts:
         return None
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["l"], int(min(1.0, rows / r["count"]) * 1_000_000))))
-    picked = own.filter(F.pmod(F.xxhash64("t", F.lit("fit")), F.lit(1_000_000)) < share[F.col("l")])
-    sample = sorted((r["l"], r["t"]) for r in picked.select("l", F.substring("t", 1, FIT_CHARS).alias("t")).distinct().toLocalIterator())
-    langs = sorted({x for x, _ in sample})
-    if not langs:
-        return None
-    data, starts, lens = text_bytes(pa.array([t for _, t in sample]))
+    limits = [(r["l"], (1 << 63) - 1 if r["n"] <= rows else max(r["least"], (rows << 63) // r["n"])) for r in counts]
+    limits = labelled.sparkSession.createDataFrame(limits, "l string, upto long")
+    picked = own.join(F.broadcast(limits), "l").filter("h <= upto")
+    # a long text is sent as FIT_WINDOWS pieces of a window each
+    last = f"(char_length(t) - {WINDOW})"
+    pieces = F.expr(f"transform(sequence(0, {FIT_WINDOWS - 1}), i -> substring(t, cast(1 + i * {last} div {FIT_WINDOWS - 1} as int), {WINDOW}))")
+    long = F.char_length("t") > FIT_WINDOWS * WINDOW
+    picked = picked.select("l", long.alias("long"), F.explode(F.when(long, pieces).otherwise(F.array("t"))).alias("t"))
+    sample = sorted((r["l"], r["t"], r["long"]) for r in picked.distinct().toLocalIterator())
+    langs = sorted({x for x, _, _ in sample})
+    data, starts, lens = text_bytes(pa.array([t for _, t, _ in sample]))
     x, owner, size = windows(data, starts, lens)
     step = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    keep = (step < FIT_WINDOWS) & ((size >= 24) | (step == 0))
-    y = np.array([langs.index(sample[i][0]) for i in owner[keep]])
+    n = np.bincount(owner)[owner]
+    most = np.where(np.array([w for _, _, w in sample])[owner], 1, np.minimum(n, FIT_WINDOWS))
+    spread = step * most // n != (step - 1) * most // n  # the first window of each of `most` equal parts
+    keep = spread & ((size >= 24) | (step == 0))
+    place = {l: i for i, l in enumerate(langs)}
+    y = np.array([place[sample[i][0]] for i in owner[keep]])
     net = ByteNet(langs)
     net.fit(x[keep], y)
     return net

@@ -173,6 +173,19 @@ def test_language_held_out(spark, odd, empty):
     assert {r["lang_pred"] for r in langid.detect_language(odd, None).collect()} == {"und"}
 
 
+def test_language_sample_has_every_label(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid.ByteNet, "fit", lambda self, x, y: seen.append((x, y)))
+    rows = [(f"copy of text {i % 3} in this tongue", "aa") for i in range(3000)] + [(f"text {i}", f"l{i}") for i in range(300)]
+    rows += [("x" * 5000 + "y" * 5000, "zz")] + [("a" * 400 + "b" * 300, "yy")]
+    net = langid.fit_languages(spark.createDataFrame(rows, "text string, lang string"), rows=2)
+    x, y = seen[0]
+    assert net.langs == sorted({l for _, l in rows}) and set(y.tolist()) == set(range(303))
+    for label, letters in (("zz", b"xy"), ("yy", b"ab")):
+        got = x[y == net.langs.index(label)]
+        assert 2 <= len(got) <= langid.FIT_WINDOWS and {letters[0], letters[1]} <= set(got.ravel().tolist())
+
+
 def test_quality_counts_on_odd_rows(spark, odd, empty):
     def brute(t):
         words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
