@@ -7,12 +7,12 @@ a block are taken in the order of that bound, CHUNK at a time, until the k-th be
 bounds are still evaluated, so ties go to the smaller id and the result is exact.
 
 Candidates and queries are packed into blocks, each a row with three byte strings; each block of candidates meets each
-block of queries in an equi-join on (query block, slice), so a task holds two blocks at a time. Each meeting returns k
+block of queries in an equi-join on (length, query block, slice), so a task holds two blocks at a time. Each meeting returns k
 rows for a query, and a window keeps the k best of them.
 
 Components become floor(scale * x), as integers; distances get a margin of 1e-6 for rounding. Defined results: vectors
-that are null, empty or hold null or non-finite components take no part, nor do rows with a null id; vectors of another
-length than most (ties: the longer) take no part; an empty table, or no query, gives no rows; rows with the same id are
+that are null, empty or hold null or non-finite components take no part, nor do rows with a null id; vectors meet those of
+their own length, and each length has pivots of its own; an empty table, or no query, gives no rows; rows with the same id are
 candidates each for itself, and none of them for the queries of that id; fewer candidates than k are all returned; other
 columns are not read.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -88,21 +89,41 @@ def search_block(qid: np.ndarray, q: np.ndarray, qd: np.ndarray, xid: np.ndarray
 BLOCK_SCHEMA = "n long, dim int, ids binary, vectors binary, distances binary"
 
 
-def blocks(vectors: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
-    """Vectors in rows of up to size, with their pivot table."""
+def blocks(vectors: DataFrame, pivots: dict[int, np.ndarray], size: int) -> DataFrame:
+    """Vectors in rows of up to size of one length, with their pivot table. pivots: for each length."""
 
     def pack(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, size):
-                batch = whole.slice(at, size)
-                x = np.asarray(batch.column(1).flatten(), np.int64).reshape(batch.num_rows, -1)
-                ids = np.asarray(batch.column(0), np.int64)
-                d = pivot_table(x, pivots)
-                yield pa.RecordBatch.from_pydict({"n": [len(ids)], "dim": pa.array([x.shape[1]], pa.int32()), "ids": [ids.tobytes()], "vectors": [x.astype(np.int32 if np.abs(x).max() < 2**31 else np.int64).tobytes()], "distances": [d.tobytes()]})
-
+            lengths = pc.list_value_length(whole.column(1)).to_numpy(zero_copy_only=False)
+            for dim in np.unique(lengths).tolist():
+                own = whole.filter(pa.array(lengths == dim))
+                for at in range(0, own.num_rows, size):
+                    batch = own.slice(at, size)
+                    x = np.asarray(batch.column(1).flatten(), np.int64).reshape(batch.num_rows, dim)
+                    ids = np.asarray(batch.column(0), np.int64)
+                    d = pivot_table(x, pivots[dim])
+                    yield pa.RecordBatch.from_pydict({"n": [len(ids)], "dim": pa.array([dim], pa.int32()), "ids": [ids.tobytes()], "vectors": [x.astype(np.int32 if np.abs(x).max() < 2**31 else np.int64).tobytes()], "distances": [d.tobytes()]})
+
+    if len(pivots) > 1:  # so that a batch holds few lengths
+        vectors = vectors.sortWithinPartitions(F.size("v"))
     return vectors.mapInArrow(pack, BLOCK_SCHEMA)
 
 
+def length_pivots(vectors: DataFrame, n_pivots: int) -> dict[int, np.ndarray]:
+    """Pivots of each length, from about PIVOT_SAMPLE rows in all: a length's share of them, n_pivots at least if it has so many."""
+    own = vectors.select("v", F.size("v").alias("dim"), F.xxhash64("vec_id", "v").bitwiseAND(F.lit((1 << 63) - 1)).alias("h"))
+    counts = own.groupBy("dim").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
+    if not counts:
+        return {}
+    total = sum(r["n"] for r in counts)
+    limit = lambda r, rows: (1 << 63) - 1 if r["n"] <= rows else max(r["least"], (rows << 63) // r["n"])
+    limits = vectors.sparkSession.createDataFrame([(r["dim"], limit(r, max(2 * n_pivots, PIVOT_SAMPLE * r["n"] // total))) for r in counts], "dim int, upto long")
+    sample: dict[int, list] = {}
+    for r in own.join(F.broadcast(limits), "dim").filter("h <= upto").orderBy("h").select("v").toLocalIterator():
+        sample.setdefault(len(r["v"]), []).append(r["v"])
+    return {dim: pick_pivots(np.array(rows, np.int64), n_pivots) for dim, rows in sample.items()}
+
+
 def _unpack(n: int, dim: int, ids: bytes, vectors: bytes, distances: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kind = np.int32 if len(vectors) == 4 * n * dim else np.int64
     return np.frombuffer(ids, np.int64), np.frombuffer(vectors, kind).reshape(n, dim), np.frombuffer(distances, np.float64).reshape(n, -1)
@@ -112,23 +133,21 @@ def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col
     """query_id, rank, vec_id, score: the k best of all rows for each row for which is_query(id column) holds."""
     spark = vectors.sparkSession
     own = materialise(integer_vectors(vectors, id_col, vec_col, scale), "vectors")
-    dims = own.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if not dims:
+    pivots = length_pivots(own, n_pivots)
+    if not pivots:
         return empty
-    own = own.filter(F.size("v") == dims[0]["dim"])
-    sample = own.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(PIVOT_SAMPLE).select("v").collect()
-    pivots = pick_pivots(np.array([r["v"] for r in sample], np.int64), n_pivots)
     n_slices = slots(spark)
     queries = materialise(blocks(own.filter(is_query(F.col("vec_id"))).coalesce(n_slices), pivots, query_block), "queries")
-    numbered = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), (F.row_number().over(Window.orderBy("ids")) - 1).alias("qb"))
+    numbered = queries.select("dim", *(F.col(c).alias(f"q_{c}") for c in queries.columns), (F.row_number().over(Window.partitionBy("dim").orderBy("ids")) - 1).alias("qb"))
     numbered = materialise(numbered, "query-blocks")  # a row for each query_block queries
-    n_blocks = numbered.count()
+    n_blocks = numbered.groupBy("dim").agg(F.count("*").alias("n_blocks")).collect()
     if not n_blocks:
         return empty
+    n_blocks = spark.createDataFrame([tuple(r) for r in n_blocks], "dim int, n_blocks long")
     pieces = blocks(own, pivots, block).withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(n_slices)))
-    pieces = pieces.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    met = pieces.join(numbered.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long")))), ["qb", "slice"])
+    pieces = pieces.join(F.broadcast(n_blocks), "dim").withColumn("qb", F.explode(F.sequence(F.lit(0), (F.col("n_blocks") - 1).cast("int"))))
+    met = pieces.join(numbered.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long")))), ["dim", "qb", "slice"])
 
     def search(batches):
         for whole in batches:

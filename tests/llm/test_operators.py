@@ -270,6 +270,19 @@ def test_top_k_with_odd_vectors(spark):
     assert topk.exact_top_k(df.limit(0), lambda i: i % 100 == 0).count() == 0
 
 
+def test_top_k_of_each_length(spark):
+    r = random.Random(4)
+    rows = [(i, [r.choice([-1.0, -0.5, 0.0, 0.25]) for _ in range((2, 3, 3, 3, 5)[i % 7 % 5])]) for i in range(600)] + [(100, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(x["query_id"], x["rank"]): (x["vec_id"], x["score"]) for x in topk.exact_top_k(df, lambda i: i % 100 == 0, block=64, query_block=2).collect()}
+    ok = [(i, [math.floor(1024 * c) for c in v]) for i, v in rows]
+    want = {}
+    for q in {i for i, _ in ok if i % 100 == 0}:
+        best = sorted((-sum(a * b for a, b in zip(v, w)), i) for p, v in ok if p == q for i, w in ok if i != q and len(v) == len(w))[:10]
+        want |= {(q, k + 1): (i, -s) for k, (s, i) in enumerate(best)}
+    assert got == want
+
+
 def test_pivots_eliminate():
     rng = np.random.default_rng(1)
     centre = rng.normal(size=(10, 32)) * 1000
