@@ -83,6 +83,34 @@ def attach_unique(rows: DataFrame, facts: DataFrame, key: str, name: str, value:
     return rows.join(per, key, "left").withColumn("facts", F.when(~F.col("refused"), F.col("facts"))).withColumn("refused", F.coalesce("refused", F.lit(False)))
 
 
+def _grades_of(keyed: DataFrame, entries: DataFrame, radius: int) -> DataFrame:
+    """(book, id, grades) of the rows whose key has grades: those of the key, or else of the one donor that proves it.
+    keyed: book, id, key; entries: book, ord, text, key, grades."""
+    flat = F.array_sort(F.array_distinct(F.flatten(F.collect_list("grades"))))
+    exact = entries.groupBy("book", "key").agg(flat.alias("grades"))
+    names = F.array_distinct(F.transform("grades", lambda g: g["name"]))
+    exact = exact.withColumn("grades", F.when(F.size("grades") == F.size(names), F.col("grades")))  # a grader with two verdicts is refused
+    found = keyed.join(exact, ["book", "key"]).select("book", "id", "grades")
+    first = entries.filter("trim(text) <> ''").groupBy("book", "key").agg(F.min_by(F.struct(F.col("text").alias("clean"), "grades"), "ord").alias("e"))
+    first = first.select("book", "key", "e.clean", "e.grades")
+    damaged = keyed.join(exact.select("book", "key"), ["book", "key"], "left_anti").select("book", "id", "key")
+    proved = proved_in_window(damaged, first.drop("grades"), radius).groupBy("book", "id").agg(F.min("donor_rank").alias("lo"), F.max("donor_rank").alias("hi"), F.min("clean").alias("clean"))
+    twin = proved.filter("lo = hi").select("book", "id", T.norm_key(F.col("clean")).alias("key")).join(first.select("book", "key", "grades"), ["book", "key"])
+    return found.unionByName(twin.select("book", "id", "grades")).filter("size(grades) > 0")
+
+
+def lookup_grades(rows: DataFrame, entries: DataFrame, radius: int = 64) -> DataFrame:
+    """rows (book, id, narrator, text) with grades, or null: by the key of narrator and text, or else by that of the text. A key
+    has the grades of all entries of that key, refused if a grader has two verdicts; a key without an entry has those of the
+    first entry of its clean twin, the one donor key that proves it. entries: book, ord, text, grades (array<struct<name, grade>>)."""
+    own = rows.filter("trim(text) <> ''").select("book", "id", F.coalesce("narrator", F.lit("")).alias("narrator"), F.trim("text").alias("text"))
+    e = entries.select("book", "ord", F.coalesce("text", F.lit("")).alias("text"), "grades").withColumn("key", T.norm_key(F.col("text")))
+    whole = _grades_of(own.select("book", "id", T.norm_key(F.concat_ws(" ", "narrator", "text")).alias("key")), e, radius)
+    rest = own.join(whole.select("book", "id"), ["book", "id"], "left_anti")
+    text_only = _grades_of(rest.select("book", "id", T.norm_key(F.col("text")).alias("key")), e, radius)
+    return rows.drop("grades").join(whole.unionByName(text_only), ["book", "id"], "left")
+
+
 def align_groups(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs (book, row, donor) of equal folds whose groups are equally large, in order. left: book, row, fold; right: the same.
     A fold that occurs once on each side is the common case of a group of one."""

@@ -104,6 +104,16 @@ def test_repair_by_proof_refuses_ambiguity(spark):
     assert [tuple(r) for r in L.repair_by_proof(t, d).collect()] == [("b", 4, "One [z] end!")]
 
 
+def test_lookup_grades_falls_back(spark):
+    rows = [(1, "N", "exact"), (2, "N", "damaged end"), (3, "N", "text only"), (4, "N", "two verdicts"), (5, "N", "ambiguous end"), (6, None, " "), (7, "X", "scarred end"), (8, "", "none")]
+    entries = [("N exact", [("b", "1"), ("a", "2")]), ("N exact!", [("a", "2")]), ("N damaged [x] end", [("c", "3")]), ("N damaged [x] end.", [("d", "9")]), ("text only", [("e", "4")])]
+    entries += [("N two verdicts", [("f", "5")]), ("N two verdicts", [("f", "6")]), ("N ambiguous [x] end", [("g", "7")]), ("N ambiguous [y] end", [("g", "7")]), ("scarred [z] end", [("h", "8")])]
+    r = spark.createDataFrame([("b", *x) for x in rows], "book string, id long, narrator string, text string")
+    e = spark.createDataFrame([("b", i, *x) for i, x in enumerate(entries)], "book string, ord long, text string, grades array<struct<name string, grade string>>")
+    got = {x["id"]: x["grades"] and [tuple(g) for g in x["grades"]] for x in L.lookup_grades(r, e).collect()}
+    assert got == {1: [("a", "2"), ("b", "1")], 2: [("c", "3")], 3: [("e", "4")], 4: None, 5: None, 6: None, 7: [("h", "8")], 8: None}
+
+
 def test_empty_query_and_max_sim(spark):
     assert R.parse(spark, " a ") is None
     items = spark.createDataFrame([(0, ["a", "b"]), (1, ["c"]), (2, [])], "position int, words array<string>")
