@@ -10,7 +10,11 @@ i64 doc ids, u8 "doc id is there" flags, u32 tokens of each document, u32 ids by
 
 Defined results: a null text counts as empty (its document holds the end id only); a null doc id stands before all
 others and stays null; repeated rows are all written, one after another; an empty table gives no rows; other columns,
-whatever their names, are not read. Documents with equal ids come in an order that their place in the input decides.
+whatever their names, are not read. Documents with equal ids come in an order that their place in the input decides, which
+also splits an id that many rows share. A text of any length is one document of one shard.
+
+Shards are named by task attempt and read through the manifest alone, which Spark commits with the job: what a lost or
+late attempt leaves behind is never read and overwrites nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import get_file, put_file, table, trim, work_dir
+from .common import attempt, get_file, put_file, table, trim, work_dir
 from .tokens import default_path, encoder
 
 MAGIC = b"RTKV0001"
@@ -115,11 +119,11 @@ def write_token_file(docs: DataFrame, out_dir: str, *, id_col: str = "doc_id", t
 
     def write(batches):
         at, shard, held, ids, counts, total = TaskContext.get().partitionId(), 0, [], [], [], 0
-        enc = encoder(path)
+        enc, mine = encoder(path), attempt()
 
         def flush():
             raw = pack_shard(held, np.concatenate(counts), np.concatenate(ids))
-            where = f"{out_dir}/shards/{at:06d}-{shard:05d}.tkv"
+            where = f"{out_dir}/shards/{at:06d}-{shard:05d}-{mine}.tkv"
             put_file(where, raw)
             return pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), "shard": pa.array([shard], pa.int32()), "path": [where], "n_docs": [len(held)], "n_tokens": [total], "n_bytes": [len(raw)]})
 
@@ -148,16 +152,22 @@ def write_token_file(docs: DataFrame, out_dir: str, *, id_col: str = "doc_id", t
             yield flush()
         trim()
 
-    dealt = own.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    own = own.withColumn("place", F.monotonically_increasing_id())
+    dealt = own.repartitionByRange(n, "doc_id", "place").sortWithinPartitions("doc_id", "place").drop("place")
     dealt.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
 
-def read_token_file(spark: SparkSession, out_dir: str, *, with_ids: bool = True) -> DataFrame:
+def read_token_file(spark: SparkSession, out_dir: str, *, with_ids: bool = True, shards_a_task: int = 4) -> DataFrame:
     """The documents of a token file: doc_id, start (ids before it in the whole file), n_tokens, ids_crc32 and, if asked, ids."""
     shards = spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
-    whole = Window.orderBy("range", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = shards.select("range", "shard", "path", F.coalesce(F.sum("n_tokens").over(whole), F.lit(0)).cast("long").alias("start"))
+    # a range's shards are summed first, so that what one task orders is three numbers for each range of RANGE_BYTES
+    ranges = shards.groupBy("range").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(F.col("range").alias("r"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("range").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    placed = shards.withColumn("start", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    placed = placed.join(ranges, F.col("range") == F.col("r")).select("path", (F.col("start") + F.col("base")).cast("long").alias("start"))
 
     def read(batches):
         for batch in batches:
@@ -173,8 +183,8 @@ def read_token_file(spark: SparkSession, out_dir: str, *, with_ids: bool = True)
                 yield pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    # one task for some shards, dealt by shard name; a shard is the unit that is read at a time
-    return placed.repartition(max(1, min(shards.count(), 4096)), "path").select("path", "start").mapInArrow(read, schema)
+    # shards are dealt by name; a shard is the unit that is read at a time
+    return placed.repartition(max(1, -(-shards.count() // shards_a_task)), "path").mapInArrow(read, schema)
 
 
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,14 @@ A byte-level BPE tokeniser cuts a text into pieces before it merges bytes, and n
 feed that stands between two visible characters. So the ids of a text are those of its chunks " word" one after
 another, and the tokenizers library has to see each distinct chunk once. Chunks are found, keyed and looked up by numpy
 on the Arrow bytes; a key is the chunk's own bytes, so a hit is exact. Texts with other white space (runs, tabs,
-no-break spaces) go to the library whole.
+no-break spaces) go to the library whole, and so do texts that hold the literal of an added token, such as a special one,
+which the library gives the token's own id.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,15 @@ class BatchEncoder:
 
     #: Whether a text's first chunk is encoded unlike the same chunk elsewhere.
     prefixed = False
+    #: UTF-8 literals that the library looks for before anything else.
+    added: list[bytes] = []
 
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.limit = cache_chunks
         self._clear()
@@ -133,7 +137,9 @@ class BatchEncoder:
         three = buf[lead + 2]
         first = b[lead]
         wide = lead[((first == 0xC2) & ((two == 0x85) | (two == 0xA0))) | ((first == 0xE1) & (two == 0x9A)) | ((first == 0xE2) & (((two == 0x80) & ((three < 0x8B) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF))) | ((two == 0x81) & (three == 0x9F)))) | ((first == 0xE3) & (two == 0x80) & (three == 0x80))]
-        where = np.concatenate([bad, pair, wide])
+        raw = b.tobytes() if self.added else b""
+        marks = np.array([m.start() for x in self.added for m in re.finditer(re.escape(x), raw)], np.int64)
+        where = np.concatenate([bad, pair, wide, marks])
         odd = np.zeros(len(starts), bool)
         if self.prefixed and len(full):
             odd[full] = space[starts[full]]
