@@ -8,12 +8,14 @@ from the query's own filters.
 
 Writing: payload digests and the first page of each digest are found by Spark; pages and digests are joined without a
 hint, so that the engine broadcasts the digests that repeat only if they are small and splits hot ones if not. A task
-rolls its archive at ARCHIVE_BYTES, so memory is bounded by one record and one archive.
+rolls its archive at ARCHIVE_BYTES, so memory is bounded by one record and one archive. Archives are named by task attempt,
+and ``read_archives`` reads those of the manifest, which Spark commits with the job: what a lost or late attempt leaves in
+the folder is never read. ``read_warc`` reads any archives, such as those of other writers, by folder.
 
 Defined results: null html is an empty payload; a null url leaves the target header out; a page with a null id is
 written under an id made from its digest and is a response (nothing can refer to it); of repeated rows with the smallest
 id of their payload each is a response; an empty table gives an archive folder without records and no rows; other
-columns, whatever their names, are not read.
+columns, whatever their names, are not read. A page of any length is one record.
 """
 
 from __future__ import annotations
@@ -23,13 +25,14 @@ import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import dataset
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith
 
-from .common import open_fs, put_file, table, work_dir
+from .common import attempt, open_fs, put_file, table, work_dir
 
 ARCHIVE_BYTES = 32 << 20
 MIN_REVISIT_BYTES = 100
@@ -75,10 +78,10 @@ def write_warc(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", url_c
     joined = joined.select("page_id", "url", F.when(F.col("page_id") > F.col("first_id"), None).otherwise(F.col("html")).alias("html"), "digest", "n_bytes", F.when(F.col("page_id") > F.col("first_id"), F.col("first_id")).alias("refers_to"))
 
     def write(batches):
-        at, number, parts, size = TaskContext.get().partitionId(), 0, [], 0
+        at, mine, number, parts, size = TaskContext.get().partitionId(), attempt(), 0, [], 0
 
         def flush():
-            where = f"{out_dir}/archives/pages-{at:06d}-{number:05d}.warc.gz"
+            where = f"{out_dir}/archives/pages-{at:06d}-{number:05d}-{mine}.warc.gz"
             put_file(where, b"".join(parts))
             return pa.RecordBatch.from_pydict({"path": [where], "n_records": [len(parts)], "n_bytes": [size]})
 
@@ -224,6 +227,8 @@ class Archive(InputPartition):
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
+        #: A folder written by ``write_warc`` that names the archives to read.
+        self.manifest = options.get("manifest")
         self.with_payload = options.get("payload", "true").lower() == "true"
         self.with_headers = options.get("headers", "true").lower() == "true"
         #: Header name to the set of values that pass, and to the prefix that passes.
@@ -244,6 +249,10 @@ class WarcReader(DataSourceReader):
         return all(headers.get(k) in v for k, v in self.equal.items()) and all((headers.get(k) or "").startswith(v) for k, v in self.prefix.items())
 
     def partitions(self):
+        if self.manifest:
+            fs, path = open_fs(self.manifest)
+            names = dataset.dataset(path, pa.schema([("path", pa.string())]), "parquet", fs).to_table().column("path").to_pylist()
+            return [Archive(n) for n in sorted(names)] or [Archive("")]
         fs, path = open_fs(self.path)
         info = fs.get_file_info(path)
         if info.type == pafs.FileType.File:
@@ -313,10 +322,15 @@ def read_warc(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.read.format("warc").option("pushdown", push).options(**options).load(path)
 
 
+def read_archives(spark: SparkSession, out_dir: str, **options: str) -> DataFrame:
+    """The archives that a finished ``write_warc`` to out_dir has committed."""
+    return read_warc(spark, f"{out_dir}/archives", manifest=f"{out_dir}/manifest", **options)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), out)
-    back = read_warc(spark, f"{out}/archives", payload_of="response", headers="false")
+    back = read_archives(spark, out, payload_of="response", headers="false")
     response = F.col("warc_type") == "response"
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return back.select(
