@@ -9,9 +9,12 @@ the maximum over them is kept with its backpointer. Ties go to the longer last p
 This is the unigram criterion. Where a model file was made for pair merging, its scores are merge ranks: the result is the
 segmentation with the least sum of ranks and may differ from the merges.
 
+The model file's settings are read and must be those that this segmentation keeps to: identity normalisation, a leading
+space, spaces kept as they are, byte pieces for unknown characters, no user-defined pieces. Other models raise ValueError.
+
 Defined results: a null text counts as empty and has no pieces; a space and U+2581 are the same character; decoding
 returns the text itself otherwise; repeated rows get equal results; an empty table gives no rows; other columns are not
-read.
+read, whatever their names; a text of any length is segmented whole.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from .tokens import CACHE_CHUNKS, BatchEncoder
 SPACE = "▁"
 UNKNOWN = 10.0
 _BASE = np.uint64(0x100000001B3)
-NORMAL, BYTE = (1, 4), 6
+NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 
 
 def _fields(raw: bytes):
@@ -76,16 +79,37 @@ def read_model(path: str) -> list[tuple[str, float, int]]:
     return out
 
 
+def check_settings(path: str) -> None:
+    """Raises ValueError where the model's settings ask for another treatment of texts. Field numbers are those of the public
+    model format; a field that is left out has its default."""
+    with open(path, "rb") as f:
+        parts = dict(x for x in _fields(f.read()) if x[0] in (2, 3))
+    trainer, normalizer = dict(_fields(parts.get(2, b""))), dict(_fields(parts.get(3, b"")))
+    wrong = {
+        "a normalisation table": bool(normalizer.get(2)),
+        "no leading space": not normalizer.get(3, 1),
+        "removal of extra spaces": bool(normalizer.get(4, 1)),
+        "unescaped spaces": not normalizer.get(5, 1),
+        "spaces as suffixes": bool(trainer.get(24, 0)),
+        "no byte pieces": not trainer.get(35, 0),
+    }
+    if any(wrong.values()):
+        raise ValueError("the model asks for " + ", ".join(k for k, v in wrong.items() if v))
+
+
 class PieceEncoder(BatchEncoder):
     """Ids of many texts at once; chunks " word" are cached."""
 
     prefixed = True
 
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+        check_settings(path)
         pieces = read_model(path)
+        if any(t == USER_DEFINED for _, _, t in pieces):
+            raise ValueError("the model has user-defined pieces")
         self.dtype = np.uint16 if len(pieces) <= 1 << 16 else np.uint32
         self.limit = cache_chunks
-        normal = [(p, s, i) for i, (p, s, t) in enumerate(pieces) if t in NORMAL and p]
+        normal = [(p, s, i) for i, (p, s, t) in enumerate(pieces) if t == NORMAL and p]
         if any(SPACE in p.lstrip(SPACE) for p, _, _ in normal):
             raise ValueError("a piece reaches over a space: words can't be segmented one by one")
         self.longest = max(len(p) for p, _, _ in normal)
@@ -106,7 +130,7 @@ class PieceEncoder(BatchEncoder):
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.piece_keys >> np.uint64(44)).astype(np.int64)] = True
         # decoding: bytes of each piece, one after another
-        own = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(SPACE, " ").encode() if t in NORMAL else b"" for p, _, t in pieces]
+        own = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(SPACE, " ").encode() if t == NORMAL else b"" for p, _, t in pieces]
         self.out_len = np.array([len(b) for b in own], np.int64)
         self.out_at = np.cumsum(self.out_len) - self.out_len
         self.out_bytes = np.frombuffer(b"".join(own), np.uint8)
