@@ -10,7 +10,7 @@ pairs.
 Only the text is an input of a prediction. Defined results: a null text, or one without a letter, is ``und`` with score
 0; a row without a label or text takes no part in training; without any labelled row all texts are ``und``; equal scores
 go to the language first in code-point order; repeated rows get equal results; an empty table gives no rows; an output
-column that the input has already is replaced.
+column that the input has already is replaced by ``detect_language``; a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -22,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes, trim
+from .common import fresh, table, text_bytes, trim
 
 WINDOW = 128
 FILTERS = 12
 FIT_ROWS, FIT_WINDOWS, FIT_STEPS, FIT_BATCH = 400, 6, 260, 192
 WIDTHS = (2, 3, 4)
+RIDGE = 1e-4
 UNDETERMINED = "und"
 
 
@@ -84,6 +85,29 @@ class ByteNet:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+        """Of the mean cross entropy (and a slight ridge on the last layer), for each table, then out, then bias."""
+        padded = np.concatenate([x, np.zeros((len(x), 4), np.uint8)], 1)
+        every = np.concatenate([sum(t[padded[:, k : k + WINDOW - 1]] for k, t in enumerate(w)) for w in self.tables], 2)
+        at = every.argmax(axis=1)
+        pooled = np.take_along_axis(every, at[:, None], 1)[:, 0]
+        hidden = np.maximum(pooled, 0)
+        z = hidden @ self.out + self.bias
+        z = np.exp(z - z.max(axis=1, keepdims=True))
+        d = z / z.sum(axis=1, keepdims=True)
+        d[np.arange(len(y)), y] -= 1
+        d /= len(y)
+        back = (d @ self.out.T) * (pooled > 0)
+        grads = []
+        rows = np.arange(len(x))[:, None]
+        for i, w in enumerate(self.tables):
+            cols = slice(i * FILTERS, (i + 1) * FILTERS)
+            for k in range(len(w)):
+                cell = padded[rows, at[:, cols] + k].astype(np.int64) * FILTERS + np.arange(FILTERS)
+                grads.append(np.bincount(cell.ravel(), back[:, cols].ravel(), 256 * FILTERS).reshape(256, FILTERS).astype(np.float32))
+                grads[-1][0] = 0  # padding adds nothing
+        return [*grads, hidden.T @ d + RIDGE * self.out, d.sum(axis=0)]
+
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = FIT_STEPS, batch: int = FIT_BATCH, rate: float = 0.02, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
         params = [*(t for w in self.tables for t in w), self.out, self.bias]
@@ -91,28 +115,7 @@ class ByteNet:
         by_class = [np.flatnonzero(y == c) for c in range(len(self.langs))]
         for step in range(1, steps + 1):
             pick = np.concatenate([rng.choice(own, max(1, batch // len(by_class))) for own in by_class if len(own)])
-            own, want = x[pick], y[pick]
-            padded = np.concatenate([own, np.zeros((len(own), 4), np.uint8)], 1)
-            every = np.concatenate([sum(t[padded[:, k : k + WINDOW - 1]] for k, t in enumerate(w)) for w in self.tables], 2)
-            at = every.argmax(axis=1)
-            pooled = np.take_along_axis(every, at[:, None], 1)[:, 0]
-            hidden = np.maximum(pooled, 0)
-            z = hidden @ self.out + self.bias
-            z = np.exp(z - z.max(axis=1, keepdims=True))
-            d = z / z.sum(axis=1, keepdims=True)
-            d[np.arange(len(pick)), want] -= 1
-            d /= len(pick)
-            back = (d @ self.out.T) * (pooled > 0)
-            grads = []
-            rows = np.arange(len(own))[:, None]
-            for i, w in enumerate(self.tables):
-                cols = slice(i * FILTERS, (i + 1) * FILTERS)
-                for k in range(len(w)):
-                    cell = padded[rows, at[:, cols] + k].astype(np.int64) * FILTERS + np.arange(FILTERS)
-                    grads.append(np.bincount(cell.ravel(), back[:, cols].ravel(), 256 * FILTERS).reshape(256, FILTERS).astype(np.float32))
-                    grads[-1][0] = 0  # padding adds nothing
-            grads += [hidden.T @ d + 1e-4 * self.out, d.sum(axis=0)]
-            for p, g, mm, vv in zip(params, grads, m, v):
+            for p, g, mm, vv in zip(params, self.gradients(x[pick], y[pick]), m, v):
                 mm *= 0.9
                 mm += 0.1 * g
                 vv *= 0.99
@@ -201,9 +204,7 @@ def language(text: Column, net: ByteNet | None) -> Column:
 
 def detect_language(docs: DataFrame, net: ByteNet | None, *, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """docs with the predicted language and its score."""
-    struct = "__language"
-    while struct in docs.columns:
-        struct += "_"
+    struct = fresh(docs.columns, "language_struct")
     out = docs.withColumn(struct, language(F.col(text_col), net))
     return out.withColumns({pred_col: F.col(f"{struct}.lang_pred"), score_col: F.col(f"{struct}.score")}).drop(struct)
 
@@ -225,6 +226,10 @@ MIN_SCORE = 0.35
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose best language has a score of MIN_SCORE at least. Null texts and texts without a letter go; null ids and
+    labels stay, a row without a label only teaches nothing; without any labelled row all go. Repeated rows fare alike; all
+    columns of docs, whatever their names, come back as they are; an empty table gives no rows; texts are read whole."""
     net = fit_languages(docs.filter(F.coalesce(_remainder(F.col("doc_id")) != 1, F.lit(True))))
-    out = detect_language(docs, net, pred_col="__pred", score_col="__score")
-    return out.filter((F.col("__pred") != UNDETERMINED) & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
+    pred, score = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "lang_score")
+    out = detect_language(docs, net, pred_col=pred, score_col=score)
+    return out.filter((F.col(pred) != UNDETERMINED) & (F.col(score) >= MIN_SCORE)).select(*(F.col(f"`{c}`") for c in docs.columns))
