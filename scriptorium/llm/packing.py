@@ -1,24 +1,28 @@
 """Operator 6: harmonic packing of token sequences.
 
-With capacity C, a piece whose length lies in (C/(k+1), C/k] belongs to class k, and a bin of class k takes k pieces of
-it, whatever they are. Each worker fills the bins of its own rows and shares none. Documents may be cut, so lengths are
-chosen to fit their class: a document gives whole bins of C (class 1), then C/2, C/4 ... down to GRAIN as its length has
-them in binary (classes 2, 4, ..., whose bins are full to the last token), and a tail under GRAIN, whose class k >= C/GRAIN
-wastes less than C/k tokens a bin. When a worker's rows end, what is left in unfilled bins goes one after another into
-shared bins, cut where a bin ends; the last is cut at powers of two, where a sequence needs no padding. Padding is
-thus some GRAIN/2 tokens in each bin of tails and none elsewhere.
+With capacity C, an item whose length lies in (C/(k+1), C/k] belongs to class k, and a bin of class k takes k items of it,
+whatever they are. Each worker fills the bins of its own rows and shares none. An item is a whole document; one of C tokens
+or more first gives whole bins of C, and what is left of it is the item.
 
-Memory: a class holds less than one bin of pieces; the number of classes is at most C/2 + log2 C, whatever the input.
+k items of class k leave less than C/(k+1) tokens of a bin empty. Since documents may be cut, a document at hand is cut
+up to fill these rooms: the filler, which is the next document where the one before is used up. So a bin is full to the
+last token, all documents but the fillers stay whole, and nothing is padded. When a worker's rows end, what is left in
+unfilled bins goes one after another into shared bins, cut where a bin ends; the last is cut at powers of two, where a
+sequence needs no padding.
+
+Memory: a class holds less than one bin of items, and there is one filler, of less than C tokens; classes are at most C,
+whatever the input. A document is held whole while it is cut.
 
 Defined results: a null text counts as empty (its document is the end id alone); a null doc id stays null; repeated rows
 are packed each for itself; an empty table gives no rows; other columns, whatever their names, are not read.
-``sequence_id`` is unique over all workers: (partition << 36) + number in the partition. Which pieces share a sequence
-depends on how the input is split into partitions; the pieces of a document do not.
+``sequence_id`` is unique over all workers: (partition << 36) + number in the partition. Which pieces share a sequence,
+and which documents are cut, depends on how the input is split into partitions.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -29,56 +33,66 @@ from pyspark.sql import functions as F
 from .common import table, trim
 from .tokens import default_path, encoder
 
-CAPACITY, GRAIN = 2048, 128
-
-
-def cut(length: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
-    """Lengths of a document's pieces: whole bins, halves of bins down to grain, a tail."""
-    out = [capacity] * (length // capacity)
-    rest = length % capacity
-    size = capacity // 2
-    while size >= grain:
-        if rest & size:
-            out.append(size)
-        size //= 2
-    if rest % grain:
-        out.append(rest % grain)
-    return out
+CAPACITY = 2048
 
 
 class HarmonicPacker:
-    """Packs pieces (doc, start, ids) of one worker; finished sequences come out of add() and finish()."""
+    """Packs documents of one worker. A piece is (doc, start, ids); finished sequences, lists of pieces, come out of add() and
+    finish()."""
 
-    def __init__(self, capacity: int = CAPACITY, grain: int = GRAIN):
-        if capacity & (capacity - 1) or grain & (grain - 1) or not 1 <= grain <= capacity:
-            raise ValueError("capacity and grain are powers of two, grain at most capacity")
-        self.capacity, self.grain = capacity, grain
+    def __init__(self, capacity: int = CAPACITY):
+        if capacity < 1 or capacity & (capacity - 1):
+            raise ValueError("capacity is a power of two")
+        self.capacity = capacity
         self.open: dict[int, list] = {}
+        self.filler: tuple | None = None
+        #: The bin that waits for the next filler, and its empty tokens.
+        self.waiting: tuple[list, int] | None = None
+
+    def _fill(self, held: list, room: int):
+        """The bin as a sequence, if the filler fills it."""
+        while room and self.filler:
+            doc, at, ids = self.filler
+            held.append((doc, at, ids[:room]))
+            self.filler = (doc, at + room, ids[room:]) if len(ids) > room else None
+            room -= len(held[-1][2])
+        if room:
+            self.waiting = held, room
+        else:
+            yield held
 
     def add(self, doc, ids: np.ndarray):
-        """Bins that this document completes, each a list of (doc, start, ids)."""
+        """Bins that this document completes."""
         at = 0
-        for n in cut(len(ids), self.capacity, self.grain):
-            k = self.capacity // n  # the class: n lies in (capacity/(k+1), capacity/k]
-            held = self.open.setdefault(k, [])
-            held.append((doc, at, ids[at : at + n]))
-            at += n
-            if len(held) == k:
-                yield self.open.pop(k)
+        while len(ids) - at >= self.capacity:
+            yield [(doc, at, ids[at : at + self.capacity])]
+            at += self.capacity
+        if at == len(ids):
+            return
+        item = doc, at, ids[at:].copy() if at else ids  # a long document is not held for its rest
+        if self.waiting:
+            self.filler, (held, room), self.waiting = item, self.waiting, None
+            yield from self._fill(held, room)
+            return
+        k = self.capacity // len(item[2])  # the class: the length lies in (capacity/(k+1), capacity/k]
+        held = self.open.setdefault(k, [])
+        held.append(item)
+        if len(held) == k:
+            yield from self._fill(held, self.capacity - sum(len(p[2]) for p in self.open.pop(k)))
 
     def finish(self):
         """What is left: in order of class into shared bins, cut where they end; the rest cut at powers of two."""
-        line = [p for k in sorted(self.open) for p in self.open[k]]
-        self.open = {}
+        line = deque([*(self.waiting[0] if self.waiting else ()), *([self.filler] if self.filler else ()), *(p for k in sorted(self.open) for p in self.open[k])])
+        self.open, self.filler, self.waiting = {}, None, None
         left = sum(len(p[2]) for p in line)
         while left:
             room = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
             left -= room
             out = []
             while room:
-                doc, at, ids = line.pop(0)
+                doc, at, ids = line.popleft()
                 if len(ids) > room:
-                    line.insert(0, (doc, at + room, ids[room:]))
+                    line.appendleft((doc, at + room, ids[room:]))
                     ids = ids[:room]
                 out.append((doc, at, ids))
                 room -= len(ids)
@@ -88,12 +102,12 @@ class HarmonicPacker:
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 1, capacity: int = CAPACITY, grain: int = GRAIN, with_ids: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 1, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked, ids. No shuffle."""
     path = tokenizer or default_path()
 
     def pack(batches):
-        enc, packer, number = encoder(path), HarmonicPacker(capacity, grain), TaskContext.get().partitionId() << 36
+        enc, packer, number = encoder(path), HarmonicPacker(capacity), TaskContext.get().partitionId() << 36
         rows: list[list] = [[] for _ in range(8)]
 
         def lay(sequence):
@@ -141,5 +155,5 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's last stage: pieces with their token ids."""
+    """The pipeline's last stage: pieces with their token ids, of every row of docs (see the module for odd rows)."""
     return pack_documents(docs)
