@@ -8,7 +8,8 @@ of labelled pages (see ``page_generator``), and a page is decoded by Viterbi, al
 Defined results: null or empty html gives an empty text; script, style, textarea, title and comments are no blocks, nor is
 the content of IGNORED elements; such an element without an end tag is empty, any other ends where its parent ends; the
 text of math is part of its sentence; only an unclosed raw text element hides the rest of a page; white space is what
-str.split() splits at, no-break spaces included; repeated rows get equal results; an empty table gives no rows; other columns are not read.
+str.split() splits at, no-break spaces included; repeated rows get equal results; an empty table gives no rows; a column
+of the output's name is replaced by ``extract_main_text``, and others are not read; a page of any length is read whole.
 """
 
 from __future__ import annotations
@@ -325,46 +326,51 @@ class ChainModel:
                 now[:k] = back[t - 1][np.arange(k), now[:k]]
         return np.split(states, np.cumsum(n)[:-1])
 
-    @classmethod
-    def fit(cls, pages: list[list[list[int]]], labels: list[list[int]], steps: int = 120, rate: float = 0.15, ridge: float = 1e-3) -> "ChainModel":
-        keep = [i for i, p in enumerate(pages) if p]
-        pages, labels = [pages[i] for i in keep], [labels[i] for i in keep]
-        flat, begin, step, page = cls._grid(pages)
+    def gradients(self, pages: list[list[list[int]]], labels: list[list[int]]) -> tuple[float, list[np.ndarray]]:
+        """Log likelihood of the labels and its gradients for emit, move and first; every page has a block."""
+        flat, begin, step, page = self._grid(pages)
         n = np.array([len(p) for p in pages])
         y = np.array([v for own in labels for v in own])
         longest = int(n.max())
         cell = page * longest + step
         block_of = np.repeat(np.arange(len(page)), np.diff(np.append(begin, len(flat))))
-        model = cls(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.zeros(2))
-        params = [model.emit, model.move, model.first]
-        m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         gold = np.zeros((len(pages), longest), np.int64)
         gold.ravel()[cell] = y
         mask = np.arange(longest) < n[:, None]
         both = mask[:, 1:]
-        gold_move = np.bincount((gold[:, :-1] * 2 + gold[:, 1:])[both], minlength=4).reshape(2, 2)
+        own = self._scores(flat, begin)
+        s = np.zeros((len(pages) * longest, 2))
+        s[cell] = own
+        s = s.reshape(len(pages), longest, 2)
+        fwd, bwd = np.zeros_like(s), np.zeros_like(s)
+        fwd[:, 0] = self.first + s[:, 0]
+        for t in range(1, longest):
+            fwd[:, t] = np.where(mask[:, t, None], np.logaddexp(fwd[:, t - 1, 0, None] + self.move[0], fwd[:, t - 1, 1, None] + self.move[1]) + s[:, t], fwd[:, t - 1])
+        for t in range(longest - 2, -1, -1):
+            nxt = s[:, t + 1] + bwd[:, t + 1]
+            got = np.logaddexp(self.move[:, 0] + nxt[:, 0, None], self.move[:, 1] + nxt[:, 1, None])
+            bwd[:, t] = np.where(mask[:, t + 1, None], got, 0)
+        z = np.logaddexp(fwd[:, -1, 0], fwd[:, -1, 1])
+        p = np.exp(fwd + bwd - z[:, None, None])
+        pair = np.exp(fwd[:, :-1, :, None] + self.move + (s[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None])
+        diff = -p.reshape(-1, 2)[cell]
+        diff[np.arange(len(y)), y] += 1
+        per = diff[block_of]
+        moves = np.bincount((gold[:, :-1] * 2 + gold[:, 1:])[both], minlength=4).reshape(2, 2)
+        starts = np.bincount(gold[:, 0], minlength=2)
+        g_emit = np.stack([np.bincount(flat, per[:, k], len(FEATURES)) for k in (0, 1)], 1)
+        value = own[np.arange(len(y)), y].sum() + (moves * self.move).sum() + (starts * self.first).sum() - z.sum()
+        return float(value), [g_emit, moves - pair[both].sum(axis=0), starts - p[:, 0].sum(axis=0)]
+
+    @classmethod
+    def fit(cls, pages: list[list[list[int]]], labels: list[list[int]], steps: int = 120, rate: float = 0.15, ridge: float = 1e-3) -> "ChainModel":
+        keep = [i for i, p in enumerate(pages) if p]
+        pages, labels = [pages[i] for i in keep], [labels[i] for i in keep]
+        model = cls(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.zeros(2))
+        params = [model.emit, model.move, model.first]
+        m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         for it in range(1, steps + 1):
-            s = np.zeros((len(pages) * longest, 2))
-            s[cell] = model._scores(flat, begin)
-            s = s.reshape(len(pages), longest, 2)
-            fwd, bwd = np.zeros_like(s), np.zeros_like(s)
-            fwd[:, 0] = model.first + s[:, 0]
-            for t in range(1, longest):
-                fwd[:, t] = np.where(mask[:, t, None], np.logaddexp(fwd[:, t - 1, 0, None] + model.move[0], fwd[:, t - 1, 1, None] + model.move[1]) + s[:, t], fwd[:, t - 1])
-            for t in range(longest - 2, -1, -1):
-                nxt = s[:, t + 1] + bwd[:, t + 1]
-                got = np.logaddexp(model.move[:, 0] + nxt[:, 0, None], model.move[:, 1] + nxt[:, 1, None])
-                bwd[:, t] = np.where(mask[:, t + 1, None], got, 0)
-            z = np.logaddexp(fwd[:, -1, 0], fwd[:, -1, 1])
-            p = np.exp(fwd + bwd - z[:, None, None])
-            pair = np.exp(fwd[:, :-1, :, None] + model.move + (s[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None])
-            diff = -p.reshape(-1, 2)[cell]
-            diff[np.arange(len(y)), y] += 1
-            per = diff[block_of]
-            g_emit = np.stack([np.bincount(flat, per[:, k], len(FEATURES)) for k in (0, 1)], 1)
-            g_move = gold_move - pair[both].sum(axis=0)
-            g_first = np.bincount(gold[:, 0], minlength=2) - p[:, 0].sum(axis=0)
-            for q, g, mm, vv in zip(params, (g_emit, g_move, g_first), m, v):
+            for q, g, mm, vv in zip(params, model.gradients(pages, labels)[1], m, v):
                 g = g / len(pages) - ridge * q
                 mm *= 0.9
                 mm += 0.1 * g

@@ -6,6 +6,8 @@ import random
 
 _SOUNDS = "ba de fi go lu ma ne pi ro su ta ve wi xo za chi tra ple sko ung ein tion ment que os ra ión".split()
 PAGES, SEED = 420, 11
+#: Share of pages that are hardly more than a paragraph.
+SHORT = 0.1
 
 
 class _Page:
@@ -129,10 +131,19 @@ class _Page:
             '<div class="entry-content">{}</div>', '<section class="article-body">{}</section>', "<section>{}</section>", "<div>{}</div>", '<article class="post">{}</article>', '<div id="main">{}</div>', '<div role="main">{}</div>',
         ).format(body)
 
+    def short(self) -> str:
+        """An article of one or two blocks."""
+        title = f"<h1>{self.say(self.words(1, 5))}</h1>" if self.r.random() < 0.3 else ""
+        return self.one("<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "{}").format(f"{title}<p>{self.say(self.words(2, 40))}</p>")
+
     def html(self) -> str:
         some = lambda p, f: f() if self.r.random() < p else ""
         head = f"<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>{self.word()}</title><style>p{{margin:0}}</style></head>"
         body = [some(0.25, self.notice), some(0.4, self.header), some(0.75, self.nav), some(0.15, self.form), some(0.35, self.ad), some(0.15, self.sidebar), self.article(), some(0.2, self.share), some(0.3, self.comments), some(0.3, self.sidebar), some(0.15, self.ad), some(0.1, self.form), some(0.15, self.notice), some(0.8, self.footer)]
+        if self.r.random() < SHORT:
+            self.main = []
+            body = [self.short()] + [some(0.3, self.footer)]
+            head = self.one(head, "")
         return head + "<body>" + "\n".join(body) + self.one("</body></html>", "</body></html>", "", " ")
 
 
