@@ -4,17 +4,21 @@ The engine keeps, for each vector, its distances to PIVOTS pivots (picked far ap
 PIVOT_SAMPLE rows, those with the smallest hashes). For a query q and a candidate x the triangle inequality bounds
 |q - x| from below by the largest |d(q, p) - d(x, p)|, so q.x is at most (|q|^2 + |x|^2 - bound^2) / 2. Candidates of
 a block are taken in the order of that bound, CHUNK at a time, until the k-th best score lies above the next bound; equal
-bounds are still evaluated, so ties go to the smaller id and the result is exact.
-
-Candidates and queries are packed into blocks, each a row with three byte strings; each block of candidates meets each
-block of queries in an equi-join on (length, query block, slice), so a task holds two blocks at a time. Each meeting returns k
-rows for a query, and a window keeps the k best of them.
-
-Components become floor(scale * x), as integers; distances get a margin of 1e-6 for rounding. Defined results: vectors
-that are null, empty or hold null or non-finite components take no part, nor do rows with a null id; vectors meet those of
-their own length, and each length has pivots of its own; an empty table, or no query, gives no rows; rows with the same id are
-candidates each for itself, and none of them for the queries of that id; fewer candidates than k are all returned; other
-columns are not read.
+bounds are still evaluated, so ties go to the smaller id and the result is exact. The k-th best score among the rows of
+the sample is a first limit, and a task carries the best of a query block from one candidate block to the next.
+
+Candidates and queries are packed into blocks, each a row with three byte strings. Where there are several blocks of
+queries of a length, queries and candidates are dealt by their nearest pivot first, so that a block's distances to a pivot
+lie close together. A pair of blocks is dropped by the same bound, taken over the intervals of their distances, before anything but
+intervals is shuffled. The pairs that are left meet in an equi-join on (length, query block, slice), so a task holds two
+blocks at a time. Each run of meetings returns k rows for a query, and a window keeps the k best of them.
+
+Components become floor(scale * x), as integers. Scores are worked out in float64 where all sums of products stay below
+2^53, in int64 below 2^63, and beyond that the search raises. Distances are kept as float32, with a margin of 1e-6 of their
+size for rounding. Defined results: vectors that are null, empty or hold null or non-finite components take no part, nor do
+rows with a null id; vectors meet those of their own length, and each length has pivots of its own; an empty table, or no
+query, gives no rows; rows with the same id are candidates each for itself, and none of them for the queries of that id;
+fewer candidates than k are all returned; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, slots, table
+from .common import discard, materialise, slots, table
 
 SCALE, K, PIVOTS, PIVOT_SAMPLE, BLOCK, QUERY_BLOCK, CHUNK = 1024, 10, 32, 2048, 4096, 1024, 64
 
@@ -53,84 +57,132 @@ def pick_pivots(sample: np.ndarray, n: int) -> np.ndarray:
 def pivot_table(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
     square = (x**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1)[None] - 2 * x @ pivots.T
-    return np.sqrt(np.maximum(square, 0))
+    return np.sqrt(np.maximum(square, 0)).astype(np.float32)
+
 
+def _kind(q: np.ndarray, x: np.ndarray) -> type:
+    """The number type in which every inner product of q and x is exact."""
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
+    if most >= 2**63:
+        raise OverflowError("a score may not fit 64 bits")
+    return np.float64 if most < 2**53 else np.int64
 
-def search_block(qid: np.ndarray, q: np.ndarray, qd: np.ndarray, xid: np.ndarray, x: np.ndarray, xd: np.ndarray, k: int, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query index, candidate id, score) of the k best of this block for each query; and the number of scores computed."""
-    xf, out_q, out_id, out_s, done = x.astype(np.float64), [], [], [], 0
-    x2, q2 = (xf**2).sum(axis=1), (q.astype(np.float64) ** 2).sum(axis=1)
+
+def search_block(qid: np.ndarray, q: np.ndarray, qd: np.ndarray, xid: np.ndarray, x: np.ndarray, xd: np.ndarray, best: list, floor: np.ndarray, k: int, chunk: int = CHUNK) -> int:
+    """Takes a block of candidates into best, (scores, ids) of each query with the best first. floor: a score for each query
+    that its k-th best reaches in any case. Returns the number of scores computed."""
+    kind, done = _kind(q, x), 0
+    xf, qf = x.astype(kind), q.astype(kind)
+    x2, q2 = (x.astype(np.float64) ** 2).sum(axis=1), (q.astype(np.float64) ** 2).sum(axis=1)
+    xd, qd = xd.astype(np.float64), qd.astype(np.float64)
+    margin = 1e-6 * (1 + np.sqrt(x2) + np.abs(xd).max(axis=1, initial=0))
     for i in range(len(qid)):
         low = np.abs(xd - qd[i]).max(axis=1) if xd.shape[1] else np.zeros(len(x))
-        low = np.maximum(low - 1e-6, 0)
-        bound = (q2[i] + x2 - low * low) / 2 + 0.5
-        bound[xid == qid[i]] = -np.inf
-        order = np.argsort(-bound, kind="stable")
-        best_s, best_id, at, size = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, chunk
-        qf = q[i].astype(np.float64)
-        while at < len(order) and bound[order[at]] > -np.inf:
+        low = np.maximum(low - margin - 1e-6 * (np.sqrt(q2[i]) + np.abs(qd[i]).max(initial=0)), 0)
+        bound = (q2[i] + x2) * (0.5 + 1e-12) - low * low / 2 + 0.5
+        best_s, best_id = best[i]
+        limit = max(floor[i], best_s[-1]) if len(best_s) == k else floor[i]
+        open_ = np.flatnonzero((xid != qid[i]) & (bound >= limit))
+        order = open_[np.argsort(-bound[open_], kind="stable")]
+        at, size = 0, chunk
+        while at < len(order):
             if len(best_s) == k and bound[order[at]] < best_s[-1]:
                 break
             own = order[at : at + size]
-            own = own[bound[own] > -np.inf]
-            s = np.concatenate([best_s, np.rint(xf[own] @ qf).astype(np.int64)])
+            s = np.concatenate([best_s, (xf[own] @ qf[i]).astype(np.int64)])
             ids = np.concatenate([best_id, xid[own]])
             keep = np.lexsort((ids, -s))[:k]
             best_s, best_id = s[keep], ids[keep]
             done += len(own)
             at += size
             size *= 2
-        out_q.append(np.full(len(best_s), i))
-        out_id.append(best_id)
-        out_s.append(best_s)
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s), done
+        best[i] = best_s, best_id
+    return done
+
+
+def floors(qid: np.ndarray, q: np.ndarray, sample_id: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """For each query the k-th best score among the sample's rows, -inf where it has fewer than k others."""
+    out = np.full(len(qid), -np.inf)
+    if len(sample) < k:
+        return out
+    kind = _kind(q, sample)
+    s = (q.astype(kind) @ sample.astype(kind).T).astype(np.float64)
+    s[qid[:, None] == sample_id[None]] = -np.inf
+    return np.nextafter(np.partition(s, len(sample) - k, axis=1)[:, len(sample) - k], -np.inf)
 
 
-BLOCK_SCHEMA = "n long, dim int, ids binary, vectors binary, distances binary"
+BLOCK_SCHEMA = "n long, dim int, ids binary, vectors binary, distances binary, low array<double>, high array<double>, square double, floor double"
 
 
-def blocks(vectors: DataFrame, pivots: dict[int, np.ndarray], size: int) -> DataFrame:
-    """Vectors in rows of up to size of one length, with their pivot table. pivots: for each length."""
+def blocks(vectors: DataFrame, pivots: dict, size: int, k: int = 0) -> DataFrame:
+    """Vectors in rows of up to size of one length, with their pivot table, its least and greatest distance to each pivot, the
+    greatest squared length and, for k, the least floor of a query. pivots: (pivots, sample ids, sample) for each length."""
 
     def pack(batches):
         for whole in batches:
-            lengths = pc.list_value_length(whole.column(1)).to_numpy(zero_copy_only=False)
+            lengths = pc.list_value_length(whole.column("v")).to_numpy(zero_copy_only=False)
             for dim in np.unique(lengths).tolist():
                 own = whole.filter(pa.array(lengths == dim))
                 for at in range(0, own.num_rows, size):
                     batch = own.slice(at, size)
-                    x = np.asarray(batch.column(1).flatten(), np.int64).reshape(batch.num_rows, dim)
-                    ids = np.asarray(batch.column(0), np.int64)
-                    d = pivot_table(x, pivots[dim])
-                    yield pa.RecordBatch.from_pydict({"n": [len(ids)], "dim": pa.array([dim], pa.int32()), "ids": [ids.tobytes()], "vectors": [x.astype(np.int32 if np.abs(x).max() < 2**31 else np.int64).tobytes()], "distances": [d.tobytes()]})
+                    x = np.asarray(batch.column("v").flatten(), np.int64).reshape(batch.num_rows, dim)
+                    ids = np.asarray(batch.column("vec_id"), np.int64)
+                    d = pivot_table(x, pivots[dim][0])
+                    floor = float(floors(ids, x, *pivots[dim][1:], k).min()) if k else 0.0
+                    square = float((x.astype(np.float64) ** 2).sum(axis=1).max())
+                    yield pa.RecordBatch.from_pydict({
+                        "n": [len(ids)], "dim": pa.array([dim], pa.int32()), "ids": [ids.tobytes()], "vectors": [x.astype(np.int32 if np.abs(x).max() < 2**31 else np.int64).tobytes()], "distances": [d.tobytes()],
+                        "low": pa.array([d.min(axis=0).astype(float).tolist()], pa.list_(pa.float64())), "high": pa.array([d.max(axis=0).astype(float).tolist()], pa.list_(pa.float64())), "square": [square], "floor": [floor],
+                    })
 
-    if len(pivots) > 1:  # so that a batch holds few lengths
-        vectors = vectors.sortWithinPartitions(F.size("v"))
     return vectors.mapInArrow(pack, BLOCK_SCHEMA)
 
 
-def length_pivots(vectors: DataFrame, n_pivots: int) -> dict[int, np.ndarray]:
-    """Pivots of each length, from about PIVOT_SAMPLE rows in all: a length's share of them, n_pivots at least if it has so many."""
-    own = vectors.select("v", F.size("v").alias("dim"), F.xxhash64("vec_id", "v").bitwiseAND(F.lit((1 << 63) - 1)).alias("h"))
+def length_pivots(vectors: DataFrame, n_pivots: int) -> dict:
+    """(pivots, sample ids, sample) of each length, from about PIVOT_SAMPLE rows in all: a length's share of them, n_pivots at
+    least if it has so many."""
+    own = vectors.select("vec_id", "v", F.size("v").alias("dim"), F.xxhash64("vec_id", "v").bitwiseAND(F.lit((1 << 63) - 1)).alias("h"))
     counts = own.groupBy("dim").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
     if not counts:
         return {}
     total = sum(r["n"] for r in counts)
     limit = lambda r, rows: (1 << 63) - 1 if r["n"] <= rows else max(r["least"], (rows << 63) // r["n"])
     limits = vectors.sparkSession.createDataFrame([(r["dim"], limit(r, max(2 * n_pivots, PIVOT_SAMPLE * r["n"] // total))) for r in counts], "dim int, upto long")
+    # rows that are equal have one hash, so they are drawn together: each is taken once
     sample: dict[int, list] = {}
-    for r in own.join(F.broadcast(limits), "dim").filter("h <= upto").orderBy("h").select("v").toLocalIterator():
-        sample.setdefault(len(r["v"]), []).append(r["v"])
-    return {dim: pick_pivots(np.array(rows, np.int64), n_pivots) for dim, rows in sample.items()}
+    for r in own.join(F.broadcast(limits), "dim").filter("h <= upto").select("h", "vec_id", "v").distinct().orderBy("h", "vec_id").toLocalIterator():
+        sample.setdefault(len(r["v"]), []).append((r["vec_id"], r["v"]))
+    out = {}
+    for dim, rows in sample.items():
+        x = np.array([v for _, v in rows], np.int64)
+        out[dim] = pick_pivots(x, n_pivots), np.array([i for i, _ in rows], np.int64), x
+    return out
+
+
+def with_nearest(vectors: DataFrame, pivots: dict) -> DataFrame:
+    """vec_id, v, dim and the number of the nearest pivot."""
+
+    def nearest(batches):
+        for batch in batches:
+            lengths = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False).astype(np.int32)
+            out = np.zeros(batch.num_rows, np.int32)
+            for dim in np.unique(lengths).tolist():
+                own = lengths == dim
+                x = np.asarray(batch.column("v").filter(pa.array(own)).flatten(), np.int64).reshape(-1, dim)
+                out[own] = pivot_table(x, pivots[dim][0]).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(lengths), pa.array(out)], names=["vec_id", "v", "dim", "pivot"])
+
+    return vectors.mapInArrow(nearest, "vec_id long, v array<long>, dim int, pivot int")
 
 
 def _unpack(n: int, dim: int, ids: bytes, vectors: bytes, distances: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kind = np.int32 if len(vectors) == 4 * n * dim else np.int64
-    return np.frombuffer(ids, np.int64), np.frombuffer(vectors, kind).reshape(n, dim), np.frombuffer(distances, np.float64).reshape(n, -1)
+    return np.frombuffer(ids, np.int64), np.frombuffer(vectors, kind).reshape(n, dim), np.frombuffer(distances, np.float32).reshape(n, -1)
 
 
-def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, scale: int = SCALE, n_pivots: int = PIVOTS, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of all rows for each row for which is_query(id column) holds."""
+def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, scale: int = SCALE, n_pivots: int = PIVOTS, block: int = BLOCK, query_block: int = QUERY_BLOCK, counts: bool = False) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of all rows for each row for which is_query(id column) holds. With counts,
+    in their place query_block, pairs and evaluated of each run of meetings: what the elimination had left to do."""
     spark = vectors.sparkSession
     own = materialise(integer_vectors(vectors, id_col, vec_col, scale), "vectors")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -138,31 +190,69 @@ def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col
     if not pivots:
         return empty
     n_slices = slots(spark)
-    queries = materialise(blocks(own.filter(is_query(F.col("vec_id"))).coalesce(n_slices), pivots, query_block), "queries")
-    numbered = queries.select("dim", *(F.col(c).alias(f"q_{c}") for c in queries.columns), (F.row_number().over(Window.partitionBy("dim").orderBy("ids")) - 1).alias("qb"))
-    numbered = materialise(numbered, "query-blocks")  # a row for each query_block queries
-    n_blocks = numbered.groupBy("dim").agg(F.count("*").alias("n_blocks")).collect()
+    asked = own.filter(is_query(F.col("vec_id")))
+    many = any(r["count"] > query_block for r in asked.groupBy(F.size("v")).count().collect())  # a row for each length
+
+    def dealt(df, n):
+        if many:
+            return with_nearest(df, pivots).repartitionByRange(n, "dim", "pivot", "vec_id").sortWithinPartitions("dim", "pivot").select("vec_id", "v")
+        return df.sortWithinPartitions(F.size("v")) if len(pivots) > 1 else df  # so that a batch holds few lengths
+
+    asked = blocks(dealt(asked, n_slices) if many else dealt(asked.coalesce(n_slices), n_slices), pivots, query_block, k)
+    queries = materialise(asked.withColumn("block", F.monotonically_increasing_id()), "queries")
+    # blocks are numbered without what they hold: two numbers for each query_block queries
+    number = queries.select("block", (F.row_number().over(Window.partitionBy("dim").orderBy("block")) - 1).alias("qb"))
+    number = materialise(number, "numbers")
+    slim = queries.select("block", "dim", "low", "high", "square", "floor").join(number, "block").drop("block")
+    n_blocks = slim.groupBy("dim").agg(F.count("*").alias("n_blocks")).collect()  # a row for each length
     if not n_blocks:
         return empty
+    pieces = materialise(blocks(dealt(own, n_slices), pivots, block).withColumn("block", F.monotonically_increasing_id()), "candidates")
+    discard(own)
     n_blocks = spark.createDataFrame([tuple(r) for r in n_blocks], "dim int, n_blocks long")
-    pieces = blocks(own, pivots, block).withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(n_slices)))
-    pieces = pieces.join(F.broadcast(n_blocks), "dim").withColumn("qb", F.explode(F.sequence(F.lit(0), (F.col("n_blocks") - 1).cast("int"))))
-    met = pieces.join(numbered.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long")))), ["dim", "qb", "slice"])
+    tried = pieces.select("block", "dim", "low", "high", "square").join(F.broadcast(n_blocks), "dim").withColumn("qb", F.explode(F.sequence(F.lit(0), (F.col("n_blocks") - 1).cast("int"))))
+    tried = tried.join(slim.select("dim", "qb", F.col("low").alias("q_low"), F.col("high").alias("q_high"), F.col("square").alias("q_square"), "floor"), ["dim", "qb"])
+    # how far apart two blocks' distances to a pivot are at least
+    gaps = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("q_low", "q_high"), lambda x, q: F.greatest(x["low"] - q["q_high"], q["q_low"] - x["high"]) - F.lit(4e-6) * (1 + x["high"] + q["q_high"]))
+    gap = F.greatest(F.coalesce(F.array_max(gaps), F.lit(0.0)) - F.lit(4e-6) * (F.sqrt("square") + F.sqrt("q_square")), F.lit(0.0))
+    pairs = tried.filter((F.col("square") + F.col("q_square")) * (0.5 + 1e-12) - gap * gap / 2 + 0.5 >= F.col("floor")).select("block", "dim", "qb")
+    held = ["n", "ids", "vectors", "distances"]
+    met = pairs.join(pieces.select("block", *held), "block").withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(n_slices)))
+    sides = queries.join(number, "block").select("dim", "qb", *(F.col(c).alias(f"q_{c}") for c in held))
+    met = met.join(sides.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long")))), ["dim", "qb", "slice"])
 
     def search(batches):
+        key, best, work = None, [], [0, 0]
+
+        def out():
+            if counts:
+                return pa.RecordBatch.from_pydict({"query_block": [key[1]], "pairs": [work[0]], "evaluated": [work[1]]})
+            at = np.repeat(np.arange(len(best)), [len(s) for s, _ in best])
+            return pa.RecordBatch.from_arrays([pa.array(qid[at]), pa.array(np.concatenate([i for _, i in best])), pa.array(np.concatenate([s for s, _ in best]))], names=["query_id", "vec_id", "score"])
+
         for whole in batches:
             for i in range(whole.num_rows):
                 row = whole.slice(i, 1).to_pylist()[0]
-                xid, x, xd = _unpack(*(row[c] for c in ("n", "dim", "ids", "vectors", "distances")))
-                qid, q, qd = _unpack(*(row[f"q_{c}"] for c in ("n", "dim", "ids", "vectors", "distances")))
-                at, ids, score, _ = search_block(qid, q, qd, xid, x, xd, k)
-                yield pa.RecordBatch.from_arrays([pa.array(qid[at]), pa.array(ids), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    columns = ["n", "dim", "ids", "vectors", "distances"]
-    found = met.select(*columns, *(f"q_{c}" for c in columns)).mapInArrow(search, "query_id long, vec_id long, score long")
+                dim = row["dim"]
+                xid, x, xd = _unpack(row["n"], dim, *(row[c] for c in held[1:]))
+                if key != (dim, row["qb"]):
+                    if key:
+                        yield out()
+                    key, work = (dim, row["qb"]), [0, 0]
+                    qid, q, qd = _unpack(row["q_n"], dim, *(row[f"q_{c}"] for c in held[1:]))
+                    floor, best = floors(qid, q, *pivots[dim][1:], k), [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in qid]
+                work[0] += len(qid) * len(xid)
+                work[1] += search_block(qid, q, qd, xid, x, xd, best, floor, k)
+        if key:
+            yield out()
+
+    met = met.select("dim", "qb", *held, *(f"q_{c}" for c in held))
+    if counts:
+        return met.mapInArrow(search, "query_block long, pairs long, evaluated long")
+    found = met.mapInArrow(search, "query_id long, vec_id long, score long")
     # queries with equal ids are rows of their own, with equal ids and often equal results: ranks are over the id
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
