@@ -11,37 +11,45 @@ rows with equal ids can be told apart.
 
 Defined results: a null id hashes like an empty string; a null text has no bytes; a row larger than the limit is alone in
 its shard; an empty table gives no rows; other columns are not read. Equal rows with equal ids lie in one shard unless
-they exceed the limit together, when their place in the input decides.
+they exceed the limit together, when their place in the input decides. Columns of any name, clashing ones too, are
+written as they are by ``write_shards``; a text of any length is one row.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import discard, fresh, materialise, table
 
 LIMIT_BYTES, HASH_BITS, SPARE_BITS, STEP_BITS = 1 << 20, 60, 3, 8
 
 
-def hash_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_bytes and bits (2 * HASH_BITS characters 0 and 1)."""
+def _bits(docs: DataFrame, id_col: str) -> Column:
+    """2 * HASH_BITS characters 0 and 1."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     bits = lambda c: F.lpad(F.conv(F.substring(F.md5(c), 1, HASH_BITS // 4), 16, 2), HASH_BITS, "0")
     second = F.concat_ws("#", text, F.monotonically_increasing_id().cast("string"))
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), F.concat(bits(text.cast("binary")), bits(second.cast("binary"))).alias("bits"))
+    return F.concat(bits(text.cast("binary")), bits(second.cast("binary")))
 
 
-def shards(docs: DataFrame, limit: int = LIMIT_BYTES, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each document: doc_id, n_bytes, shard (its bits), depth, shard_bytes, shard_docs."""
+def _n_bytes(text_col: str) -> Column:
+    return F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
+
+
+PLACED = ["shard", "depth", "shard_bytes", "shard_docs"]
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """Stored rows (n_bytes, bits and any others) with PLACED in place of bits."""
     if limit < 1:
         raise ValueError("limit must be positive")
-    rows = materialise(hash_keys(docs, id_col, text_col), "hash-keys")
+    others = [c for c in rows.columns if c != "bits"]
     total = rows.agg(F.sum("n_bytes")).first()[0]
     if total is None:
-        return rows.select("doc_id", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).cast("long").alias("shard_docs"))
+        return rows.select(*others, F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).cast("long").alias("shard_docs"))
     low, high = 0, min(2 * HASH_BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + SPARE_BITS)
     out = None
     while True:
@@ -56,22 +64,31 @@ def shards(docs: DataFrame, limit: int = LIMIT_BYTES, *, id_col: str = "doc_id",
         directory = cells.select("cell", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("shard", F.expr("substring(cell, 1, depth)")).join(leaves.hint("merge"), ["depth", "shard"])
         directory = materialise(directory, "directory")
         # a directory grows with the input, so it meets the rows by shuffle
-        found = rows.select("doc_id", "n_bytes", F.substring("bits", 1, high).alias("cell")).join(directory.hint("merge"), "cell").select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
+        found = rows.withColumn("cell", F.substring("bits", 1, high)).join(directory.hint("merge"), "cell").select(*others, *PLACED)
         out = found if out is None else out.unionByName(found)
         left = cells.filter((F.col("bytes") > limit) & (F.col("docs") > 1))
         if high >= 2 * HASH_BITS or left.isEmpty():
             return out
-        rows = rows.join(left.select(F.col("cell").alias("__cell")), F.substring("bits", 1, high) == F.col("__cell"), "left_semi")
+        rows = rows.join(left.select(F.col("cell").alias("left_cell")), F.substring("bits", 1, high) == F.col("left_cell"), "left_semi")
         low, high = high + 1, min(2 * HASH_BITS, high + STEP_BITS)
 
 
+def shards(docs: DataFrame, limit: int = LIMIT_BYTES, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each document: doc_id, n_bytes, shard (its bits), depth, shard_bytes, shard_docs."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), _n_bytes(text_col).alias("n_bytes"), _bits(docs, id_col).alias("bits"))
+    return _placed(materialise(rows, "hash-keys"), limit)
+
+
 def write_shards(docs: DataFrame, out_dir: str, limit: int = LIMIT_BYTES, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs as one Parquet folder for each shard below out_dir; returns the shards: shard, depth, shard_bytes, shard_docs.
-    Ids must be unique, as rows meet their shards by id."""
-    placed = materialise(shards(docs, limit, id_col=id_col, text_col=text_col), "placed")
-    mine = placed.select(F.col("doc_id").alias("__id"), F.concat(F.lit("s"), "shard").alias("__shard"))
-    docs.join(mine, F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id").repartition("__shard").write.partitionBy("__shard").parquet(out_dir)
-    return placed.select("shard", "depth", "shard_bytes", "shard_docs").distinct()
+    Rows carry their own hash bits, so equal ids and equal rows are each written once. The folder's name is the column
+    ``shard_name`` (with underscores after it if docs has such a column)."""
+    rows = materialise(docs.select(F.struct("*").alias("doc"), _n_bytes(text_col).alias("n_bytes"), _bits(docs, id_col).alias("bits")), "hash-keys")
+    placed = materialise(_placed(rows, limit), "placed")
+    name = fresh(docs.columns, "shard_name")
+    placed.select("doc.*", F.concat(F.lit("s"), "shard").alias(name)).repartition(name).write.partitionBy(name).parquet(out_dir)
+    discard(rows)
+    return placed.select(*PLACED).distinct()
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
