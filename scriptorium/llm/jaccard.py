@@ -1,19 +1,22 @@
 """Operator 10: join of texts whose word n-gram sets have a Jaccard similarity of at least a threshold, by MinHash banding.
 
 1. Each text becomes the set of its n-gram hashes, a MinHash signature and the hashes of its bands; texts with equal sets
-   are one class, which its smallest id stands for. Bands and rows follow from the target recall (``choose_bands``).
+   are one class, a node of its own. Bands and rows follow from the target recall (``choose_bands``). A class is
+   represented by the row of it with the smallest id, or of those the smallest MD5 of the text.
 2. Band hashes are shuffled. Buckets are counted, never gathered; buckets with the same members are one.
-3. The text of a class goes once to each of its buckets. A bucket with more than BLOCK classes is split into blocks, and
-   each pair of blocks is a task's unit of its own, so no bucket is ever whole in a task. Pairs are verified on the full
-   sets in the first bucket that they share; a unit returns one row for each class with a link, never the pairs.
+3. The text of a class goes once to each of its buckets. A bucket with more than BLOCK classes, or n-grams than BLOCK_GRAMS,
+   is split into blocks, and each pair of blocks is a task's unit of its own, so no bucket is ever whole in a task and a
+   unit is bounded in bytes (but for a single longer text). Pairs are verified on the full sets in the first bucket that
+   they share; a unit returns one row for each class with a link, never the pairs.
 4. Links are summed for each class; groups are the connected components of the links (alternating star contraction).
 
 Words are runs of bytes other than ASCII white space, punctuation and symbols, in lower case. A text of fewer than n words
 (at least one) has one n-gram, of all its words. Hashes have 64 bits.
 
 Defined results: a null text, and a row with a null id, has no links and a null set; texts without a word are linked only
-if they are equal; rows with the same id and text count as two documents; an empty table gives no rows; other columns
-are not read.
+if they are equal; rows with the same id and text count as two documents, and different texts with one id are documents of
+their own, though their class ids, being ids, may then be equal by name; an empty table gives no rows; other columns,
+whatever their names, are not read; a text of any length is compared whole.
 """
 
 from __future__ import annotations
@@ -26,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, slots, table, text_bytes, trim
+from .common import discard, materialise, slots, table, text_bytes, trim
 
-N, THRESHOLD, RECALL, MAX_HASHES, BLOCK = 5, 0.8, 0.9999, 128, 512
+N, THRESHOLD, RECALL, MAX_HASHES, BLOCK, BLOCK_GRAMS = 5, 0.8, 0.9999, 128, 512, 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 20
 _WORD = np.zeros(256, bool)
@@ -151,14 +154,15 @@ def band_hashes(sets: list[np.ndarray], bands: int, rows: int, seed: int = 1) ->
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, cls (class of equal n-gram sets; null for a null text or id) and bands (null without a word)."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(text_col).alias("t"))
+    """doc_id, key (MD5 of the text), cls (class of equal n-gram sets; null for a null text or id), n_grams and bands (null
+    without a word)."""
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text_col).alias("key"), F.lower(text_col).alias("t"))
 
     def sketch(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                sets = shingle_sets(batch.column(1), n)
+                sets = shingle_sets(batch.column("t"), n)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 got = band_hashes([sets[i] for i in full], bands, rows)
                 cls: list = [None] * len(sets)
@@ -167,14 +171,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
                     cls[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).hexdigest()
                     lists[i] = h
                 for i, s in enumerate(sets):
-                    if not len(s) and batch.column(1)[i].is_valid:
-                        cls[i] = "=" + hashlib.blake2b(batch.column(1)[i].as_py().encode(), digest_size=16).hexdigest()
+                    if not len(s) and batch.column("t")[i].is_valid:
+                        cls[i] = "=" + hashlib.blake2b(batch.column("t")[i].as_py().encode(), digest_size=16).hexdigest()
                 ids = batch.column(0)
                 cls = [c if v else None for c, v in zip(cls, ids.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(cls, pa.string()), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "cls", "bands"])
+                grams = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, batch.column("key"), pa.array(cls, pa.string()), grams, pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "key", "cls", "n_grams", "bands"])
         trim()
 
-    return own.mapInArrow(sketch, "doc_id long, cls string, bands array<long>")
+    return own.mapInArrow(sketch, "doc_id long, key string, cls string, n_grams long, bands array<long>")
 
 
 class _Unit:
@@ -182,18 +187,26 @@ class _Unit:
 
     def __init__(self, band: int, bi: int, bj: int):
         self.band, self.bi, self.bj = band, bi, bj
-        self.rep: list[int] = []
+        self.seen: set[int] = set()
+        self.node: list[int] = []
         self.weight: list[int] = []
         self.block: list[int] = []
         self.owners: list[np.ndarray] = []
         self.sets: list[np.ndarray] = []
 
+    def add(self, node: int, weight: int, block: int, owners: np.ndarray, grams: np.ndarray) -> None:
+        """A class; a repeated row of one counts once."""
+        if node not in self.seen:
+            self.seen.add(node)
+            self.node.append(node)
+            self.weight.append(weight)
+            self.block.append(block)
+            self.owners.append(owners)
+            self.sets.append(grams)
+
     def links(self, threshold: float):
-        """(rep, documents linked to it here, smallest rep of its component here) for each class with a link."""
-        place = {}
-        for i, r in enumerate(self.rep):
-            place.setdefault(r, i)  # a repeated row of a class counts once
-        keep = sorted(place.values(), key=lambda i: (self.block[i], len(self.sets[i]), self.rep[i]))
+        """(node, documents linked to it here, smallest node of its component here) for each class with a link."""
+        keep = sorted(range(len(self.node)), key=lambda i: (self.block[i], len(self.sets[i]), self.node[i]))
         if len(keep) < 2:
             return []
         size = np.array([len(self.sets[i]) for i in keep])
@@ -234,29 +247,30 @@ class _Unit:
                     root[b] = a
         least: dict[int, int] = {}
         for i, k in enumerate(keep):
-            least[find(i)] = min(least.get(find(i), self.rep[k]), self.rep[k])
-        return [(self.rep[k], linked[i], least[find(i)]) for i, k in enumerate(keep) if linked[i]]
+            least[find(i)] = min(least.get(find(i), self.node[k]), self.node[k])
+        return [(self.node[k], linked[i], least[find(i)]) for i, k in enumerate(keep) if linked[i]]
 
 
-def verified_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, n: int, bands: int, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
-    """(classes: cls, rep, size; links: rep, linked, root), both stored."""
+def verified_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, n: int, bands: int, threshold: float, block: int, block_grams: int) -> tuple[DataFrame, DataFrame]:
+    """(classes: cls, node, rep, key, size; links: node, linked, root), both stored."""
     spark = docs.sparkSession
-    reps = sig.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "bands")).alias("m"), F.count("*").alias("size"))
-    reps = materialise(reps.select("cls", F.col("m.doc_id").alias("rep"), F.col("m.bands").alias("bands"), "size"), "classes")
-    rows = reps.filter("bands is not null").select("rep", F.posexplode("bands").alias("band", "h"))
-    mark = F.xxhash64("rep", F.lit("m"))
-    buckets = rows.groupBy("band", "h").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(mark).alias("y"), F.min("rep").alias("lo")).filter("m > 1")
-    buckets = buckets.groupBy("m", "x", "y", "lo").agg(F.min(F.struct("band", "h")).alias("b")).select("b.band", "b.h", "m")
-    member = rows.join(buckets, ["band", "h"]).groupBy("rep").agg(F.collect_list(F.struct("band", "h", "m")).alias("buckets"))  # at most one for each band
-    member = materialise(member.join(reps.select("rep", "size"), "rep"), "members")
-    own = docs.select(F.col(id_col).cast("long").alias("rep"), F.lower(text_col).alias("t")).filter("t is not null")
+    reps = sig.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "key", "n_grams", "bands")).alias("m"), F.count("*").alias("size"))
+    reps = reps.select("cls", F.monotonically_increasing_id().alias("node"), F.col("m.doc_id").alias("rep"), "m.key", "m.n_grams", "m.bands", "size")
+    reps = materialise(reps, "classes")
+    rows = reps.filter("bands is not null").select("node", "n_grams", F.posexplode("bands").alias("band", "h"))
+    mark = F.xxhash64("node", F.lit("m"))
+    buckets = rows.groupBy("band", "h").agg(F.count("*").alias("m"), F.sum("n_grams").alias("grams"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(mark).alias("y"), F.min("node").alias("lo")).filter("m > 1")
+    buckets = buckets.groupBy("m", "x", "y", "lo").agg(F.min(F.struct("band", "h", "grams")).alias("b"))
+    buckets = buckets.select("b.band", "b.h", F.ceil(F.greatest(F.col("m") / block, F.col("b.grams") / block_grams)).cast("int").alias("nb"))
+    member = rows.join(buckets, ["band", "h"]).groupBy("node").agg(F.collect_list(F.struct("band", "h", "nb")).alias("buckets"))  # at most one for each band
+    member = materialise(member.join(reps.select("node", "rep", "key", "size"), "node"), "members")
+    own = docs.select(F.col(id_col).cast("long").alias("rep"), F.md5(text_col).alias("key"), F.lower(text_col).alias("t")).filter("t is not null")
     # texts meet their classes by shuffle at every size: both sides grow with the input
-    sent = own.join(member.hint("merge"), "rep").withColumn("b", F.explode("buckets"))
-    blocks = F.ceil(F.col("b.m") / block).cast("int")
-    sent = sent.withColumns({"nb": blocks, "own": F.pmod(F.xxhash64("rep", F.lit("b")), blocks).cast("int")})
-    sent = sent.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    sent = own.join(member.hint("merge"), ["rep", "key"]).withColumn("b", F.explode("buckets"))
+    sent = sent.withColumns({"own": F.pmod(F.xxhash64("node", F.lit("b")), F.col("b.nb")).cast("int")})
+    sent = sent.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("b.nb") - 1)))
     sent = sent.select(
-        F.col("b.band").alias("band"), F.col("b.h").alias("h"), F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "rep", "size",
+        F.col("b.band").alias("band"), F.col("b.h").alias("h"), F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "node", "size",
         F.transform("buckets", lambda x: x["band"]).alias("bands"), F.transform("buckets", lambda x: x["h"]).alias("hs"), "t",
     )
 
@@ -264,25 +278,21 @@ def verified_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str,
         unit, key, out = None, None, []
 
         def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["rep", "linked", "root"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["node", "linked", "root"])
 
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 sets = shingle_sets(batch.column("t"), n)
-                cols = [batch.column(c).to_pylist() for c in ("band", "h", "bi", "bj", "own", "rep", "size", "bands", "hs")]
-                for (band, h, bi, bj, mine, rep, size, own_bands, own_hs), s in zip(zip(*cols), sets):
+                cols = [batch.column(c).to_pylist() for c in ("band", "h", "bi", "bj", "own", "node", "size", "bands", "hs")]
+                for (band, h, bi, bj, mine, node, size, own_bands, own_hs), s in zip(zip(*cols), sets):
                     if key != (band, h, bi, bj):
                         if unit:
                             out += unit.links(threshold)
                         unit, key = _Unit(band, bi, bj), (band, h, bi, bj)
                     owners = np.zeros(bands, np.int64)
                     owners[own_bands] = own_hs
-                    unit.rep.append(rep)
-                    unit.weight.append(size)
-                    unit.block.append(mine)
-                    unit.owners.append(owners)
-                    unit.sets.append(s)
+                    unit.add(node, size, mine, owners, s)
                 if len(out) > 20_000:
                     yield batch_of(out)
                     out = []
@@ -293,8 +303,9 @@ def verified_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str,
         trim()
 
     dealt = sent.repartition(max(slots(spark), 2 * spark.sparkContext.defaultParallelism), "band", "h", "bi", "bj").sortWithinPartitions("band", "h", "bi", "bj")
-    links = materialise(dealt.mapInArrow(verify, "rep long, linked long, root long"), "links")
-    return reps.select("cls", "rep", "size"), links
+    links = materialise(dealt.mapInArrow(verify, "node long, linked long, root long"), "links")
+    discard(member)
+    return reps, links
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -309,24 +320,40 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        e = materialise(small, "edges")
+        last, e = e, materialise(small, "edges")
+        discard(last)
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == before:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out.stored_at = e.stored_at
+            return out
         before = now
     raise RuntimeError("components did not settle")
 
 
-def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> DataFrame:
-    """A row for each document: doc_id, rep (smallest id with the same n-gram set), class_id (smallest id of its group), and
-    n_links (other documents with a similarity of at least the threshold)."""
+def grouped_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK, block_grams: int = BLOCK_GRAMS) -> tuple[DataFrame, DataFrame]:
+    """(rows: doc_id, key, cls and more; classes: cls, rep, key, class_id, n_links, stays), both stored. stays: whether the
+    class has the smallest (id, key) of its group."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
     sig = materialise(signatures(docs, id_col, text_col, n, bands, rows), "signatures")
-    classes, links = verified_links(docs, sig, id_col, text_col, n, bands, threshold, block)
-    groups = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    of_class = classes.join(links.groupBy("rep").agg(F.sum("linked").alias("linked")), "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    of_class = materialise(of_class.select("cls", "rep", F.coalesce("root", "rep").alias("class_id"), (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "groups")
-    return sig.select("doc_id", "cls").join(of_class, "cls", "left").select("doc_id", "rep", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    classes, links = verified_links(docs, sig, id_col, text_col, n, bands, threshold, block, block_grams)
+    found = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    groups = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    groups = groups.join(classes.select("node", "rep", "key"), "node").select("node", "root", "rep", "key")
+    first = groups.groupBy("root").agg(F.min(F.struct("rep", "key", "node")).alias("first"))
+    groups = groups.select("node", "root").join(first, "root").select("node", F.col("first.rep").alias("class_id"), (F.col("node") == F.col("first.node")).alias("stays"))
+    of_class = classes.select("cls", "node", "rep", "key", "size").join(links.groupBy("node").agg(F.sum("linked").alias("linked")), "node", "left").join(groups, "node", "left")
+    of_class = of_class.select("cls", "rep", "key", F.coalesce("class_id", "rep").alias("class_id"), (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("stays", F.lit(True)).alias("stays"))
+    of_class = materialise(of_class, "groups")
+    discard(classes, links, found)
+    return sig, of_class
+
+
+def ngram_jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """A row for each document: doc_id, rep (smallest id with the same n-gram set), class_id (smallest id of its group), and
+    n_links (other documents with a similarity of at least the threshold). For the options see ``grouped_classes``."""
+    sig, of_class = grouped_classes(docs, **options)
+    return sig.select("doc_id", "cls").join(of_class.select("cls", "rep", "class_id", "n_links"), "cls", "left").select("doc_id", "rep", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,13 +361,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. Null ids and texts stay. Of repeated rows of it one stays."""
-    groups = materialise(ngram_jaccard_join(docs), "near")
-    stay = groups.filter("class_id is null or doc_id = class_id")
-    keep = stay.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("__rows"))
-    out = docs.join(keep.select(F.col("doc_id").alias("__id"), "__rows").hint("merge"), F.col("doc_id") == F.col("__id"))
-    out = out.unionByName(docs.filter("doc_id is null").withColumns({"__id": F.lit(None).cast("long"), "__rows": F.lit(1).cast("long")}))
-    if keep.filter("__rows > 1").isEmpty():
-        return out.select(*docs.columns)
-    once = out.filter("__rows > 1").dropDuplicates(["doc_id"])
-    return out.filter("__rows = 1").unionByName(once).select(*docs.columns)
+    """One document of each group stays: the one with the smallest id, and of different texts with that id the one with the
+    smallest MD5. Rows with a null id or text stay. Rows are told apart by id and text, so a different text that shares an
+    id is a document of its own; of rows with equal id and text one stays, the first by its JSON. All columns of docs, whatever
+    their names, come back as they are; an empty table gives no rows; texts of any length are compared whole."""
+    sig, of_class = grouped_classes(docs)
+    stay = of_class.filter("stays").select(F.col("rep").alias("id"), "key")
+    often = materialise(sig.filter("cls is not null").groupBy(F.col("doc_id").alias("id"), "key").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
+    discard(sig)
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.md5("text").alias("key"))
+    # documents meet what stays by shuffle at every size: both sides grow with the input
+    kept = rows.join(stay.hint("merge"), ["id", "key"])
+    if not often.isEmpty():
+        once = kept.join(often, ["id", "key"]).groupBy("id", "key").agg(F.min_by("doc", F.to_json("doc")).alias("doc"))
+        kept = kept.join(often, ["id", "key"], "left_anti").select("doc").unionByName(once.select("doc"))
+    return kept.select("doc").unionByName(rows.filter("id is null or key is null").select("doc")).select("doc.*")
