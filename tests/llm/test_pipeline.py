@@ -28,6 +28,33 @@ def test_stages(spark, small):
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.collect()}
 
 
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, n_words int, kept string, n_repeat_words string, base_failed string, lang_pred string, lang_score string, doc string, id string, key string, cls string, __w string, __id string, __rows string, __pred string, fence_lang string, `odd name` string"
+
+
+def test_stages_return_columns_as_they_are(spark, small):
+    """Clashing names, null ids, texts and labels, repeated rows, two texts with one id, a very long text."""
+    base = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in spark.read.parquet(f"{small}/documents.parquet").limit(60).collect()]
+    long = " ".join(base[0][1].split()[:40]) + " " + " ".join(f"{w}{i}" for i in range(3000) for w in base[0][1].split()[:8])
+    odd = [(None, base[0][1], "en", "s"), (None, None, None, None), (5001, None, "en", "s"), (5002, "", None, None), (5003, long, "en", None), (5004, base[1][1], None, "s"), (5004, base[2][1], "en", "s"), base[3], base[3]]
+    rows = [(*r[:4], 1, 7, "yes", "no", "q", "de", "0.1", "d", "i", "k", "c", "w", "_", "r", "p", "f", "o") for r in base + odd]
+    docs = spark.createDataFrame(rows, CLASHING)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = materialise(stage(spark, docs, small), name)
+        assert kept.columns == docs.columns
+        before, after = Counter(map(tuple, docs.collect())), Counter(map(tuple, kept.collect()))
+        assert after and not after - before
+        docs = kept
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() > 0
+
+
+def test_near_duplicates_go_by_row(spark):
+    """A different text that shares an id is a document of its own, whichever of its id's texts has copies."""
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    docs = spark.createDataFrame([(5, x, 1), (5, y, 2), (6, x, 3), (3, z, 4), (5, z, 5), (7, y, 6), (5, y, 7)], "doc_id long, text string, place int")
+    out = jaccard.near_duplicate_stage(spark, docs, "")
+    assert sorted((r["doc_id"], r["text"], r["place"]) for r in out.collect()) == sorted([(5, x, 1), (5, y, 2), (3, z, 4)])
+
+
 def test_near_duplicates_keep_one_of_repeated_rows(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, text), (1, text), (2, text), (3, None), (None, text), (4, "other words are here today")], "doc_id long, text string")
