@@ -143,7 +143,8 @@ def fnv1a(s: Column) -> Column:
 
 def vocabulary_words(fold: Column) -> Column:
     """Words of 4 to 24 letters a to z."""
-    return F.filter(F.split(fold, f"[{WHITE_SPACE}\\x{{1C}}-\\x{{1F}}]+"), lambda w: w.rlike("^[a-z]{4,24}$"))
+    other = f"[^{WHITE_SPACE}\\x{{1C}}-\\x{{1F}}]"
+    return F.regexp_extract_all(fold, F.lit(f"(?<!{other})[a-z]{{4,24}}(?!{other})"), F.lit(0))
 
 
 def semantic_words(s: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Endings, doubled letters, words that are not searched for, and least lengths.
 SUFFIXES = ("ing", "ed", "es", "s", "ly")
 DOUBLED = "bdgmnprtl"
 STOPWORDS = "a an and are as at be by for from he his in is it of on or that the to was who with".split()

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..store import discard, fresh, materialise
+from .ordered import running_count
 
 
 def repair_by_key(damaged: DataFrame, donors: DataFrame) -> DataFrame:
@@ -25,8 +29,7 @@ def places(targets: DataFrame, donors: DataFrame) -> DataFrame:
     """(book, id, key, place): where bisect_left would insert each target into its book's sorted donor keys.
     targets: book, id, key; donors: book, key (distinct)."""
     both = targets.select("book", "key", F.lit(0).alias("is_donor"), "id").unionByName(donors.select("book", "key", F.lit(1).alias("is_donor"), F.lit(None).cast("long").alias("id")))
-    w = Window.partitionBy("book").orderBy("key", "is_donor").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return both.withColumn("place", F.sum("is_donor").over(w)).filter("is_donor = 0").select("book", "id", "key", "place")
+    return running_count(both, "book", "key", F.col("is_donor") == 1, "place", "is_donor").filter("is_donor = 0").select("book", "id", "key", "place")
 
 
 def candidate_window(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
@@ -38,7 +41,7 @@ def proved_in_window(targets: DataFrame, donors: DataFrame, radius: int = 64) ->
     """(book, id, donor_rank, key, clean): the donors of each target's candidate window from which a bracket grouping gives
     the target. targets: book, id, key; donors: book, key (distinct), clean. The keys that a donor can give depend on the
     donor alone, so they are made once for each donor and meet the targets by a hash; meetings are proved exactly."""
-    ranked = donors.select("book", "key", "clean", (F.row_number().over(Window.partitionBy("book").orderBy("key")) - 1).cast("long").alias("donor_rank"))
+    ranked = running_count(donors.select("book", "key", "clean"), "book", "key", F.lit(True), "donor_rank").withColumn("donor_rank", F.col("donor_rank") - 1)
     given = ranked.select("book", "donor_rank", F.explode(T.grouping_hashes(F.col("clean"))).alias("h"))
     placed = places(targets, donors).withColumn("h", F.xxhash64("key"))
     met = placed.join(given, ["book", "h"]).filter((F.col("donor_rank") >= F.col("place") - radius) & (F.col("donor_rank") < F.col("place") + radius))
@@ -122,16 +125,27 @@ def align_groups(left: DataFrame, right: DataFrame) -> DataFrame:
     return numbered(left, "row").join(numbered(right, "donor"), ["book", "fold", "i", "n"]).select("book", "row", "donor", "n")
 
 
-def descendants(spark: SparkSession, edges: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(ancestor, node, depth) for edges (node, parent), each node its own ancestor at depth 0; a cycle ends at max_depth."""
-    out = edges.select(F.col("node").alias("ancestor"), "node", F.lit(0).alias("depth"))
-    level = out
-    for depth in range(1, max_depth + 1):
-        level = level.alias("l").join(edges.alias("e"), F.col("l.node") == F.col("e.parent")).select("l.ancestor", "e.node", F.lit(depth).alias("depth"))
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level)
-    return out
+def descendants(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(ancestor, node, depth) for edges (node, parent), each node its own ancestor at depth 0, to any depth. Each level is
+    stored once and the next one starts from it. A cycle raises ValueError."""
+    edges = edges.select("node", "parent")
+    levels = [edges.select(F.col("node").alias("ancestor"), "node", F.lit(0).alias("depth"))]
+    while True:
+        level = levels[-1].alias("l").join(edges.alias("e"), F.col("l.node") == F.col("e.parent")).select("l.ancestor", "e.node", (F.col("l.depth") + 1).alias("depth"))
+        level = materialise(level, "tree-level")
+        found = level.agg(F.count("*").alias("n"), F.min(F.when(F.col("ancestor") == F.col("node"), F.col("node"))).alias("loop")).first()
+        if found["loop"] is not None:
+            raise ValueError(f"the tree has a cycle through {found['loop']!r}")
+        if not found["n"]:
+            discard(level)
+            return reduce(DataFrame.unionByName, levels)
+        levels.append(level)
+
+
+def tree_stats(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(root, depth, nodes): how many nodes lie at each depth below each root, a node without a parent."""
+    roots = edges.filter("parent is null").select(F.col("node").alias("root"))
+    return descendants(spark, edges).join(roots, F.col("ancestor") == F.col("root"), "left_semi").groupBy(F.col("ancestor").alias("root"), "depth").agg(F.count("*").alias("nodes"))
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -144,3 +158,29 @@ def diff(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     own = [c for c in left.columns if c not in keys]
     l, r = left.select(*keys, F.struct(*own).alias("l")), right.select(*keys, F.struct(*own).alias("r"))
     return l.join(r, keys, "full_outer").filter(~F.col("l").eqNullSafe(F.col("r")))
+
+
+def refuse(problems: DataFrame, what: str, shown: int = 20) -> None:
+    """Raises ValueError with the first rows of problems, if it has any: what a gate or an all-or-nothing build ends with."""
+    rows = problems.limit(shown).collect()
+    if rows:
+        raise ValueError(f"{what}: " + "; ".join(str(r.asDict()) for r in rows))
+
+
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, copies) of the keys that several rows share; nulls are equal. Rows are grouped by two hashes of the keys, of 128
+    and 64 bits, which are all that is shuffled for keys that occur once."""
+    row = F.to_json(F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys))), {"ignoreNullFields": "false"})
+    a, b = fresh(df.columns, "key_md5"), fresh(df.columns, "key_hash")
+    hashed = df.select(F.md5(row.cast("binary")).alias(a), F.xxhash64(row).alias(b), *keys)
+    often = hashed.groupBy(a, b).agg(F.count("*").alias("copies")).filter("copies > 1")
+    named = hashed.join(often, [a, b]).groupBy(a, b).agg(*(F.first(k).alias(k) for k in keys), F.first("copies").alias("copies"))
+    return named.select(*keys, "copies")
+
+
+def manifest(df: DataFrame, group: str, text: str) -> DataFrame:
+    """A row for each group: docs, bytes and a digest of its texts that no order changes: the sums of the first four 32-bit
+    words of their SHA-256. Sums are partial, so a group is never gathered."""
+    d = df.select(group, text, F.sha2(text, 256).alias("digest_hex")) if text != group else df.withColumn("digest_hex", F.sha2(text, 256))
+    words = [F.sum(F.conv(F.substring("digest_hex", 1 + 8 * i, 8), 16, 10).cast("long")).cast("string") for i in range(4)]
+    return d.groupBy(group).agg(F.count("*").alias("docs"), F.sum(F.octet_length(text).cast("long")).alias("bytes"), F.concat_ws("-", *words).alias("digest"))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import words as W
 
-# Fixed weights of the scoring.
+# Weights of the scoring.
 TITLE, CITATION, BODY, PHRASE_TITLE, PHRASE_BODY = 12, 7, 3, 60, 25
 WHOLE_WORD, STEM_PENALTY, FUZZY_PENALTY, RELAXED = 6, 2, 5, 40
 FLOOR, FLOOR_SHARE, SEMANTIC_LIMIT = 0.38, 0.85, 20
@@ -34,11 +35,13 @@ class Query:
 
 @dataclass(frozen=True)
 class Corpus:
-    """rows: book, row, chapter, body_fold. chapters: book, chapter, title_fold. books: book, title_fold."""
+    """rows: book, row, chapter, body_fold. chapters: book, chapter, title_fold. books: book, title_fold. Where rows are not
+    numbered yet, place makes book, row and chapter from what else they hold; it never sees a text."""
 
     rows: DataFrame
     chapters: DataFrame
     books: DataFrame
+    place: Callable[[DataFrame], DataFrame] = lambda hits: hits
 
 
 def nearest_words(vocabulary: DataFrame, words: list[str]) -> dict[str, str]:
@@ -91,17 +94,18 @@ def token_hit(token: Token, fold: Column, weight: int) -> Column:
 
 
 def score_rows(query: Query, corpus: Corpus) -> DataFrame:
-    """book, row, score, matched of each row that carries a token. Titles are scored once a chapter; rows are projected only."""
+    """book, row, score, matched of each row that carries a token. Titles are scored once a chapter. What a body is worth is
+    worked out where it is read, so only numbers are shuffled."""
     n = len(query.tokens)
     titles = corpus.chapters.join(corpus.books.select("book", F.col("title_fold").alias("book_fold")), "book", "left")
     own = [F.greatest(token_hit(t, F.col("title_fold"), TITLE), token_hit(t, F.coalesce("book_fold", F.lit("")), CITATION)).alias(f"t{i}") for i, t in enumerate(query.tokens)]
     bonus = F.when(F.col("title_fold").contains(query.phrase), PHRASE_TITLE).otherwise(0) if n > 1 else F.lit(0)
     scored = titles.select("book", "chapter", *own, bonus.alias("title_bonus"))
-    rows = corpus.rows.join(scored, ["book", "chapter"], "left")
-    rows = rows.select("book", "row", "body_fold", F.coalesce("title_bonus", F.lit(0)).alias("title_bonus"), *(F.coalesce(f"t{i}", F.lit(0)).alias(f"t{i}") for i in range(n)), *(token_hit(t, F.col("body_fold"), BODY).alias(f"b{i}") for i, t in enumerate(query.tokens)))
-    total = sum((F.col(f"t{i}") + F.col(f"b{i}") for i in range(n)), F.lit(0)) + F.col("title_bonus")
-    if n > 1:
-        total = total + F.when(F.col("body_fold").contains(query.phrase), PHRASE_BODY).otherwise(0)
+    phrase = F.when(F.col("body_fold").contains(query.phrase), PHRASE_BODY).otherwise(0) if n > 1 else F.lit(0)
+    others = [c for c in corpus.rows.columns if c != "body_fold"]
+    hits = corpus.rows.select(*others, phrase.alias("body_bonus"), *(token_hit(t, F.col("body_fold"), BODY).alias(f"b{i}") for i, t in enumerate(query.tokens)))
+    rows = corpus.place(hits).join(scored, ["book", "chapter"], "left").na.fill(0, ["title_bonus", *(f"t{i}" for i in range(n))])
+    total = sum((F.col(f"t{i}") + F.col(f"b{i}") for i in range(n)), F.coalesce("title_bonus", F.lit(0)) + F.coalesce("body_bonus", F.lit(0)))
     matched = sum((F.when((F.col(f"t{i}") > 0) | (F.col(f"b{i}") > 0), 1).otherwise(0) for i in range(n)), F.lit(0))
     return rows.select("book", "row", total.cast("int").alias("score"), matched.cast("int").alias("matched")).filter("matched > 0")
 
@@ -110,36 +114,44 @@ def search(query: Query, corpus: Corpus, limit: int | None = None) -> DataFrame:
     """Hits with all tokens; if there are none and the query has several, those with the most, RELAXED more for each."""
     n = len(query.tokens)
     hits = score_rows(query, corpus)
-    best = hits.agg(F.coalesce(F.max("matched"), F.lit(0)).alias("most"))  # one row
+    if limit is not None:  # the best rows have the most tokens, so no other row can be wanted
+        hits = hits.orderBy(F.desc("matched"), F.desc("score"), "book", "row").limit(limit)
+    # the best row whole, so that both sides read the same shuffled numbers and the engine makes them once
+    best = hits.agg(F.coalesce(F.max(F.struct("matched", "score", "book", "row"))["matched"], F.lit(0)).alias("most"))
     hits = hits.join(F.broadcast(best)).filter((F.col("matched") == F.col("most")) & ((F.col("most") == n) | F.lit(n > 1)))
     relaxed = F.col("most") < n
     hits = hits.select("book", "row", (F.col("score") + F.when(relaxed, RELAXED * F.col("matched")).otherwise(0)).cast("int").alias("score"), "matched", relaxed.alias("relaxed"))
     return hits if limit is None else hits.orderBy(F.desc("score"), "book", "row").limit(limit)
 
 
+def phrase_hit(fold: Column, folded: str) -> Column:
+    return F.coalesce(fold.contains(folded), F.lit(False))
+
+
 def contiguous_scan(rows: DataFrame, folded: str, fold_col: str = "body_fold") -> DataFrame:
     return rows.filter(F.col(fold_col).contains(folded))
 
 
 def max_sim(items: DataFrame, vectors: DataFrame, query_words: list[str], limit: int = SEMANTIC_LIMIT) -> DataFrame:
     """position, score of the items nearest in meaning: for each query word the best cosine over an item's words, then the
-    mean. items: position, words; vectors: word, vector (zero vectors are dropped). Cosines are worked out once a word."""
-    asked = vectors.sparkSession.createDataFrame([(i, w) for i, w in enumerate(query_words)], "q int, asked string")
-    found = vectors.join(F.broadcast(asked), F.col("word") == F.col("asked")).select("q", "vector").collect()  # one for each query word
+    mean. items: position, words; vectors: word, vector (zero vectors are dropped). Cosines are worked out once a word, and
+    the best limit items are taken before the floor, which follows from the first of them."""
+    found = vectors.filter(F.col("word").isin(query_words)).select("word", "vector").collect()  # one for each query word
     known = {}
     for r in found:
         length = math.sqrt(sum(float(x) ** 2 for x in r["vector"]))
         if length > 0:
-            known[r["q"]] = [float(x) / length for x in r["vector"]]
+            known |= {q: [float(x) / length for x in r["vector"]] for q, w in enumerate(query_words) if w == r["word"]}
     if not known:
         return items.limit(0).select("position", F.lit(0.0).alias("score"))
     # sums of products written out, so that they are compiled
     part = [F.col("vector")[i].cast("double") for i in range(len(next(iter(known.values()))))]
     cosines = vectors.withColumn("n", F.sqrt(sum((x * x for x in part[1:]), part[0] * part[0]))).filter("n > 0")
-    cosines = cosines.select("word", *((sum((x * c for x, c in zip(part[1:], v[1:])), part[0] * v[0]) / F.col("n")).alias(f"c{q}") for q, v in known.items()))
+    cosines = cosines.select("word", *((sum((x * c for x, c in zip(part[1:], v[1:])), part[0] * v[0]) / F.col("n")).alias(f"c{q}") for q, v in sorted(known.items())))
     pairs = items.select("position", F.explode(F.array_distinct("words")).alias("word")).join(cosines, "word")
     per = pairs.groupBy("position").agg(*(F.max(f"c{q}").alias(f"c{q}") for q in known))
     scored = per.select("position", (sum(F.col(f"c{q}") for q in known) / len(known)).alias("score"))
+    top = scored.orderBy(F.desc("score"), "position").limit(limit)
+    best = F.max("score").over(Window.orderBy(F.desc("score")))  # over limit rows at most
     floor = F.greatest(F.lit(FLOOR), FLOOR_SHARE * F.greatest(F.lit(0.0), F.col("best")))
-    kept = scored.join(F.broadcast(scored.agg(F.max("score").alias("best")))).filter(F.col("score") >= floor)
-    return kept.orderBy(F.desc("score"), "position").limit(limit).select("position", "score")
+    return top.withColumn("best", best).filter(F.col("score") >= floor).orderBy(F.desc("score"), "position").select("position", "score")

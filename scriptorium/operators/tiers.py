@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..store import materialise
 from .linkage import align_groups, proved_in_window
-from .ordered import nearest_known, steady_runs
+from .ordered import steady_runs, with_neighbours
 
 PREFIX, LEAST_FOLD = 48, 24
 PAIRS = "book string, row long, donor long"
@@ -75,10 +76,8 @@ def position_tier(rows: DataFrame, pairs: DataFrame, donors: DataFrame) -> DataF
     book are anchors too, but a book without a pair gets none. Of gaps that claim a donor twice the first one gets it."""
     sizes = donors.groupBy("book").agg(F.max("donor").alias("__last"))
     ends = rows.groupBy("book").agg(F.max("row").alias("__end")).join(sizes, "book")
-    lo, hi = nearest_known("donor", "book", "row")
-    lo_row, hi_row = nearest_known("anchor", "book", "row")
     d = rows.select("book", "row").join(pairs.select("book", "row", "donor"), ["book", "row"], "left").withColumn("anchor", F.when(F.col("donor").isNotNull(), F.col("row")))
-    d = d.withColumns({"lo": lo, "hi": hi, "lr": lo_row, "hr": hi_row}).filter("donor is null and (lr is not null or hr is not null)").join(ends, "book")
+    d = with_neighbours(d, "book", "row", {"lo": "donor", "lr": "anchor"}, {"hi": "donor", "hr": "anchor"}).filter("donor is null and (lr is not null or hr is not null)").join(ends, "book")
     start, from_row = F.coalesce("lo", F.lit(-1)), F.coalesce("lr", F.lit(-1))
     stop, to_row = F.coalesce("hi", F.col("__last") + 1), F.coalesce("hr", F.col("__end") + 1)
     claims = d.filter(stop - start == to_row - from_row).select("book", "row", from_row.alias("gap"), (start + F.col("row") - from_row).alias("donor"))
@@ -108,23 +107,21 @@ def choose_prefixes(pairs: pd.DataFrame) -> pd.DataFrame:
 def prefix_tier(rows: DataFrame, pairs: DataFrame, donors: DataFrame) -> DataFrame:
     """T5: open rows whose fold begins as the fold of exactly one free donor between the neighbours' donors does."""
     ends = donors.groupBy("book").agg((F.max("donor") + 1).alias("__stop"))
-    lo, hi = nearest_known("donor", "book", "row")
-    lo_row, _ = nearest_known("anchor", "book", "row")
     d = rows.select("book", "row", F.substring("fold", 1, PREFIX).alias("p")).join(pairs.select("book", "row", "donor"), ["book", "row"], "left")
-    d = d.withColumn("anchor", F.when(F.col("donor").isNotNull(), F.col("row"))).withColumns({"lo": lo, "hi": hi, "gap": lo_row}).filter((F.col("donor").isNull()) & (F.length("p") == PREFIX)).drop("donor", "anchor")
+    d = d.withColumn("anchor", F.when(F.col("donor").isNotNull(), F.col("row")))
+    d = with_neighbours(d, "book", "row", {"lo": "donor", "gap": "anchor"}, {"hi": "donor"}).filter((F.col("donor").isNull()) & (F.length("p") == PREFIX)).drop("donor", "anchor")
     d = d.join(ends, "book").select("book", "row", "p", F.coalesce("lo", F.lit(-1)).alias("lo"), F.coalesce("hi", "__stop").alias("hi"), F.coalesce("gap", F.lit(-1)).alias("gap"), F.substring("p", 1, LEAST_FOLD).alias("head"))
     free = donors.join(pairs.select("book", "donor"), ["book", "donor"], "left_anti").select("book", "donor", F.substring("fold", 1, PREFIX).alias("q")).filter(F.length("q") >= LEAST_FOLD)
     met = d.join(free.withColumn("head", F.substring("q", 1, LEAST_FOLD)), ["book", "head"]).filter("startswith(p, q) and donor > lo and donor < hi")
     return met.select("book", "row", "donor", "lo", "hi", "gap").groupBy("book").applyInPandas(choose_prefixes, PAIRS).withColumn("tier", F.lit("T5"))
 
 
-def aligned(rows: DataFrame, donors: DataFrame, save=lambda df, name: df.persist()) -> DataFrame:
+def aligned(rows: DataFrame, donors: DataFrame, save=materialise) -> DataFrame:
     """(book, row, donor, tier) through all tiers; donor and tier are null where nothing matched. ``save(df, name)`` keeps a
-    tier's pairs, so that a later tier does not work them out again: by default in the cache, on a long run better by
-    writing a table and reading it."""
+    tier's pairs, so that a later tier does not work them out again: by default as a table in the shared folder."""
     equal = save(fold_tiers(rows, donors), "folds")
     open_rows, open_donors = rows.join(equal, ["book", "row"], "left_anti"), donors.join(equal, ["book", "donor"], "left_anti")
-    content = equal.unionByName(translation_tier(open_rows, open_donors))
+    content = save(equal.unionByName(translation_tier(open_rows, open_donors)), "content")
     runs = steady_runs(content.select("book", "row", "donor")).select("book", "row")
     steady = save(content.join(runs, ["book", "row"], "left_semi"), "steady")
     placed = save(steady.unionByName(position_tier(rows, steady, donors)), "placed")
@@ -132,6 +129,11 @@ def aligned(rows: DataFrame, donors: DataFrame, save=lambda df, name: df.persist
     return rows.select("book", "row").join(done, ["book", "row"], "left")
 
 
+def tier_counts(tiers: DataFrame) -> DataFrame:
+    """A row for each book: rows, rows of each tier, and rows without one. tiers: book, row, donor, tier."""
+    return tiers.groupBy("book").agg(F.count("*").alias("n_rows"), *(F.count_if(F.col("tier") == t).alias(t.lower()) for t in ("T1", "T2", "T3", "T4", "T5")), F.count_if(F.col("tier").isNull()).alias("unmatched"))
+
+
 def cross_checked(rows: DataFrame, numbers: DataFrame, least: int = 40) -> DataFrame:
     """(book, row, number) from a second donor. rows: book, row, narrator, text; numbers: book, text, number. Keys under
     ``least`` letters and keys with two numbers tell nothing; narrator and text together come before the text alone."""

@@ -18,10 +18,11 @@ from ..operators import linkage as L
 from ..operators import ordered as O
 from ..operators import ranked as R
 from ..operators import tiers as Z
+from ..store import spread
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-WITHOUT_SQL = {"alignment_tiers"}  # the choice among candidates is sequential; compared with brute force in the tests
+WITHOUT_SQL = {"alignment_tiers"}  # the choice among candidates is sequential; compared with plain loops in the tests
 # Words that keep a record out of the daily selection.
 BLOCKED = "kill killed killing kills killer fight fights fighting fought violence violent violently murder murdered murderer murders slay slays slain slaying slew slaughter slaughtered slaughtering battle battles war wars warfare slave slaves slavery enslave enslaved slavegirl slavegirls captive captives hit hits hitting beat beats beaten beating strike strikes struck striking smite smote smitten whip whips whipped lash lashes lashed stoned stoning flog flogged flogging wounded bloodshed".split()
 
@@ -41,11 +42,12 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents")
+    return spread(_t(spark, d, "documents"))
 
 
-def _rows(spark: SparkSession, d: str) -> DataFrame:
-    return O.positions(_docs(spark, d).withColumnRenamed("source", "book"), "book", "doc_id")
+def _rows(spark: SparkSession, d: str, *columns) -> DataFrame:
+    """book, doc_id, row and columns made from a document before it is numbered."""
+    return O.positions(_docs(spark, d).select(F.col("source").alias("book"), "doc_id", *columns), "book", "doc_id")
 
 
 def _en(x: str) -> str:
@@ -164,9 +166,13 @@ def grade_repair(spark, d):
     return _docs(spark, d).select("doc_id", M.repair_grade(g, F.lit("N")).alias("grade"), M.has_artifact(g, F.lit("N")).alias("artifact"))
 
 
-@query("SELECT doc_id, translate('احمدالا', '', '') AS key FROM documents WHERE text IS NOT NULL")
+#: Letters of the texts as Arabic ones, some of which the fold unites or drops.
+_LATIN, _AS_ARABIC = "aeiounrstlTdhm", "أإىؤةنرستل\u064bده\u0640"
+
+
+@query(rf"SELECT doc_id, regexp_replace(translate(regexp_replace(translate(coalesce(text, ''), '{_LATIN}', '{_AS_ARABIC}'), '{T.MATCH_MARKS}', '', 'g'), '{T.MATCH_FROM}', '{T.MATCH_TO}'), '[^\x{{621}}-\x{{64A}}]', '', 'g') AS key FROM documents")
 def match_fold(spark, d):
-    return _docs(spark, d).filter("text is not null").select("doc_id", T.match_fold(F.concat(F.lit("أَحْمَد إلىء "), F.regexp_replace("text", r"[\x{600}-\x{6FF}]", ""))).alias("key"))
+    return _docs(spark, d).select("doc_id", T.match_fold(F.translate("text", _LATIN, _AS_ARABIC)).alias("key"))
 
 
 # vocabulary and words
@@ -240,10 +246,13 @@ def daily_flags(spark, d):
 
 
 def corpus(spark: SparkSession, d: str) -> R.Corpus:
-    rows = _rows(spark, d).withColumn("chapter", F.floor(F.col("row") / 10))
-    first = rows.filter("row % 10 = 0").select("book", "chapter", T.fold_english(F.split_part("text", F.lit("\n"), F.lit(1))).alias("title_fold"))
-    books = _docs(spark, d).select(F.col("source").alias("book")).distinct().withColumn("title_fold", T.fold_english(F.col("book")))
-    return R.Corpus(rows.select("book", "row", "chapter", T.fold_english(F.concat("text", F.lit("\n"), "lang")).alias("body_fold")), first, books)
+    docs = _docs(spark, d).withColumnRenamed("source", "book")
+    chapter = F.floor(F.col("row") / 10)
+    first = O.positions(docs.select("book", "doc_id", T.fold_english(F.split_part("text", F.lit("\n"), F.lit(1))).alias("title_fold")), "book", "doc_id")
+    first = first.filter("row % 10 = 0").select("book", chapter.alias("chapter"), "title_fold")
+    books = docs.select("book").distinct().withColumn("title_fold", T.fold_english(F.col("book")))
+    rows = docs.select("book", "doc_id", T.fold_english(F.concat("text", F.lit("\n"), "lang")).alias("body_fold"))
+    return R.Corpus(rows, first, books, lambda hits: O.positions(hits, "book", "doc_id").withColumn("chapter", chapter))
 
 
 def _search_sql(tokens: list[tuple[str, str | None]], phrase: str, fuzzy: dict[str, str] | None = None) -> str:
@@ -276,7 +285,9 @@ def _search_sql(tokens: list[tuple[str, str | None]], phrase: str, fuzzy: dict[s
 
 @query(f"WITH r AS ({ROWS}) SELECT book, row FROM r WHERE contains({_en('text || chr(10) || lang')}, 'attion to thanedble')")
 def contiguous_scan(spark, d):
-    return R.contiguous_scan(corpus(spark, d).rows, "attion to thanedble").select("book", "row")
+    # the rows are numbered by what stays of them after the scan: one flag
+    found = corpus(spark, d).rows.select("book", "doc_id", R.phrase_hit(F.col("body_fold"), "attion to thanedble").alias("hit"))
+    return O.positions(found, "book", "doc_id").filter("hit").select("book", "row")
 
 
 @query(_search_sql([("attion", None), ("thanedble", None)], "attion thanedble"))
@@ -309,7 +320,7 @@ def ranked_topk(spark, d):
     return R.search(R.parse(spark, "attion thanedble"), corpus(spark, d), 20)
 
 
-_SLOT = "CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 500"
+_SLOT = "CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % (SELECT max(vec_id) + 1 FROM embeddings)"
 
 
 @query(rf"""WITH i AS (SELECT doc_id, unnest({WORDS}) AS word FROM documents), p AS (SELECT DISTINCT doc_id AS position, word FROM i),
@@ -321,8 +332,10 @@ s AS (SELECT position, avg(best) AS score FROM c GROUP BY 1)
 SELECT position, round(score, 6) AS score FROM s WHERE score >= greatest(0.38, 0.85 * (SELECT max(score) FROM s)) ORDER BY s.score DESC, position LIMIT 20""")
 def maxsim_search(spark, d):
     items = _docs(spark, d).select(F.col("doc_id").alias("position"), T.vocabulary_words(T.fold_english(F.col("text"))).alias("words"))
-    words = _vocabulary(spark, d).withColumn("slot", F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 8), 16, 10).cast("long") % 500)
-    vectors = words.join(_t(spark, d, "embeddings").select(F.col("vec_id").alias("slot"), F.col("embedding").alias("vector")), "slot").select("word", "vector")
+    embeddings = _t(spark, d, "embeddings")
+    n = embeddings.agg(F.max("vec_id")).first()[0] + 1  # each vector stands for the words whose hash falls on it
+    words = _vocabulary(spark, d).withColumn("slot", F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 8), 16, 10).cast("long") % n)
+    vectors = words.join(embeddings.select(F.col("vec_id").alias("slot"), F.col("embedding").alias("vector")), "slot").select("word", "vector")
     return R.max_sim(items, vectors, ["that", "with", "this"]).select("position", F.round("score", 6).alias("score"))
 
 
@@ -342,7 +355,7 @@ def chapter_ranges(spark, d):
 
 @query(f"WITH r AS ({ROWS}) SELECT book, lang AS chapter, min(row) AS first_row, count(*) AS n_rows, max(row) - min(row) + 1 = count(*) AS contiguous FROM r GROUP BY 1, 2")
 def chapter_contiguity(spark, d):
-    return O.chapter_runs(_rows(spark, d).withColumn("chapter", F.col("lang")))
+    return O.chapter_runs(_rows(spark, d, F.col("lang").alias("chapter")))
 
 
 @query(f"""WITH RECURSIVE r AS ({ROWS}), b AS (SELECT book, row, strlen(text) + 16 AS bytes FROM r),
@@ -350,43 +363,45 @@ t(book, row, block, held) AS (SELECT book, row, 0, bytes FROM b WHERE row = 0
     UNION ALL SELECT b.book, b.row, CASE WHEN held >= 16384 THEN block + 1 ELSE block END, CASE WHEN held >= 16384 THEN bytes ELSE held + bytes END FROM t JOIN b ON b.book = t.book AND b.row = t.row + 1)
 SELECT book, row, CAST(block AS INTEGER) AS block FROM t""")
 def block_assignment(spark, d):
-    return O.block_assignment(_rows(spark, d).select("book", "row", (F.octet_length("text") + 16).cast("long").alias("bytes")), 16384)
+    return O.block_assignment(_rows(spark, d, (F.octet_length("text") + 16).cast("long").alias("bytes")), 16384)
+
 
+_DIGEST = " || '-' || ".join(f"CAST(sum(CAST('0x' || substr(sha256(text), {1 + 8 * i}, 8) AS BIGINT)) AS VARCHAR)" for i in range(4))
 
-@query("SELECT source, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sha256(string_agg(sha256(text), '' ORDER BY sha256(text))) AS digest FROM documents GROUP BY source")
+
+@query(f"SELECT source, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, {_DIGEST} AS digest FROM documents GROUP BY source")
 def manifest(spark, d):
-    # hashes of 64 characters are gathered for each source, never texts
-    return _docs(spark, d).groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("text", 256))), ""), 256).alias("digest"))
+    return L.manifest(_docs(spark, d), "source", "text")
 
 
-@query("SELECT text, count(*) AS copies FROM documents GROUP BY text HAVING count(*) > 1")
+@query("SELECT md5(text) AS text_md5, copies FROM (SELECT text, count(*) AS copies FROM documents GROUP BY text HAVING count(*) > 1)")
 def key_uniqueness(spark, d):
-    return _docs(spark, d).groupBy("text").agg(F.count("*").alias("copies")).filter("copies > 1")
+    return L.repeated_keys(_docs(spark, d), ["text"]).select(F.md5("text").alias("text_md5"), "copies")
+
+
+_DAY = 86_400_000_000
 
 
-@query("SELECT user_id, count(*) AS events, count(*) FILTER (WHERE value < p) AS descents FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY user_id")
+@query("SELECT user_id, count(*) AS n_rows, count(*) FILTER (WHERE value < p) AS descents FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY user_id")
 def sequence_inversions(spark, d):
-    e = _t(spark, d, "events").withColumn("p", F.lag("value").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    return e.groupBy("user_id").agg(F.count("*").alias("events"), F.count_if(F.col("value") < F.col("p")).alias("descents"))
+    return O.descents(_t(spark, d, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp_ltz"))), "user_id", "at", "value", "event_id", span=_DAY)
 
 
 @query("""WITH k AS (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS v, value FROM events),
 n AS (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo,
     first_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS hi FROM k)
-SELECT event_id, lo, hi, coalesce(lo < value AND value < hi, FALSE) AS between_neighbours FROM n WHERE v IS NULL""")
+SELECT event_id, lo, hi, coalesce(lo < value AND value < hi, FALSE) AS between FROM n WHERE v IS NULL""")
 def neighbour_adjudication(spark, d):
-    e = _t(spark, d, "events").select("user_id", "event_id", "value", F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("v"))
-    lo, hi = O.nearest_known("v", "user_id", "event_id")
-    return e.withColumns({"lo": lo, "hi": hi}).filter("v is null").select("event_id", "lo", "hi", F.coalesce((F.col("lo") < F.col("value")) & (F.col("value") < F.col("hi")), F.lit(False)).alias("between_neighbours"))
+    e = _t(spark, d, "events").select("user_id", "event_id", "value")
+    return O.adjudicate(e, "user_id", "event_id", "value", F.col("event_id") % 3 == 0).select("event_id", "lo", "hi", "between")
 
 
 # linkage
 
 
 def _sides(spark, d) -> tuple[DataFrame, DataFrame]:
-    fold = T.norm_key(F.col("text"))
-    rows = _rows(spark, d)
-    return rows.select("book", "row", fold.alias("fold")), rows.filter("row % 9 <> 4").select("book", (F.col("row") + 3).alias("row"), fold.alias("fold"))
+    rows = _rows(spark, d, F.md5(T.norm_key(F.col("text"))).alias("fold"))  # equal folds are all that counts
+    return rows.select("book", "row", "fold"), rows.filter("row % 9 <> 4").select("book", (F.col("row") + 3).alias("row"), "fold")
 
 
 _SIDES = f"WITH r AS ({ROWS}), a AS (SELECT book, row, {_norm('text')} AS fold FROM r), b AS (SELECT book, row + 3 AS row, fold FROM a WHERE row % 9 <> 4)"
@@ -447,7 +462,7 @@ def repair_pass1(spark, d):
 u AS (SELECT book, {_norm('clean')} AS key, min(clean) AS clean FROM c GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY key) - 1 AS r FROM u),
 pl AS (SELECT t.book, t.id, t.key, count(k.key) AS place FROM t LEFT JOIN k ON k.book = t.book AND k.key < t.key GROUP BY 1, 2, 3),
 f AS (SELECT pl.book, pl.id, k.clean, k.r FROM pl JOIN k ON k.book = pl.book AND k.r BETWEEN greatest(place - 64, 0) AND place + 63 WHERE {_norm(_NO_SPANS.format('k.clean'))} = pl.key)
-SELECT book, id, arg_min(clean, r) AS clean FROM f GROUP BY 1, 2""")
+SELECT book, id, min(clean) AS clean FROM f WHERE {_norm('clean')} <> (SELECT key FROM t WHERE t.book = f.book AND t.id = f.id) GROUP BY 1, 2 HAVING count(DISTINCT r) = 1""")
 def repair_pass2(spark, d):
     docs = _docs(spark, d)
     targets = docs.select(F.col("lang").alias("book"), F.col("doc_id").alias("id"), T.norm_key(F.concat("text", F.lit(" zz"))).alias("key"))
@@ -479,7 +494,7 @@ def reference_names(spark, d):
 
 @query()
 def alignment_tiers(spark, d):
-    rows = _rows(spark, d).select("book", "row", T.norm_key(F.coalesce("text", F.lit(""))).alias("fold"), F.lit("").alias("narrator"), "text")
+    rows = _rows(spark, d, T.norm_key(F.coalesce("text", F.lit(""))).alias("fold"), F.lit("").alias("narrator"), "text").drop("doc_id")
     changed = F.when(F.col("row") % 9 == 2, F.concat(F.substring("fold", 1, 60), F.lit("q"))).when(F.col("row") % 9 == 6, F.reverse("fold")).otherwise(F.col("fold"))
     english = F.when(F.col("row") % 9 == 6, F.concat(F.lit("[x] "), F.col("text"))).when(F.col("row") % 9 == 2, F.lit("")).otherwise(F.col("text"))
     donors = rows.filter("row % 9 <> 4").select("book", (F.col("row") - F.floor((F.col("row") + 4) / 9)).alias("donor"), changed.alias("fold"), english.alias("english"))
