@@ -144,10 +144,9 @@ def max_sim(items: DataFrame, vectors: DataFrame, query_words: list[str], limit:
             known |= {q: [float(x) / length for x in r["vector"]] for q, w in enumerate(query_words) if w == r["word"]}
     if not known:
         return items.limit(0).select("position", F.lit(0.0).alias("score"))
-    # sums of products written out, so that they are compiled
-    part = [F.col("vector")[i].cast("double") for i in range(len(next(iter(known.values()))))]
-    cosines = vectors.withColumn("n", F.sqrt(sum((x * x for x in part[1:]), part[0] * part[0]))).filter("n > 0")
-    cosines = cosines.select("word", *((sum((x * c for x, c in zip(part[1:], v[1:])), part[0] * v[0]) / F.col("n")).alias(f"c{q}") for q, v in sorted(known.items())))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    v = vectors.select("word", F.col("vector").cast("array<double>").alias("v")).withColumn("n", F.sqrt(dot(F.col("v"), F.col("v")))).filter("n > 0")
+    cosines = v.select("word", *((dot(F.col("v"), F.lit(q)) / F.col("n")).alias(f"c{i}") for i, q in sorted(known.items())))
     pairs = items.select("position", F.explode(F.array_distinct("words")).alias("word")).join(cosines, "word")
     per = pairs.groupBy("position").agg(*(F.max(f"c{q}").alias(f"c{q}") for q in known))
     scored = per.select("position", (sum(F.col(f"c{q}") for q in known) / len(known)).alias("score"))
