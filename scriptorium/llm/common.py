@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import re
-import shutil
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -14,61 +10,13 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: list[str] = []
+from ..store import discard, fresh, materialise, shared_root, work_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh(columns: list[str], stem: str) -> str:
-    """stem, or stem with underscores after it: a name that none of the columns has in either case."""
-    taken = {c.lower() for c in columns}
-    while stem.lower() in taken:
-        stem += "_"
-    return stem
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or the one that the context was given by setCheckpointDir. Where both are
-    unset a temporary folder is made if the master is local (tests), as all tasks see it there; on a cluster it is an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = root or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise RuntimeError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="scriptorium-"))
-        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
-    return f"file://{_LOCAL[0]}"
-
-
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder (URI) below the shared root, one for each call."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read back: cuts lineage and survives lost executors. The table stays
-    until ``discard``; what a returned result still reads must stay."""
-    spark = df.sparkSession
-    path = work_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Removes tables that ``materialise`` stored, once nothing reads them any more; other tables are left alone."""
-    for df in tables:
-        if path := getattr(df, "stored_at", None):
-            spark = df.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def attempt() -> str:
     """The number of the running task's attempt, unique in the application: part of the names of files that a task writes,
     so that no attempt touches another's files."""

@@ -122,7 +122,8 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         def out():
             cols = [pa.array(c, pa.int64()) for c in rows[:7]]
             if with_ids:
-                cols.append(pa.array([x.astype(np.int64) for x in rows[7]], pa.list_(pa.int64())))
+                ends = np.concatenate([[0], np.cumsum(rows[2])]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows[7]).astype(np.int64))))
             batch = pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids)
             for c in rows:
                 c.clear()
