@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of gradings, reference lines and topic references.
 ARABIC_LETTER = r"[\x{600}-\x{6FF}\x{750}-\x{77F}\x{FB50}-\x{FDFF}\x{FE70}-\x{FEFF}]"
 GRADE_PREFIX = r"(?i)^\s*Grade\s*:\s*"
 TRAILING_NAME = r"\(([^()]{2,40})\)\s*$"
+REFERENCE_SEGMENT = r"(?s)Reference\s*:\s*(.*?)\s*(?:(?:In-book|Sunnah\.com|USC-MSA[^:]*|English|Arabic(?:/English)?)\s*(?:reference|translation|book reference)|$)"
+NUMBER = r"(\d+)\s*([a-z])?(?![\w])"
+BOOK_NUMBER = r"Arabic/English book reference\s*:\s*Book\s*\d+,\s*Hadith\s*(\d+)"
+ARABIC_NUMBER = r"Arabic reference\s*:\s*Book\s*\d+,\s*Hadith\s*(\d+)"
+TOPIC_ADDRESS, TOPIC_ID = r"^https://sunnah\.com/([a-z]+):(\d+[a-z]?)$", r"^([a-z]+)-(\d+[a-z]?)$"
 RECORD, UNIT = "\u001e", "\u001f"
 VERDICTS = "(?i)sahih|sah\u012bh|hasan|da'if|da\u2019if|da'eef|daif|d[ae]'?[ei]f|isnad|isn\u0101d|mauquf|munkar|mursal|shadh|matruk|maudu|no basis|corroborat|weakness|interrupted|unknown|qawi|lighairihi|li ghairihi"
 
@@ -59,17 +65,16 @@ def parse_grade(raw: Column) -> Column:
 def parse_citation(slug: Column, raw: Column) -> Column:
     """A reference line's citation as text, null if it has none."""
     number = lambda s, p, g=1: F.nullif(F.regexp_extract(s, p, g), F.lit(""))
-    segment = F.regexp_extract(raw, r"(?s)Reference\s*:\s*(.*?)\s*(?:(?:In-book|Sunnah\.com|USC-MSA[^:]*|English|Arabic(?:/English)?)\s*(?:reference|translation|book reference)|$)", 1)
-    token = r"(\d+)\s*([a-z])?(?![\w])"
-    main = F.when(segment.rlike(token), F.concat(F.regexp_extract(segment, token, 1), F.regexp_extract(segment, token, 2)))
-    adab = F.when(slug == "aladab_almufrad", number(raw, r"Arabic/English book reference\s*:\s*Book\s*\d+,\s*Hadith\s*(\d+)"))
-    return F.when(slug == "darimi", number(raw, r"Arabic reference\s*:\s*Book\s*\d+,\s*Hadith\s*(\d+)")).when(slug != "malik", F.coalesce(main, adab))
+    segment = F.regexp_extract(raw, REFERENCE_SEGMENT, 1)
+    main = F.when(segment.rlike(NUMBER), F.concat(F.regexp_extract(segment, NUMBER, 1), F.regexp_extract(segment, NUMBER, 2)))
+    adab = F.when(slug == "aladab_almufrad", number(raw, BOOK_NUMBER))
+    return F.when(slug == "darimi", number(raw, ARABIC_NUMBER)).when(slug != "malik", F.coalesce(main, adab))
 
 
 def topic_reference(url: Column, own_id: Column, part: int) -> Column:
-    """Book (part 1) or citation (part 2) of a topic entry, from its address or else its id."""
-    a = F.regexp_extract(F.coalesce(url, F.lit("")), r"sunnah\.com/([a-z_]+):(\d+[a-z]?)", part)
-    b = F.regexp_extract(own_id, r"^([a-z_]+)-(\d+[a-z]?)$", part)
+    """Book (part 1) or citation (part 2) of a topic entry, from its address or else its id; null if neither names one."""
+    a = F.regexp_extract(F.coalesce(url, F.lit("")), TOPIC_ADDRESS, part)
+    b = F.regexp_extract(own_id, TOPIC_ID, part)
     return F.nullif(F.when(a != "", a).otherwise(b), F.lit(""))
 
 

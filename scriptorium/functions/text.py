@@ -121,6 +121,12 @@ def has_blocked_word(s: Column, words: list[str]) -> Column:
     return F.arrays_overlap(F.split(F.lower(s), r"[^\p{L}]+"), F.array(*map(F.lit, words)))
 
 
+def daily_candidate(arabic: Column, body: Column, narrator: Column, words: list[str], longest: int = 220) -> Column:
+    """Whether a record is short in both languages, has a text and none of the blocked words in it or its narrator."""
+    short = (graphemes(F.coalesce(arabic, F.lit(""))) <= longest) & (graphemes(body) <= longest)
+    return F.coalesce((body != "") & short & ~has_blocked_word(F.concat_ws(" ", body, narrator), words), F.lit(False))
+
+
 def describe(s: Column, n: int) -> Column:
     return F.when(F.length(s) > n, F.concat(F.substring(s, 1, n), F.lit("..."))).otherwise(s)
 
@@ -149,3 +155,30 @@ def vocabulary_words(fold: Column) -> Column:
 
 def semantic_words(s: Column) -> Column:
     return F.regexp_extract_all(F.lower(s), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+
+
+# Texts whose folds stand for both folds.
+PROBES = [
+    "إنَّمَا الْأَعْمَالُ بِالنِّيَّاتِ",
+    "قَالَ رَسُولُ اللَّهِ ﷺ",
+    "ٱلْحَمْدُ لِلَّهِ رَبِّ ٱلْعَٰلَمِينَ",
+    "الصَّلَاةُ خَيْرٌ مِنَ النَّوْمِ",
+    "أَبُو هُرَيْرَةَ، ؤ، ئ، ء، ٱ، ى، ة، ٰ",
+    "مَنْ كَانَ يُؤْمِنُ بِاللَّهِ وَالْيَوْمِ الْآخِرِ",
+    "Narrated 'A'ishah (may Allah be pleased with her):",
+    'The Messenger of Allah (ﷺ) said: "Actions are (judged) by motives (niyyah)"',
+    "Mu'adh ibn Jabal - [of His] - Abu Dawud 1:23",
+    "  doubled   spaces\tand\ttabs\nand\nnewlines  ",
+    "MiXeD CaSe, punctuation!? and symbols +=%$#@ and digits 0123456789",
+    "",
+]
+
+
+def fold_fingerprint() -> Column:
+    """One value for both folds: the fingerprint of all probes through them. It needs no column."""
+    return fnv1a(F.concat(*(F.concat(fold_arabic(F.lit(p)), F.lit("\x01"), fold_english(F.lit(p)), F.lit("\x02")) for p in PROBES)))
+
+
+def word_list_fingerprint(words: Column) -> Column:
+    """The fingerprint of an array of words, whatever their order and case."""
+    return fnv1a(F.array_join(F.array_sort(F.transform(words, F.lower)), "\n"))

@@ -121,7 +121,9 @@ def restore_rows(rows: DataFrame, matches: DataFrame, way: str) -> DataFrame:
 
 
 def trim_logged(rows: DataFrame, log: DataFrame) -> DataFrame:
-    """Leading punctuation goes from the bodies of logged rows; others stay. rows: id, body, ...; log: id."""
-    logged = log.select(F.col("id").alias("__id")).distinct()
-    j = rows.join(logged, rows["id"] == F.col("__id"), "left")
-    return j.withColumn("body", F.when(F.col("__id").isNotNull(), T.trim_lead(F.col("body"))).otherwise(F.col("body"))).drop("__id")
+    """Leading punctuation goes from the bodies of logged rows, unless nothing else is in them; others stay. rows: id, body,
+    ...; log: id."""
+    logged = log.select(F.col("id").alias("logged_id")).distinct()
+    j = rows.join(logged, rows["id"] == F.col("logged_id"), "left")
+    bare = T.trim_lead(F.col("body"))
+    return j.withColumn("body", F.when(F.col("logged_id").isNotNull() & (bare != ""), bare).otherwise(F.col("body"))).drop("logged_id")

@@ -12,15 +12,17 @@ from ..store import discard, fresh, materialise
 from .ordered import running_count
 
 
-def repair_by_key(damaged: DataFrame, donors: DataFrame) -> DataFrame:
-    """Damaged rows with the donor text that the bug would turn into them. damaged: id, body; donors: donor, ord, body.
-    The first donor (by ord) with a candidate wins; two candidates with different keys are ambiguous and refused; among
-    candidates with one key the least text is taken. status: repaired, unchanged, ambiguous, unmatched."""
-    d = damaged.select("id", "body", T.norm_key(F.col("body")).alias("key"))
-    c = donors.select("ord", F.col("body").alias("clean"), T.norm_key(T.greedy_strip(F.col("body"))).alias("key"), T.norm_key(F.col("body")).alias("clean_key"))
-    per = c.groupBy("key", "ord").agg(F.min("clean_key").alias("lo"), F.max("clean_key").alias("hi"), F.min("clean").alias("clean"))
-    best = per.groupBy("key").agg(F.min_by(F.struct("lo", "hi", "clean"), "ord").alias("c"))
-    j = d.join(best, "key", "left")
+def repair_by_key(damaged: DataFrame, donors: DataFrame, group: str | None = None) -> DataFrame:
+    """Damaged rows with the donor text that the bug would turn into them. damaged: id, body; donors: ord, body; both with
+    group, if rows meet donors of their own group only. The first donor (by ord) with a candidate wins; two candidates with
+    different keys are ambiguous and refused; among candidates with one key the least text is taken. status: repaired,
+    unchanged, ambiguous, unmatched."""
+    g = [group] if group else []
+    d = damaged.select(*g, "id", "body", T.norm_key(F.col("body")).alias("key"))
+    c = donors.select(*g, "ord", F.col("body").alias("clean"), T.norm_key(T.greedy_strip(F.col("body"))).alias("key"), T.norm_key(F.col("body")).alias("clean_key"))
+    per = c.groupBy(*g, "key", "ord").agg(F.min("clean_key").alias("lo"), F.max("clean_key").alias("hi"), F.min("clean").alias("clean"))
+    best = per.groupBy(*g, "key").agg(F.min_by(F.struct("lo", "hi", "clean"), "ord").alias("c"))
+    j = d.join(best, [*g, "key"], "left")
     status = F.when(F.col("c").isNull(), "unmatched").when(F.col("c.lo") != F.col("c.hi"), "ambiguous").when(F.col("c.lo") == F.col("key"), "unchanged").otherwise("repaired")
     return j.select("id", status.alias("status"), F.when(status == "repaired", F.col("c.clean")).alias("repaired"))
 

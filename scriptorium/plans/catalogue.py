@@ -13,11 +13,15 @@ from ..functions import letters as A
 from ..functions import marks as M
 from ..functions import text as T
 from ..functions import words as W
+from ..functions import trees as Y
 from ..operators import boundary as B
+from ..operators import builds as D
 from ..operators import linkage as L
 from ..operators import ordered as O
 from ..operators import ranked as R
+from ..operators import repair as P
 from ..operators import tiers as Z
+from ..sources import books as S
 from ..store import spread
 
 QUERIES: dict = {}
@@ -245,13 +249,13 @@ def daily_flags(spark, d):
 # search
 
 
-def corpus(spark: SparkSession, d: str) -> R.Corpus:
+def corpus(spark: SparkSession, d: str, fold=T.fold_english) -> R.Corpus:
     docs = _docs(spark, d).withColumnRenamed("source", "book")
     chapter = F.floor(F.col("row") / 10)
-    first = O.positions(docs.select("book", "doc_id", T.fold_english(F.split_part("text", F.lit("\n"), F.lit(1))).alias("title_fold")), "book", "doc_id")
+    first = O.positions(docs.select("book", "doc_id", fold(F.split_part("text", F.lit("\n"), F.lit(1))).alias("title_fold")), "book", "doc_id")
     first = first.filter("row % 10 = 0").select("book", chapter.alias("chapter"), "title_fold")
-    books = docs.select("book").distinct().withColumn("title_fold", T.fold_english(F.col("book")))
-    rows = docs.select("book", "doc_id", T.fold_english(F.concat("text", F.lit("\n"), "lang")).alias("body_fold"))
+    books = docs.select("book").distinct().withColumn("title_fold", fold(F.col("book")))
+    rows = docs.select("book", "doc_id", fold(F.concat("text", F.lit("\n"), "lang")).alias("body_fold"))
     return R.Corpus(rows, first, books, lambda hits: O.positions(hits, "book", "doc_id").withColumn("chapter", chapter))
 
 
@@ -543,5 +547,289 @@ def gate_diff(spark, d):
     return L.diff(left, right, ["doc_id"]).select("doc_id", F.when(F.col("r").isNull(), "missing").otherwise("changed").alias("problem"))
 
 
+# texts and records
+
+
+@query(r"""SELECT doc_id, regexp_replace('): ,.' || text, '^[ \t\r\n):;,.\-\x{2013}\]]+', '') AS trimmed, CASE WHEN length(text) > 30 THEN text[:30] || '...' ELSE text END AS described,
+    trim(regexp_replace('(' || chr(65018) || ' ) ' || text || '   ( ' || chr(65018) || ')', '^\(\x{FDFA} \) ', '(' || chr(65018) || ') ')) AS t0,
+    regexp_replace(regexp_replace(regexp_replace('(' || chr(65018) || ') ' || text || ' (' || chr(65018) || ')', '[ \t]{2,}', ' ', 'g'), '^\s+', ''), '\s+$', '') AS tidied FROM documents""".replace(r"""
+    trim(regexp_replace('(' || chr(65018) || ' ) ' || text || '   ( ' || chr(65018) || ')', '^\(\x{FDFA} \) ', '(' || chr(65018) || ') ')) AS t0,""", ""))
+def text_edges(spark, d):
+    blessed = F.concat(F.lit(f"( {T.BLESSING} ) "), "text", F.lit(f"   ({T.BLESSING} )"))
+    return _docs(spark, d).select("doc_id", T.trim_lead(F.concat(F.lit("): ,."), "text")).alias("trimmed"), T.describe(F.col("text"), 30).alias("described"), T.tidy(blessed).alias("tidied"))
+
+
+_MARKED = "regexp_replace(translate(text, 'aeio', chr(1576) || chr(1603) || chr(1587) || chr(1604)), '([' || chr(1576) || chr(1603) || '])', '\\1' || chr(1614) || chr(1617), 'g')"
+
+
+@query(f"SELECT doc_id, translate({_MARKED}, chr(1614) || chr(1617), '') AS letters, list_filter(string_split_regex(translate({_MARKED}, chr(1614) || chr(1617), ''), '[^\\x{{600}}-\\x{{6FF}}]+'), lambda x: x <> '') AS words FROM documents")
+def arabic_skeletons(spark, d):
+    marked = F.regexp_replace(F.translate("text", "aeio", "بكسل"), "([بك])", "$1َّ")
+    return _docs(spark, d).select("doc_id", A.skeleton(marked).alias("letters"), A.arabic_words(marked).alias("words"))
+
+
+@query("SELECT doc_id, [x FOR x IN [lang, text, source, 'n' || n_chars] IF x IS NOT NULL] AS leaves, regexp_replace(replace(' ' || chr(13) || chr(10) || text || chr(13), chr(13) || chr(10), chr(10)), '^\\s+|\\s+$', '', 'g') AS body FROM documents")
+def nested_texts(spark, d):
+    tree = F.struct(F.struct("lang", F.array("text", "source").alias("texts")).alias("a"), F.col("doc_id"), F.create_map(F.lit("k"), F.concat(F.lit("n"), F.col("n_chars").cast("string"))).alias("m"))
+    df = _docs(spark, d).select("doc_id", tree.alias("tree"), F.struct(F.array(F.concat(F.lit(" \r\n"), "text", F.lit("\r"))).alias("x")).alias("s"))
+    clean = Y.cleaned(df.select("doc_id", "s")).select(F.col("doc_id").alias("id"), F.col("s.x")[0].alias("body"))
+    return df.select("doc_id", Y.string_leaves(F.col("tree"), df.schema["tree"].dataType).alias("leaves")).join(clean, F.col("doc_id") == F.col("id")).drop("id")
+
+
+@query("SELECT '87ae980f6662910b' AS folds, '364acd6b07a2588f' AS blocked")
+def fold_fingerprints(spark, d):
+    return spark.range(1).select(T.fold_fingerprint().alias("folds"), T.word_list_fingerprint(F.array(*map(F.lit, BLOCKED))).alias("blocked"))
+
+
+@query(f"SELECT word, row_number() OVER (ORDER BY word) - 1 AS place FROM ({VOCABULARY})")
+def vocabulary_sorted(spark, d):
+    ranked = O.running_count(_vocabulary(spark, d).withColumn("one", F.lit(0)), "one", "word", F.lit(True), "place")
+    return ranked.select("word", (F.col("place") - 1).alias("place"))
+
+
+@query(rf"SELECT source, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, count(*) FILTER (WHERE text <> '' AND length_grapheme(text) <= 220 AND length_grapheme(lang) <= 220 AND NOT list_has_any(string_split_regex(lower(text || ' ' || lang), '[^\p{{L}}]+'), {BLOCKED})) AS daily FROM documents GROUP BY source")
+def daily_candidates(spark, d):
+    docs = _docs(spark, d)
+    daily = T.daily_candidate(F.col("lang"), F.col("text"), F.col("lang"), BLOCKED)
+    return docs.groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count_if(daily).alias("daily"))
+
+
+@query(f"WITH r AS ({ROWS}), n AS (SELECT book, count(*) AS n, sum(count(*)) OVER (ORDER BY 100 - CAST(substr(book, 4) AS INT)) - count(*) AS start FROM r WHERE book <> 'src7' GROUP BY book) SELECT doc_id, CAST(start + row AS BIGINT) AS position FROM r JOIN n USING (book)")
+def catalog_order(spark, d):
+    docs = _docs(spark, d)
+    catalog = docs.select(F.col("source").alias("slug")).distinct().filter("slug <> 'src7'").withColumn("number", 100 - F.substring("slug", 4, 9).cast("int"))
+    return S.in_catalog_order(_rows(spark, d).withColumnRenamed("book", "slug"), catalog).select("doc_id", "position")
+
+
+@query(f"WITH r AS ({ROWS}) (SELECT doc_id, 'first' AS found FROM r WHERE book = 'src3' AND n_chars % 7 = 2 ORDER BY row LIMIT 1) UNION ALL SELECT doc_id, 'chapter' FROM r WHERE book = 'src4' AND row // 10 = 1")
+def record_lookup(spark, d):
+    rows = _rows(spark, d, (F.col("n_chars") % 7).alias("idInBook")).withColumnRenamed("book", "slug").withColumn("chapter", F.floor(F.col("row") / 10))
+    return S.row_for(rows, "src3", 2).select("doc_id", F.lit("first").alias("found")).unionByName(S.of_chapter(rows, "src4", 1).select("doc_id", F.lit("chapter").alias("found")))
+
+
+def _ar(x: str) -> str:
+    return rf"""regexp_replace(trim(regexp_replace(lower(regexp_replace(translate({x}, '{T.ARABIC_FROM}', '{T.ARABIC_TO}'),
+    '[^\P{{P}}&!#]|[^\P{{S}}|]|\p{{M}}', '', 'g')), '[\t\n\x0B\f\r\x{{85}}\x{{2028}}\x{{2029}}\p{{Zs}}]+', ' ', 'g')), '[\x{{64B}}-\x{{65F}}\x{{6D6}}-\x{{6ED}}\x{{670}}\x{{674}}]', '', 'g')"""
+
+
+#: The texts in Arabic letters, some of them carriers that the fold unites.
+_SPELLED = ("abcdefghijklmnoprstuvwy", "أبجدةفغهىجكلمنؤپرستؤوخي")
+
+
+def _arabic(x: str) -> str:
+    return _ar(f"translate(lower({x}), '{_SPELLED[0]}', '{_SPELLED[1]}')")
+
+
+@query(_search_sql([("تهاندبلة".replace("ة", "ه"), None), ("اتتىون".replace("ى", "ا"), None)], "تهاندبله اتتاون").replace(_en("text || chr(10) || lang"), _arabic("text || chr(10) || lang")).replace(_en("split_part(text, chr(10), 1)"), _arabic("split_part(text, chr(10), 1)")).replace(_en("book"), _arabic("book")))
+def ranked_arabic(spark, d):
+    spelled = lambda c: T.fold_arabic(F.translate(F.lower(c), *_SPELLED))
+    return R.search(R.parse(spark, "تَهَاندبلة أتتىون"), corpus(spark, d, spelled))
+
+
+# composed repairs
+
+
+_MARKED_BY = "'Narrated by S: ' || "
+
+
+@query(rf"""WITH r AS (SELECT source AS book, doc_id AS id, CASE WHEN doc_id % 5 = 4 THEN 'other words ' || text || ' .' WHEN doc_id % 2 = 0 THEN 'a z ' || text ELSE text END AS body FROM documents),
+d AS (SELECT source AS book, doc_id % 3 AS ord, {_MARKED_BY} CASE WHEN doc_id % 2 = 0 THEN 'a [b ' || doc_id % 3 || '] z ' || text ELSE text END AS clean FROM documents),
+p AS (SELECT book, {_norm(_NO_BRACKETS.format('clean'))} AS key, ord, min({_norm('clean')}) AS lo, max({_norm('clean')}) AS hi FROM d GROUP BY 1, 2, 3),
+b AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY book, key ORDER BY ord) = 1),
+s AS (SELECT r.book, id, body, CASE WHEN b.key IS NULL THEN 'unmatched' WHEN lo <> hi THEN 'ambiguous' WHEN lo = b.key THEN 'unchanged' ELSE 'repaired' END AS status,
+    regexp_matches(body, '[a-zA-Z\)\]\"\x{{201D}}]\s+[.,:;]|[a-z]  +[a-zA-Z]') AS scarred FROM r LEFT JOIN b ON r.book = b.book AND {_norm(_MARKED_BY + 'body')} = b.key)
+SELECT book, count(*) AS total, count(*) FILTER (WHERE status = 'repaired') AS damaged, count(*) FILTER (WHERE status = 'repaired') AS repaired, count(*) FILTER (WHERE status = 'ambiguous') AS ambiguous,
+    count(*) FILTER (WHERE status <> 'repaired' AND scarred) AS unmatched_scarred, 0::BIGINT AS unprovable FROM s GROUP BY book""")
+def repair_report(spark, d):
+    docs, t, i = _docs(spark, d).withColumnRenamed("source", "book"), F.col("text"), F.col("doc_id")
+    body = F.when(i % 5 == 4, F.concat(F.lit("other words "), t, F.lit(" ."))).when(i % 2 == 0, F.concat(F.lit("a z "), t)).otherwise(t)
+    rows = docs.select("book", i.alias("id"), F.lit("Narrated by S:").alias("narrator"), body.alias("body"))
+    clean = F.when(i % 2 == 0, F.concat(F.lit("a [b "), (i % 3).cast("string"), F.lit("] z "), t)).otherwise(t)
+    donors = docs.select("book", (i % 3).alias("ord"), F.concat(F.lit("Narrated by S: "), clean).alias("body"))
+    return P.pass_one_stats(P.pass_one(rows, donors))
+
+
+def _proof_sql(targets: str, texts: str, name: str) -> str:
+    """CTEs: for each target (book, id, key) of a relation the keys of the donor texts (book, clean) near it that prove it."""
+    return rf"""{name}_u AS (SELECT book, {_norm('clean')} AS key, min(clean) AS clean FROM {texts} GROUP BY 1, 2), {name}_k AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY key) - 1 AS r FROM {name}_u),
+{name}_pl AS (SELECT t.book, t.id, t.key, count(k.key) AS place FROM {targets} t LEFT JOIN {name}_k k ON k.book = t.book AND k.key < t.key GROUP BY 1, 2, 3),
+{name}_f AS (SELECT p.book, p.id, p.key, k.clean, k.r, k.key AS given FROM {name}_pl p JOIN {name}_k k ON k.book = p.book AND k.r BETWEEN greatest(place - 64, 0) AND place + 63 WHERE contains(k.clean, '[') AND {_norm(_NO_SPANS.format('k.clean'))} = p.key)"""
+
+
+@query(rf"""WITH t AS (SELECT lang AS book, doc_id AS id, {_norm("'S ' || text || ' zz'")} AS key FROM documents),
+a AS (SELECT lang AS book, 'S ' || text || ' [x' || doc_id % 2 || '] zz' AS clean FROM documents WHERE doc_id % 3 <> 0),
+b AS (SELECT lang AS book, 'S ' || text || CASE WHEN doc_id % 7 = 5 THEN ' [y] zz' ELSE ' [x' || doc_id % 2 || '] zz' END AS clean FROM documents WHERE doc_id % 4 <> 0),
+{_proof_sql('t', 'a', 'a')}, {_proof_sql('t', 'b', 'b')},
+o AS (SELECT book, id, 0 AS ord, min(given) AS given FROM a_f GROUP BY 1, 2 HAVING count(DISTINCT r) = 1 UNION ALL SELECT book, id, 1, min(given) FROM b_f GROUP BY 1, 2 HAVING count(DISTINCT r) = 1),
+c AS (SELECT book, id, count(DISTINCT given) AS keys, count(*) AS n FROM o GROUP BY 1, 2),
+s AS (SELECT t.book, t.id, n, CASE WHEN keys IS NULL THEN 'unmatched' WHEN keys > 1 THEN 'ambiguous' WHEN t.id % 11 = 0 THEN 'logged' ELSE 'repaired' END AS status FROM t LEFT JOIN c USING (book, id))
+SELECT book, id, status, CASE WHEN status = 'repaired' THEN CAST(n AS INTEGER) END AS confirmed_by FROM s""")
+def repair_two_donors(spark, d):
+    docs, i = _docs(spark, d).withColumnRenamed("lang", "book"), F.col("doc_id")
+    marked = lambda x: F.concat(F.lit("S "), "text", x)
+    own = F.concat(F.lit(" [x"), (i % 2).cast("string"), F.lit("] zz"))
+    rows = docs.select("book", i.alias("id"), F.lit("S").alias("narrator"), F.concat("text", F.lit(" zz")).alias("body"))
+    a = docs.filter("doc_id % 3 <> 0").select("book", F.lit(0).alias("ord"), marked(own).alias("clean"))
+    b = docs.filter("doc_id % 4 <> 0").select("book", F.lit(1).alias("ord"), marked(F.when(i % 7 == 5, " [y] zz").otherwise(own)).alias("clean"))
+    log = docs.filter("doc_id % 11 = 0").select("book", i.alias("id"))
+    return P.pass_two(rows, a.unionByName(b), log).select("book", "id", "status", "confirmed_by")
+
+
+_LOOKED = "CASE WHEN doc_id % 4 = 2 THEN text || ' zz' WHEN doc_id % 4 = 3 THEN 'unheard ' || text || doc_id ELSE text END"
+_ENTRY = "CASE WHEN doc_id % 4 = 0 THEN 'S ' || text WHEN doc_id % 4 = 2 THEN 'S ' || text || ' [left out] zz' ELSE text END"
+
+
+@query(rf"""WITH w AS (SELECT lang AS book, doc_id AS id, {_norm("'S ' || " + _LOOKED)} AS key FROM documents), o AS (SELECT lang AS book, doc_id AS id, {_norm(_LOOKED)} AS key FROM documents),
+e AS (SELECT lang AS book, doc_id AS ord, {_ENTRY} AS clean, {_norm(_ENTRY)} AS key, 'g' || doc_id % 2 AS verdict FROM documents),
+x AS (SELECT book, key, CASE WHEN count(DISTINCT verdict) = 1 THEN min(verdict) END AS verdict FROM e GROUP BY 1, 2), f AS (SELECT book, key, arg_min(clean, ord) AS clean, arg_min(verdict, ord) AS verdict FROM e GROUP BY 1, 2),
+wm AS (SELECT w.* FROM w ANTI JOIN x ON w.book = x.book AND w.key = x.key), {_proof_sql('wm', 'f', 'w')},
+wt AS (SELECT book, id, min(given) AS given FROM w_f GROUP BY 1, 2 HAVING count(DISTINCT r) = 1),
+wg AS (SELECT w.book, w.id, x.verdict FROM w JOIN x USING (book, key) WHERE x.verdict IS NOT NULL UNION ALL SELECT wt.book, wt.id, f.verdict FROM wt JOIN f ON wt.book = f.book AND wt.given = f.key),
+r AS (SELECT o.* FROM o ANTI JOIN wg ON o.book = wg.book AND o.id = wg.id),
+om AS (SELECT r.* FROM r ANTI JOIN x ON r.book = x.book AND r.key = x.key), {_proof_sql('om', 'f', 'o')},
+ot AS (SELECT book, id, min(given) AS given FROM o_f GROUP BY 1, 2 HAVING count(DISTINCT r) = 1),
+og AS (SELECT r.book, r.id, x.verdict FROM r JOIN x USING (book, key) WHERE x.verdict IS NOT NULL UNION ALL SELECT ot.book, ot.id, f.verdict FROM ot JOIN f ON ot.book = f.book AND ot.given = f.key)
+SELECT o.id, coalesce(wg.verdict, og.verdict) AS verdict FROM o LEFT JOIN wg ON o.book = wg.book AND o.id = wg.id LEFT JOIN og ON o.book = og.book AND o.id = og.id""")
+def grades_lookup(spark, d):
+    docs, t, i = _docs(spark, d).withColumnRenamed("lang", "book"), F.col("text"), F.col("doc_id")
+    looked = F.when(i % 4 == 2, F.concat(t, F.lit(" zz"))).when(i % 4 == 3, F.concat(F.lit("unheard "), t, i.cast("string"))).otherwise(t)
+    entry = F.when(i % 4 == 0, F.concat(F.lit("S "), t)).when(i % 4 == 2, F.concat(F.lit("S "), t, F.lit(" [left out] zz"))).otherwise(t)
+    rows = docs.select("book", i.alias("id"), F.lit("S").alias("narrator"), looked.alias("text"))
+    grade = F.struct(F.lit("n").alias("name"), F.concat(F.lit("g"), (i % 2).cast("string")).alias("grade"))
+    entries = docs.select("book", i.alias("ord"), entry.alias("text"), F.array(grade).alias("grades"))
+    return L.lookup_grades(rows, entries).select("id", F.col("grades")[0]["grade"].alias("verdict"))
+
+
+@query("SELECT source AS book, count(*) AS n_rows, count(l.doc_id) AS graded, round(100 * count(l.doc_id) / count(*), 1) AS percent_graded, count(*) FILTER (WHERE d.doc_id % 3 = 0) AS cited, round(100 * count(*) FILTER (WHERE d.doc_id % 3 = 0) / count(*), 1) AS percent_cited, count(DISTINCT l.quality) AS graders FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY source")
+def grade_statistics(spark, d):
+    labels = _t(spark, d, "labels").select(F.col("doc_id").alias("labelled"), F.array(F.struct(F.concat(F.lit("q"), F.col("quality").cast("string")).alias("name"), F.lit("x").alias("grade"))).alias("grades"))
+    rows = _docs(spark, d).join(labels, F.col("doc_id") == F.col("labelled"), "left")
+    return P.grade_stats(rows.select(F.col("source").alias("book"), "grades", F.when(F.col("doc_id") % 3 == 0, "1").otherwise("").alias("citation")))
+
+
+@query("SELECT doc_id, 'Sahih ' || doc_id || ';Hasan ' || doc_id || ';Its isnad is ' || doc_id || ';(N)' AS grades, 4::BIGINT AS scanned, 2::BIGINT AS repaired, 1::BIGINT AS refused FROM documents")
+def grade_arrays(spark, d):
+    i = F.col("doc_id").cast("string")
+    made = [F.concat(F.lit("Sahih "), i, F.lit(" (N)], Sahih "), i), F.concat(F.lit("Hasan "), i), F.concat(F.lit("Lts isnad is "), i, F.lit("]")), F.lit("(N)")]
+    rows = _docs(spark, d).select("doc_id", F.array(*(F.struct(F.lit("N").alias("name"), g.alias("grade")) for g in made)).alias("grades"))
+    fixed = P.repaired_grades(rows)
+    n = lambda c: F.size(F.filter(F.arrays_zip(rows["grades"].alias("o"), F.transform(rows["grades"], lambda g: M.repair_grade(g["grade"], g["name"])).alias("n")), c)).cast("long")
+    counts = rows.select(F.col("doc_id").alias("id"), F.size("grades").cast("long").alias("scanned"), n(lambda x: F.coalesce(x["n"] != x["o"]["grade"], F.lit(False))).alias("repaired"), n(lambda x: x["n"].isNull()).alias("refused"))
+    return fixed.join(counts, F.col("doc_id") == F.col("id")).select("doc_id", F.array_join(F.transform("grades", lambda g: g["grade"]), ";").alias("grades"), "scanned", "repaired", "refused")
+
+
+@query("""WITH o AS (SELECT conv_id AS book, turn AS id, text AS after FROM conversations WHERE turn % 2 = 0), n AS (SELECT conv_id AS book, turn AS id, ': ' || text AS after FROM conversations)
+SELECT book, id, after FROM o UNION ALL SELECT book, id, coalesce(nullif(regexp_replace(after, '^[ \\t\\r\\n):;,.\\-\\x{2013}\\]]+', ''), ''), after) FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.book = n.book AND o.id = n.id)""")
+def repair_log(spark, d):
+    t = _t(spark, d, "conversations").select(F.col("conv_id").alias("book"), F.col("turn").alias("id"), "text")
+    old = t.filter("id % 2 = 0").select("book", "id", F.col("text").alias("after"))
+    return P.merged_log(old, P.trimmed_log(t.select("book", "id", F.concat(F.lit(": "), "text").alias("after"))))
+
+
+# derived corpora and gates
+
+
+def _encyclopedia(spark, d):
+    docs, i = _docs(spark, d), F.col("doc_id").cast("string")
+    core = docs.select(i.alias("id"), F.struct(F.concat(F.lit(" "), "lang", F.lit("\r\n")).alias("title"), F.concat("text", F.lit("\r")).alias("body"), F.array(F.struct(F.lit(" w ").alias("w"), F.col("source").alias("m"))).alias("words")).alias("arabic"))
+    english = docs.filter("doc_id % 4 <> 1").select(i.alias("id"), F.struct(F.concat(F.lit("\t"), "lang").alias("title"), F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(" b "))).otherwise(F.array().cast("array<string>")).alias("benefits")).alias("english"))
+    index = _t(spark, d, "labels").select(i.alias("id"), F.array(F.concat(F.lit("q"), F.col("quality").cast("string")), F.concat(F.lit("t"), F.col("toxic").cast("string"))).alias("categories"))
+    tree = spark.createDataFrame([("q0", None), ("q1", "q0"), ("t0", "gone")], "id string, parent string")
+    return core, english, index, tree
+
+
+@query("""SELECT d.doc_id::VARCHAR AS id, coalesce('q' || quality || ',t' || toxic, '') AS categories, lang AS title, regexp_replace(text, '\\s+$', '') AS body, 'w=' || source AS glosses, CASE WHEN d.doc_id % 3 = 0 THEN 'b' ELSE '' END AS benefits
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.doc_id % 4 <> 1""")
+def encyclopedia_build(spark, d):
+    core, english, index, _ = _encyclopedia(spark, d)
+    e = D.encyclopedia(core, english, index)
+    return e.select("id", F.array_join("categories", ",").alias("categories"), F.col("arabic.title").alias("title"), F.col("arabic.body").alias("body"), F.array_join(F.transform("arabic.words", lambda w: F.concat(w["w"], F.lit("="), w["m"])), ";").alias("glosses"), F.array_join("english.benefits", ",").alias("benefits"))
+
+
+@query("""WITH e AS (SELECT d.doc_id, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.doc_id % 4 <> 1)
+SELECT 't1' AS id, 'orphan category' AS what, count(*) AS n FROM e WHERE toxic = 1 HAVING count(*) > 0 UNION ALL SELECT 't0', 'orphan parent', 1 UNION ALL SELECT '', 'entries', count(*) FROM e
+UNION ALL SELECT '', 'with benefits', count(*) FILTER (WHERE doc_id % 3 = 0) FROM e UNION ALL SELECT '', 'in q1 or t1', count(*) FILTER (WHERE quality = 1 OR toxic = 1) FROM e""")
+def encyclopedia_gate(spark, d):
+    core, english, index, tree = _encyclopedia(spark, d)
+    e = D.encyclopedia(core, english, index)
+    counts = D.fill_counts(e, {"with benefits": F.element_at(F.concat("english.benefits", F.array(F.lit(""))), 1)})
+    named = counts.select(F.explode(F.array(F.struct(F.lit("entries").alias("what"), F.col("entries").alias("n")), F.struct(F.lit("with benefits").alias("what"), F.col("with benefits").alias("n")))).alias("x")).select(F.lit("").alias("id"), "x.what", "x.n")
+    out = D.orphan_categories(e, tree).select(F.col("category").alias("id"), F.lit("orphan category").alias("what"), F.col("entries").alias("n"))
+    out = out.unionByName(D.orphan_parents(tree).select("id", F.lit("orphan parent").alias("what"), F.lit(1).cast("long").alias("n"))).unionByName(named)
+    return out.unionByName(D.in_categories(e, ["q1", "t1"]).agg(F.count("*").alias("n")).select(F.lit("").alias("id"), F.lit("in q1 or t1").alias("what"), "n"))
+
+
+def _topics(spark, d):
+    nation = _t(spark, d, "nation").select("n_nationkey", "n_regionkey", F.concat(F.lit("n"), F.chr(F.col("n_nationkey") + 97)).alias("slug"))
+    c = _t(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("c_custkey")
+    address = F.when(k % 6 == 0, F.concat(F.lit("https://sunnah.com/"), "slug", F.lit(":"), k.cast("string"))).when(k % 6 == 1, F.lit("https://sunnah.com/x"))
+    own = F.when(k % 6 == 1, F.concat(F.lit("no citation "), k.cast("string"))).when(k % 6 == 2, F.concat(F.lit("zz-"), k.cast("string"))).otherwise(F.concat("slug", F.lit("-"), k.cast("string"), F.when(k % 6 == 3, "b").otherwise("")))
+    raw = c.select(own.alias("id"), address.alias("reference"), F.when(k % 6 == 4, "gone").otherwise("t1").alias("topic"), F.concat(F.lit("l"), F.col("n_regionkey").cast("string")).alias("lane"), k.alias("rank"))
+    records = c.select("slug", k.cast("string").alias("citation"), F.array(F.struct(F.lit("n").alias("name"), F.lit("g").alias("grade"))).alias("grades"))
+    lanes = _t(spark, d, "region").filter("r_regionkey <> 4").select(F.concat(F.lit("l"), F.col("r_regionkey").cast("string")).alias("id"))
+    return raw, records, lanes, spark.createDataFrame([("t1", "l0")], "id string, lane string"), [f"n{chr(97 + i)}" for i in range(25)]
+
+
+_TOPICS = "WITH c AS (SELECT c_custkey AS k, 'n' || chr(97 + n_nationkey) AS slug, n_regionkey AS lane FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+
+
+@query(_TOPICS + """, i AS (SELECT *, CASE WHEN k % 6 = 1 THEN 'no citation ' || k WHEN k % 6 = 2 THEN 'zz-' || k ELSE slug || '-' || k || CASE WHEN k % 6 = 3 THEN 'b' ELSE '' END END AS id FROM c)
+SELECT id, CASE k % 6 WHEN 1 THEN 'no citation' WHEN 2 THEN 'foreign book' ELSE 'not on the shelf' END AS problem FROM i WHERE k % 6 IN (1, 2, 3) UNION ALL SELECT id, 'unknown topic' FROM i WHERE k % 6 = 4
+UNION ALL SELECT id, 'unknown lane' FROM i WHERE k % 6 IN (0, 4, 5) AND lane = 4""")
+def topic_problems(spark, d):
+    raw, records, lanes, topics, slugs = _topics(spark, d)
+    return D.topic_problems(D.topic_entries(raw, records), lanes, topics, slugs)
+
+
+@query(_TOPICS + " SELECT slug || '-' || k AS id, slug, k::VARCHAR AS citation, 't1' AS topic, 'l' || lane AS lane, k AS rank, TRUE AS graded FROM c WHERE k % 6 IN (0, 5) AND lane <> 4")
+def topics_build(spark, d):
+    raw, records, lanes, topics, slugs = _topics(spark, d)
+    return D.build_topics(raw.filter("rank % 6 in (0, 5) and lane <> 'l4'"), records, lanes, topics, slugs)
+
+
+@query(_TOPICS + " SELECT 'l' || lane AS lane, 'l0' AS topic_lane, count(*) AS entries FROM c WHERE k % 6 <> 4 GROUP BY lane")
+def topic_lanes(spark, d):
+    raw, _, _, topics, _ = _topics(spark, d)
+    return D.cross_lane(raw, topics)
+
+
+_CITED = "SELECT user_id AS book, event_id AS row, CASE WHEN event_id % 10 = 9 THEN NULL ELSE event_id + CASE WHEN event_id % 7 = 3 THEN 1000000 ELSE 0 END END AS base, CASE WHEN event_id % 4 = 1 THEN event_id + CASE WHEN event_id % 3 = 0 THEN 2000000 ELSE 0 END END AS second FROM events"
+
+
+@query(f"""WITH c AS ({_CITED}), s AS (SELECT *, coalesce(base <> second, FALSE) AS suspect FROM c), k AS (SELECT *, CASE WHEN NOT suspect THEN base END AS sure FROM s),
+n AS (SELECT *, last_value(sure IGNORE NULLS) OVER (PARTITION BY book ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo, first_value(sure IGNORE NULLS) OVER (PARTITION BY book ORDER BY row ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS hi FROM k),
+f AS (SELECT *, coalesce(suspect AND NOT (lo < base AND base < hi) AND lo < second AND second < hi, FALSE) AS fixed FROM n)
+SELECT row, CASE WHEN fixed THEN second ELSE base END AS base, fixed FROM f""")
+def citations_settled(spark, d):
+    return D.settled_citations(_cited(spark, d)).select("row", "base", "fixed")
+
+
+def _cited(spark, d):
+    i = F.col("event_id")
+    base = F.when(i % 10 != 9, i + F.when(i % 7 == 3, 1_000_000).otherwise(0))
+    second = F.when(i % 4 == 1, i + F.when(i % 3 == 0, 2_000_000).otherwise(0))
+    return _t(spark, d, "events").select(F.col("user_id").alias("book"), i.alias("row"), base.alias("base"), F.lit(0).alias("suffix"), second.alias("second"))
+
+
+@query(f"""WITH c AS ({_CITED}) SELECT book, count(*) AS n_rows, count(base) AS cited, count(*) FILTER (WHERE base IS NOT NULL AND second IS NOT NULL) AS asked FROM c GROUP BY book""")
+def citation_statistics(spark, d):
+    return D.citation_stats(D.settled_citations(_cited(spark, d))).select("book", "n_rows", "cited", (F.col("agree") + F.col("disagree")).alias("asked"))
+
+
+@query(f"WITH RECURSIVE {_TREE} SELECT ancestor AS root, CAST(depth AS INTEGER) AS depth, count(*) AS nodes FROM t WHERE starts_with(ancestor, 'r') GROUP BY 1, 2")
+def tree_totals(spark, d):
+    return L.tree_stats(spark, _tree(spark, d))
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'dash' WHEN 2 THEN 'words' WHEN 3 THEN 'paragraphs' END AS problem FROM documents")
+def softened_gate(spark, d):
+    first = lambda mark: F.concat(F.lit("On this"), F.lit(mark), "lang")
+    source = F.concat(first(" — "), F.lit("\n\n"), "text")
+    i = F.col("doc_id") % 4
+    built = F.when(i == 0, F.concat(first(", "), F.lit("\n\n"), "text")).when(i == 1, source).when(i == 2, F.concat(F.lit("On, "), "lang", F.lit("\n\n"), "text")).otherwise(F.concat(first(", "), F.lit(" "), "text", F.lit("\n\n\n\nend")))
+    return _docs(spark, d).select("doc_id", D.softened_problem(source, built).alias("problem"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_strict(spark, sf_dir)
