@@ -8,9 +8,7 @@ blocks in parallel and put a file together from the compressed blocks; offsets h
 from __future__ import annotations
 
 import lzma
-import os
 import struct
-import uuid
 
 import numpy as np
 import pandas as pd
@@ -18,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import block_assignment
+from ..store import put_file
 
 # Fixed values of the formats.
 LZMA = 2
@@ -246,19 +245,15 @@ def pack_files(rows: DataFrame, chapters: DataFrame, titles: DataFrame, *, block
 
 
 def write_files(files: DataFrame, folder: str, end: str) -> DataFrame:
-    """Writes each (slug, content) as a file of a folder that all executors share and returns (slug, path, bytes). A file
-    appears whole, by renaming, so a repeated task does no harm."""
+    """Writes each (slug, content) as a file of a folder, a path or URI that all executors share, and returns (slug, path,
+    bytes). A file appears whole, by renaming, so a repeated task does no harm."""
 
     def run(batches):
-        os.makedirs(folder, exist_ok=True)
         for pdf in batches:
             out = []
             for slug, content in zip(pdf["slug"], pdf["content"]):
-                path = os.path.join(folder, f"{slug}{end}")
-                part = f"{path}.{uuid.uuid4().hex}.part"
-                with open(part, "wb") as f:
-                    f.write(content)
-                os.replace(part, path)
+                path = f"{folder.rstrip('/')}/{slug}{end}"
+                put_file(path, content)
                 out.append((slug, path, len(content)))
             yield pd.DataFrame(out, columns=["slug", "path", "bytes"])
 
@@ -345,6 +340,21 @@ def henc_content(tree: list[list[str]], entries: list[list[str]], per_block: int
     return struct.pack(BOOK_HEAD, BOOK_MAGIC, BOOK_VERSION, per_block, len(squeezed), len(head), len(blocks), len(entries), len(tree)) + np.array(blocks, BOOK_BLOCK).tobytes() + squeezed + b"".join(payload)
 
 
+def entry_files(tree: DataFrame, entries: DataFrame, per_block: int = PER_BLOCK) -> DataFrame:
+    """(slug, content) of an encyclopedia for each slug. tree: slug, position and the fields of TREE; entries: slug, position
+    and the fields of FULL, as ``read_entries`` gives them. A file is made by one task, as its header holds all entries."""
+
+    def joined(pdf, fields):
+        pdf = pdf.sort_values("position")
+        text = lambda c, v: ("," if c == "categories" else "\x1f").join(v if v is not None else []) if c in LISTS else "" if v is None else str(v)
+        return [[text(c, v) for c, v in zip(fields, row)] for row in pdf[fields].itertuples(index=False, name=None)]
+
+    def make(key, left, right):
+        return pd.DataFrame([(key[0], henc_content(joined(right, TREE), joined(left, FULL), per_block))], columns=["slug", "content"])
+
+    return entries.groupBy("slug").cogroup(tree.groupBy("slug")).applyInPandas(make, "slug string, content binary")
+
+
 # word vectors
 
 

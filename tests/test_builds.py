@@ -217,3 +217,18 @@ def test_tiers_against_plain_loops(spark, seed):
     assert {k: v for k, v in got.items() if v[1]} == want and len(got) == 70
     counts = Z.tier_counts(spark.createDataFrame([("b", *v) for v in got.values()], "book string, donor long, tier string")).first()
     assert counts["n_rows"] == 70 and counts["unmatched"] == 70 - len(want) and counts["t1"] == sum(t == "T1" for _, t in want.values())
+
+
+def test_encyclopedias_are_written_by_slug(spark, tmp_path):
+    from scriptorium.sources import containers as C
+
+    lists = lambda c: f"{c} array<string>" if c in C.LISTS else f"{c} string"
+    row = lambda p, slug: (slug, p, *([f"x{p}", "y"] if c in C.LISTS else f"{c} {p}" for c in C.FULL))
+    rows = [row(p, s) for s in ("a", "b") for p in range(300)]
+    entries = spark.createDataFrame(rows, "slug string, position long, " + ", ".join(map(lists, C.FULL)))
+    nodes = [(s, i, f"{i}", None if not i else "0", "en", "ar", i, 2 * i) for s in ("a", "b") for i in range(3)]
+    tree = spark.createDataFrame(nodes, "slug string, position long, id string, parent string, en string, ar string, direct long, total long")
+    made = C.write_files(C.entry_files(tree, entries), f"file://{tmp_path}", ".henc").collect()
+    assert {r["slug"] for r in made} == {"a", "b"}
+    assert sorted(map(tuple, C.read_entries(spark, str(tmp_path)).select(*entries.columns).collect()), key=lambda r: r[:2]) == rows
+    assert sorted(tuple(r) for r in C.read_entries(spark, str(tmp_path), "tree").filter("slug = 'b'").select(*tree.columns).collect()) == nodes[3:]
