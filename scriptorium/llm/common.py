@@ -6,11 +6,10 @@ import ctypes
 import uuid
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ..store import discard, fresh, materialise, shared_root, work_dir  # noqa: F401
+from ..store import discard, fresh, get_file, materialise, open_fs, put_file, scratch, shared_root, work_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,27 +22,6 @@ def attempt() -> str:
     return f"{TaskContext.get().taskAttemptId():x}{uuid.uuid4().hex[:6]}"
 
 
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a URI or of an absolute path, and the path in it."""
-    return pafs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
-
-
-def put_file(uri: str, data) -> None:
-    """Writes a whole file under a name of its own and renames it, so that a repeated task leaves one whole file."""
-    fs, path = open_fs(uri)
-    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    temp = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
-    with fs.open_output_stream(temp) as out:
-        out.write(data)
-    fs.move(temp, path)
-
-
-def get_file(uri: str) -> bytes:
-    fs, path = open_fs(uri)
-    with fs.open_input_file(path) as f:
-        return f.read()
-
-
 def slots(spark: SparkSession) -> int:
     """Shuffle partitions to aim at: the session's setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

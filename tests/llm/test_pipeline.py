@@ -3,7 +3,8 @@
 from collections import Counter
 
 import corpus_pipeline
-from scriptorium.llm import jaccard, quality
+from pyspark.sql import functions as F
+from scriptorium.llm import common, jaccard, quality
 from scriptorium.llm.common import materialise
 
 
@@ -28,6 +29,62 @@ def test_stages(spark, small):
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.collect()}
 
 
+def test_pipeline_against_brute_force(spark, small):
+    """Every stage worked out without its operator: windows one by one, SQL, all pairs, the tokenizers library."""
+    import os
+    import re
+
+    import duckdb
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from scriptorium.llm import langid, tokens
+
+    table = spark.read.parquet(f"{small}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in table.collect()}
+    net = langid.fit_languages(table.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
+    pairs = [np.concatenate([w, np.zeros((1,) + w.shape[1:])]) for w in map(np.stack, net.tables)]
+
+    def score(text):
+        raw, total = text.encode(), np.zeros(len(net.langs))
+        for at in range(0, max(1, len(raw)), 128):
+            own = raw[at : at + 128]
+            b = np.frombuffer(own.ljust(132, b"\0"), np.uint8)
+            hidden = np.concatenate([np.max([sum(w[k][b[p + k]] for k in range(len(w) - 1)) for p in range(127)], axis=0) for w in pairs])
+            z = np.maximum(hidden, 0) @ net.out + net.bias
+            total += np.exp(z - z.max()) / np.exp(z - z.max()).sum() * len(own)
+        return total.max() / max(1, len(raw))
+
+    kept = {i for i, t in rows.items() if t and re.search(r"[^\W\d_]", t) and score(t) >= langid.MIN_SCORE}
+    con = duckdb.connect()
+    con.register("ids", pa.table({"id": sorted(kept)}))
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet' WHERE doc_id IN (SELECT id FROM ids)")
+    kept = {i for (i,) in con.sql(f"SELECT doc_id FROM ({quality.OP5_SQL}) WHERE kept").fetchall()}
+    grams = {}
+    for i in sorted(kept):
+        w = [x for x in re.split(rb"[^0-9A-Za-z\x80-\xff]+", rows[i].lower().encode()) if x]
+        grams[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    root = {i: i for i in kept}
+    find = lambda i: i if root[i] == i else find(root[i])
+    ids = sorted(kept)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]) - 1e-9:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    kept = {i for i in kept if find(i) == i}
+    library = Tokenizer.from_file(tokens.default_path())
+    want = {i: library.encode(rows[i], add_special_tokens=False).ids + [1] for i in kept}
+    got, before = {}, set(os.listdir(common.shared_root(spark).removeprefix("file://")))
+    for r in corpus_pipeline.run(spark, small).orderBy("doc_id", "start").collect():
+        assert r["start"] == len(got.setdefault(r["doc_id"], []))
+        got[r["doc_id"]] += r["ids"]
+    assert got == want
+    left = set(os.listdir(common.shared_root(spark).removeprefix("file://"))) - before
+    assert len(left) == 1  # the documents that the result is read from
+
+
 CLASHING = "doc_id long, text string, lang string, source string, n_chars long, n_words int, kept string, n_repeat_words string, base_failed string, lang_pred string, lang_score string, doc string, id string, key string, cls string, __w string, __id string, __rows string, __pred string, fence_lang string, `odd name` string"
 
 
