@@ -10,8 +10,10 @@ the sample is a first limit, and a task carries the best of a query block from o
 Candidates and queries are packed into blocks, each a row with three byte strings. Where there are several blocks of
 queries of a length, queries and candidates are dealt by their nearest pivot first, so that a block's distances to a pivot
 lie close together. A pair of blocks is dropped by the same bound, taken over the intervals of their distances, before anything but
-intervals is shuffled. The pairs that are left meet in an equi-join on (length, query block, slice), so a task holds two
-blocks at a time. Each run of meetings returns k rows for a query, and a window keeps the k best of them.
+intervals is shuffled; the intervals of up to ``broadcast_blocks`` query blocks are broadcast, more meet by shuffle. Queries
+of up to ``broadcast_bytes`` are broadcast to the candidates; beyond that the pairs that are left meet in an equi-join on
+(length, query block, slice). A task holds one block of candidates and RUNS of queries at a time. Each run of meetings
+returns k rows for a query, and a window keeps the k best of them.
 
 Components become floor(scale * x), as integers. Scores are worked out in float64 where all sums of products stay below
 2^53, in int64 below 2^63, and beyond that the search raises. Distances are kept as float32, with a margin of 1e-6 of their
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialise, slots, table
 
+#: Query blocks whose best a task carries at a time.
+RUNS = 16
 SCALE, K, PIVOTS, PIVOT_SAMPLE, BLOCK, QUERY_BLOCK, CHUNK = 1024, 10, 32, 2048, 4096, 1024, 64
 
 
@@ -180,7 +184,7 @@ def _unpack(n: int, dim: int, ids: bytes, vectors: bytes, distances: bytes) -> t
     return np.frombuffer(ids, np.int64), np.frombuffer(vectors, kind).reshape(n, dim), np.frombuffer(distances, np.float32).reshape(n, -1)
 
 
-def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, scale: int = SCALE, n_pivots: int = PIVOTS, block: int = BLOCK, query_block: int = QUERY_BLOCK, counts: bool = False) -> DataFrame:
+def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, scale: int = SCALE, n_pivots: int = PIVOTS, block: int = BLOCK, query_block: int = QUERY_BLOCK, broadcast_blocks: int = 4096, broadcast_bytes: int = 8 << 20, counts: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all rows for each row for which is_query(id column) holds. With counts,
     in their place query_block, pairs and evaluated of each run of meetings: what the elimination had left to do."""
     spark = vectors.sparkSession
@@ -209,42 +213,55 @@ def exact_top_k(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vec_col
         return empty
     pieces = materialise(blocks(dealt(own, n_slices), pivots, block).withColumn("block", F.monotonically_increasing_id()), "candidates")
     discard(own)
-    n_blocks = spark.createDataFrame([tuple(r) for r in n_blocks], "dim int, n_blocks long")
-    tried = pieces.select("block", "dim", "low", "high", "square").join(F.broadcast(n_blocks), "dim").withColumn("qb", F.explode(F.sequence(F.lit(0), (F.col("n_blocks") - 1).cast("int"))))
-    tried = tried.join(slim.select("dim", "qb", F.col("low").alias("q_low"), F.col("high").alias("q_high"), F.col("square").alias("q_square"), "floor"), ["dim", "qb"])
+    slim = slim.select("dim", "qb", F.col("low").alias("q_low"), F.col("high").alias("q_high"), F.col("square").alias("q_square"), "floor")
     # how far apart two blocks' distances to a pivot are at least
     gaps = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("q_low", "q_high"), lambda x, q: F.greatest(x["low"] - q["q_high"], q["q_low"] - x["high"]) - F.lit(4e-6) * (1 + x["high"] + q["q_high"]))
     gap = F.greatest(F.coalesce(F.array_max(gaps), F.lit(0.0)) - F.lit(4e-6) * (F.sqrt("square") + F.sqrt("q_square")), F.lit(0.0))
-    pairs = tried.filter((F.col("square") + F.col("q_square")) * (0.5 + 1e-12) - gap * gap / 2 + 0.5 >= F.col("floor")).select("block", "dim", "qb")
+    near = (F.col("square") + F.col("q_square")) * (0.5 + 1e-12) - gap * gap / 2 + 0.5 >= F.col("floor")
     held = ["n", "ids", "vectors", "distances"]
-    met = pairs.join(pieces.select("block", *held), "block").withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(n_slices)))
+    bounds = ["block", "dim", "low", "high", "square"]
+    if sum(r["n_blocks"] for r in n_blocks) <= broadcast_blocks:
+        met = pieces.select(*bounds, *held).join(F.broadcast(slim), "dim").filter(near)
+    else:
+        few = spark.createDataFrame([tuple(r) for r in n_blocks], "dim int, n_blocks long")
+        tried = pieces.select(*bounds).join(few, "dim").withColumn("qb", F.explode(F.sequence(F.lit(0), (F.col("n_blocks") - 1).cast("int"))))
+        met = tried.join(slim, ["dim", "qb"]).filter(near).select("block", "dim", "qb").join(pieces.select("block", *held), "block")
     sides = queries.join(number, "block").select("dim", "qb", *(F.col(c).alias(f"q_{c}") for c in held))
-    met = met.join(sides.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long")))), ["dim", "qb", "slice"])
+    size = queries.agg(F.sum(F.octet_length("ids") + F.octet_length("vectors") + F.octet_length("distances"))).first()[0]
+    if size <= broadcast_bytes:
+        met = met.join(F.broadcast(sides), ["dim", "qb"])
+    else:  # each slice of the candidates has its copy of the queries
+        n_slices = max(1, min(n_slices, pieces.count()))
+        met = met.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(n_slices)))
+        met = met.join(sides.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long")))), ["dim", "qb", "slice"])
 
     def search(batches):
-        key, best, work = None, [], [0, 0]
+        runs: dict = {}  # of each query block at hand: ids, vectors, distances, floors, best, pairs, evaluated
 
         def out():
             if counts:
-                return pa.RecordBatch.from_pydict({"query_block": [key[1]], "pairs": [work[0]], "evaluated": [work[1]]})
-            at = np.repeat(np.arange(len(best)), [len(s) for s, _ in best])
-            return pa.RecordBatch.from_arrays([pa.array(qid[at]), pa.array(np.concatenate([i for _, i in best])), pa.array(np.concatenate([s for s, _ in best]))], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_pydict({"query_block": [qb for _, qb in runs], "pairs": [r[5] for r in runs.values()], "evaluated": [r[6] for r in runs.values()]})
+                return
+            for qid, _, _, _, best, _, _ in runs.values():
+                at = np.repeat(np.arange(len(best)), [len(s) for s, _ in best])
+                yield pa.RecordBatch.from_arrays([pa.array(qid[at]), pa.array(np.concatenate([i for _, i in best])), pa.array(np.concatenate([s for s, _ in best]))], names=["query_id", "vec_id", "score"])
 
         for whole in batches:
             for i in range(whole.num_rows):
                 row = whole.slice(i, 1).to_pylist()[0]
-                dim = row["dim"]
+                dim, key = row["dim"], (row["dim"], row["qb"])
                 xid, x, xd = _unpack(row["n"], dim, *(row[c] for c in held[1:]))
-                if key != (dim, row["qb"]):
-                    if key:
-                        yield out()
-                    key, work = (dim, row["qb"]), [0, 0]
+                if key not in runs:
+                    if len(runs) >= RUNS:
+                        yield from out()
+                        runs.clear()
                     qid, q, qd = _unpack(row["q_n"], dim, *(row[f"q_{c}"] for c in held[1:]))
-                    floor, best = floors(qid, q, *pivots[dim][1:], k), [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in qid]
-                work[0] += len(qid) * len(xid)
-                work[1] += search_block(qid, q, qd, xid, x, xd, best, floor, k)
-        if key:
-            yield out()
+                    runs[key] = [qid, q, qd, floors(qid, q, *pivots[dim][1:], k), [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in qid], 0, 0]
+                run = runs[key]
+                run[5] += len(run[0]) * len(xid)
+                run[6] += search_block(*run[:3], xid, x, xd, run[4], run[3], k)
+        if runs:
+            yield from out()
 
     met = met.select("dim", "qb", *held, *(f"q_{c}" for c in held))
     if counts:
