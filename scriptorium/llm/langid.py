@@ -26,7 +26,7 @@ from .common import fresh, table, text_bytes, trim
 
 WINDOW = 128
 FILTERS = 12
-FIT_ROWS, FIT_WINDOWS, FIT_STEPS, FIT_BATCH = 400, 6, 260, 192
+FIT_ROWS, FIT_WINDOWS, FIT_STEPS, FIT_BATCH, MAX_LANGS = 400, 6, 260, 192, 1024
 WIDTHS = (2, 3, 4)
 RIDGE = 1e-4
 UNDETERMINED = "und"
@@ -149,18 +149,21 @@ class ByteNet:
         return best, np.clip(score[np.arange(len(best)), best], 0, 1)
 
 
-def fit_languages(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS) -> ByteNet | None:
+def fit_languages(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS, max_langs: int = MAX_LANGS) -> ByteNet | None:
     """A network fitted on about ``rows`` distinct texts of each language; None if no row has a label and a letter.
 
     The sample is the texts with the smallest hashes, up to a limit that is set for each language from the number of its
     distinct texts, and its smallest hash at least, so every label has a text. A text gives up to FIT_WINDOWS windows,
-    spread over all of it. The driver holds some 0.3 MB for each language.
+    spread over all of it. The driver holds some 0.3 MB for each language, so more than max_langs labels raise ValueError:
+    none is left out, and a column of so many values holds something else.
     """
     h = F.xxhash64("t", F.lit("fit")).bitwiseAND(F.lit((1 << 63) - 1))
     own = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).filter("l is not null and t rlike '\\\\p{L}'").withColumn("h", h)
-    counts = own.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
+    counts = own.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n"), F.min("h").alias("least")).limit(max_langs + 1).collect()
     if not counts:
         return None
+    if len(counts) > max_langs:
+        raise ValueError(f"more than {max_langs} labels")
     limits = [(r["l"], (1 << 63) - 1 if r["n"] <= rows else max(r["least"], (rows << 63) // r["n"])) for r in counts]
     limits = labelled.sparkSession.createDataFrame(limits, "l string, upto long")
     picked = own.join(F.broadcast(limits), "l").filter("h <= upto")

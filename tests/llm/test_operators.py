@@ -228,6 +228,8 @@ def test_language_of_very_many_rows(spark, monkeypatch):
     copies = spark.range(100_000).select(F.concat(F.lit("der text nummer "), (F.col("id") % 40).cast("string")).alias("text"), F.lit("de").alias("lang"))
     others = spark.range(100_000).select(F.concat(F.lit("the text with number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
     assert langid.fit_languages(copies.unionByName(others)).langs == ["de", "en"]
+    with pytest.raises(ValueError, match="labels"):
+        langid.fit_languages(copies.unionByName(others), max_langs=1)
     real = F.count
     monkeypatch.setattr(langid.F, "count", lambda c: real(c) * 1_000_000_000)
     assert langid.fit_languages(others.limit(5)).langs == ["en"]
