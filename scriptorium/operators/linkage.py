@@ -42,7 +42,9 @@ def candidate_window(targets: DataFrame, donors: DataFrame, radius: int = 64) ->
 def proved_in_window(targets: DataFrame, donors: DataFrame, radius: int = 64) -> DataFrame:
     """(book, id, donor_rank, key, clean): the donors of each target's candidate window from which a bracket grouping gives
     the target. targets: book, id, key; donors: book, key (distinct), clean. The keys that a donor can give depend on the
-    donor alone, so they are made once for each donor and meet the targets by a hash; meetings are proved exactly."""
+    donor alone, so they are made once for each donor and meet the targets by a hash; meetings are proved exactly. Both sides
+    are stored first, as keys are costly to make and are read several times."""
+    targets, donors = materialise(targets.select("book", "id", "key"), "targets"), materialise(donors.select("book", "key", "clean"), "donors")
     ranked = running_count(donors.select("book", "key", "clean"), "book", "key", F.lit(True), "donor_rank").withColumn("donor_rank", F.col("donor_rank") - 1)
     given = ranked.select("book", "donor_rank", F.explode(T.grouping_hashes(F.col("clean"))).alias("h"))
     placed = places(targets, donors).withColumn("h", F.xxhash64("key"))
@@ -91,8 +93,9 @@ def attach_unique(rows: DataFrame, facts: DataFrame, key: str, name: str, value:
 def _grades_of(keyed: DataFrame, entries: DataFrame, radius: int) -> DataFrame:
     """(book, id, grades) of the rows whose key has grades: those of the key, or else of the one donor that proves it.
     keyed: book, id, key; entries: book, ord, text, key, grades."""
-    flat = F.array_sort(F.array_distinct(F.flatten(F.collect_list("grades"))))
-    exact = entries.groupBy("book", "key").agg(flat.alias("grades"))
+    # a key's copies are summed up by their distinct gradings, which are few, never gathered one by one
+    flat = F.array_sort(F.flatten(F.collect_set("grades")))
+    exact = entries.groupBy("book", "key").agg(F.array_distinct(flat).alias("grades"))
     names = F.array_distinct(F.transform("grades", lambda g: g["name"]))
     exact = exact.withColumn("grades", F.when(F.size("grades") == F.size(names), F.col("grades")))  # a grader with two verdicts is refused
     found = keyed.join(exact, ["book", "key"]).select("book", "id", "grades")
@@ -109,7 +112,7 @@ def lookup_grades(rows: DataFrame, entries: DataFrame, radius: int = 64) -> Data
     has the grades of all entries of that key, refused if a grader has two verdicts; a key without an entry has those of the
     first entry of its clean twin, the one donor key that proves it. entries: book, ord, text, grades (array<struct<name, grade>>)."""
     own = rows.filter("trim(text) <> ''").select("book", "id", F.coalesce("narrator", F.lit("")).alias("narrator"), F.trim("text").alias("text"))
-    e = entries.select("book", "ord", F.coalesce("text", F.lit("")).alias("text"), "grades").withColumn("key", T.norm_key(F.col("text")))
+    e = materialise(entries.select("book", "ord", F.coalesce("text", F.lit("")).alias("text"), "grades").withColumn("key", T.norm_key(F.col("text"))), "grade-entries")
     whole = _grades_of(own.select("book", "id", T.norm_key(F.concat_ws(" ", "narrator", "text")).alias("key")), e, radius)
     rest = own.join(whole.select("book", "id"), ["book", "id"], "left_anti")
     text_only = _grades_of(rest.select("book", "id", T.norm_key(F.col("text")).alias("key")), e, radius)

@@ -130,10 +130,11 @@ def script_flags(spark, d):
     return _docs(spark, d).select("doc_id", T.is_arabic(t).alias("arabic"), (F.regexp_replace(F.lower("text"), "[^a-z]", "") == "").alias("no_latin"))
 
 
-@query("""WITH v AS (SELECT doc_id, (doc_id % 97) + (doc_id % 3) / 10.0 AS x FROM documents)
-SELECT doc_id, CAST(CASE WHEN x = floor(x) THEN x ELSE 1000 + round(x * 10) END AS INTEGER) AS chapter FROM v""")
+@query("""WITH v AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN n_chars / 10.0 END AS x FROM documents)
+SELECT doc_id, CAST(CASE WHEN x IS NULL THEN 0 WHEN x = floor(x) THEN x ELSE 1000 + round_even(x * 10, 0) END AS INTEGER) AS chapter FROM v""")
 def chapter_numbers(spark, d):
-    return _docs(spark, d).select("doc_id", M.chapter_number(((F.col("doc_id") % 97) + (F.col("doc_id") % 3) / 10).cast("string")).alias("chapter"))
+    written = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("chapter "), "text")).otherwise((F.col("n_chars") / 10).cast("string"))
+    return _docs(spark, d).select("doc_id", M.chapter_number(written).alias("chapter"))
 
 
 @query("SELECT o_orderkey, CAST(o_orderkey AS INTEGER) AS base, CAST(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 26 + 1 END AS INTEGER) AS suffix FROM orders")
@@ -155,12 +156,20 @@ def grade_parse(spark, d):
     return _t(spark, d, "customer").select("c_custkey", M.parse_grade(raw).alias("g")).select("c_custkey", "g.name", "g.grade")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN o_custkey::VARCHAR ELSE o_orderkey || 'b' END AS citation FROM orders")
+@query("SELECT doc_id, CASE WHEN doc_id % 8 IN (0, 2, 6) THEN NULL WHEN doc_id % 8 = 3 THEN n_chars || 'b' ELSE n_chars::VARCHAR END AS citation FROM documents")
 def citation_parse(spark, d):
-    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
-    slug = F.when(k % 4 == 0, "malik").when(k % 4 == 1, "darimi").otherwise("muslim")
-    raw = F.concat(F.lit("Reference : Book "), k.cast("string"), F.lit(" b In-book reference : Book 7, Hadith 9 Arabic reference : Book 2, Hadith "), c)
-    return _t(spark, d, "orders").select("o_orderkey", M.parse_citation(slug, raw).alias("citation"))
+    i, n = F.col("doc_id") % 8, F.col("n_chars").cast("string")
+    slug = F.when(i == 0, "malik").when(i.isin(1, 2), "darimi").when(i == 5, "aladab_almufrad").otherwise("muslim")
+    line = (
+        F.when(i == 1, F.concat(F.lit("Reference : Book 3, Hadith 4\nArabic reference : Book 2, Hadith "), n))
+        .when(i == 2, F.concat(F.lit("Reference : Book 3, Hadith "), n))
+        .when(i.isin(0, 3), F.concat(F.lit("Reference : The Book "), n, F.lit(" b In-book reference : Book 7, Hadith 9")))
+        .when(i == 4, F.concat(F.lit("Reference : The Book "), n, F.lit("\nEnglish translation : Vol. 1, Hadith 5")))
+        .when(i == 5, F.concat(F.lit("Reference : none\nIn-book reference : Book 1, Hadith 2\nArabic/English book reference : Book 5, Hadith "), n))
+        .when(i == 6, F.concat(F.lit("Book 5, Hadith "), n))
+        .otherwise(F.concat(F.lit("Reference : "), n, F.lit(" a1b")))
+    )
+    return _docs(spark, d).select("doc_id", M.parse_citation(slug, F.concat(F.substring("text", 1, 60), F.lit(" "), line)).alias("citation"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Sahih ' || doc_id WHEN doc_id % 3 = 1 THEN 'Hasan ' || doc_id ELSE 'Its isnad is ' || doc_id END AS grade, doc_id % 3 <> 1 AS artifact FROM documents")

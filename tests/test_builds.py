@@ -232,3 +232,31 @@ def test_encyclopedias_are_written_by_slug(spark, tmp_path):
     assert {r["slug"] for r in made} == {"a", "b"}
     assert sorted(map(tuple, C.read_entries(spark, str(tmp_path)).select(*entries.columns).collect()), key=lambda r: r[:2]) == rows
     assert sorted(tuple(r) for r in C.read_entries(spark, str(tmp_path), "tree").filter("slug = 'b'").select(*tree.columns).collect()) == nodes[3:]
+
+
+def test_catalogue_books_and_donor_a_from_files(spark, tmp_path):
+    (tmp_path / "catalog.json").write_text(json.dumps({"version": 1, "books": [{"slug": "b", "number": 2, "aliases": ["bb"], "chapters": 1, "hadiths": 2}, {"slug": "a", "number": 1}, {"slug": "none", "number": 3}]}))
+    catalog = S.read_catalog(spark, str(tmp_path / "catalog.json"))
+    assert [(r["slug"], r["number"], r["aliases"]) for r in catalog.orderBy("number").collect()] == [("a", 1, None), ("b", 2, ["bb"]), ("none", 3, None)]
+    english = lambda t: {"narrator": "N", "text": t}
+    for slug, ids in (("a", [7, 8]), ("b", [1, 1, 2])):
+        book = {"id": 1, "chapters": [{"id": 1.0}, {"id": 8.2}], "hadiths": [{"id": i, "idInBook": i, "chapterId": 8.2, "citation": f"{i}a", "arabic": "ع", "english": english(f"t{n}")} for n, i in enumerate(ids)]}
+        (tmp_path / "books").mkdir(exist_ok=True)
+        (tmp_path / "books" / f"{slug}.json").write_text(json.dumps(book, ensure_ascii=False))
+    books = S.read_books(spark, str(tmp_path / "books"))
+    rows = S.records(books)
+    assert [(r["position"], r["slug"], r["text"]) for r in S.in_catalog_order(rows, catalog).orderBy("position").collect()] == [(0, "a", "t0"), (1, "a", "t1"), (2, "b", "t0"), (3, "b", "t1"), (4, "b", "t2")]
+    first = S.row_for(rows, "b", 1).first()
+    assert (first["row"], first["chapter"], first["citation_base"], first["citation_suffix"]) == (0, 1082, 1, 1)
+    assert S.of_chapter(rows, "b", 1082).count() == 3 and S.of_chapter(rows, "b", 1).count() == 0
+    S.write_book_json(books, str(tmp_path / "out"))
+    again = spark.read.text(f"{tmp_path}/out/slug=b").first()["value"]
+    assert json.loads(again)["hadiths"][0]["arabic"] == "ع" and json.loads(again)["chapters"][1]["id"] == 8.2
+    entry = lambda n, t, *g: {"hadithnumber": n, "text": t, "grades": [{"name": a, "grade": b} for a, b in g]}
+    long = "a text that is long enough to tell " * 2
+    (tmp_path / "donor").mkdir()
+    (tmp_path / "donor" / "a.json").write_text(json.dumps({"hadiths": [entry(1, "x", (" N ", " Sahih "), ("M", " ")), entry(2, "  "), entry(3, long), entry(4, long + "b"), entry(5, long + "B.")]}))
+    donor = S.read_donor_a(spark, str(tmp_path / "donor"))
+    got = {r["position"]: (r["hadithnumber"], [tuple(g) for g in r["grades"]]) for r in donor.collect()}
+    assert got[0] == ("1", [("N", "Sahih")]) and set(got) == {0, 2, 3, 4}
+    assert [r["number"] for r in S.donor_numbers(donor).collect()] == [3]
