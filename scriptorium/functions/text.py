@@ -7,16 +7,23 @@ from pyspark.sql import functions as F
 
 # Fixed values of the search folds and of the matching keys.
 WHITE_SPACE = r"\t\n\x0B\f\r\x{85}\x{2028}\x{2029} \x{A0}\x{1680}\x{202F}\x{205F}\x{3000}\x{2000}-\x{200A}"
-ARABIC_FROM = "\u0670\u0671\u0623\u0625\u0622\u0672\u0673\u0675\u0624\u0626\u0676\u0677\u0678\u06e5\u06e6\u0649\u0629\u0621\u0674"
-ARABIC_TO = "\u0627\u0627\u0627\u0627\u0627\u0627\u0627\u0627\u0648\u064a\u0648\u0648\u064a\u0648\u064a\u0627\u0647"
+ARABIC_FROM = "ٰٱأإآٲٳٵؤئٶٷٸۥۦىةءٴ"
+ARABIC_TO = "ااااااااويوويوياه"
 ARABIC_SCRIPT = r"[\x{600}-\x{6FF}\x{750}-\x{77F}\x{8A0}-\x{8FF}]"
 ARABIC_SIGNS = r"[\x{64B}-\x{65F}\x{6D6}-\x{6ED}\x{670}\x{674}]"
 MATCH_MARKS = r"[\x{610}-\x{61A}\x{64B}-\x{65F}\x{670}\x{640}\x{6D6}-\x{6ED}]"
-MATCH_FROM, MATCH_TO = "\u0623\u0625\u0622\u0671\u0649\u0629\u0624\u0626\u0621", "\u0627\u0627\u0627\u0627\u0627\u0647\u0648\u064a"
+MATCH_FROM, MATCH_TO = "أإآٱىةؤئء", "اااااهوي"
 HONORIFICS = "maytheblessingsandpeaceofallahbeuponhim|peaceandblessingsofallahbeuponhim|mayallahbepleasedwithhim|pbuh|saw|onwhombepeace|peacebeuponhim|chapter|verse"
-BLESSING = "\ufdfa"
-SPELLED_BLESSING = "\u0635\u0644\u0649\\s+\u0627\u0644\u0644\u0647\\s+\u0639\u0644\u064a\u0647\\s+\u0648\\s*\u0633\u0644\u0645"
+BLESSING = "ﷺ"
+SPELLED_BLESSING = "صلى\\s+الله\\s+عليه\\s+و\\s*سلم"
 MAX_PAIRS = 12
+TIDY = [
+    (rf"\(\s*{BLESSING}\s*\)\s*{BLESSING}", BLESSING),
+    (rf"{BLESSING}\s*\(\s*{BLESSING}\s*\)", BLESSING),
+    (SPELLED_BLESSING, BLESSING),
+    (rf"\(\s*{BLESSING}\s*\)", f"({BLESSING})"),
+    ("[ \t]{2,}", " "),
+]
 
 
 def fold_english(s: Column) -> Column:
@@ -55,11 +62,9 @@ def norm_key(s: Column) -> Column:
 
 
 def tidy(s: Column) -> Column:
-    t = F.regexp_replace(s, rf"\(\s*{BLESSING}\s*\)\s*{BLESSING}", BLESSING)
-    t = F.regexp_replace(t, rf"{BLESSING}\s*\(\s*{BLESSING}\s*\)", BLESSING)
-    t = F.regexp_replace(t, SPELLED_BLESSING, BLESSING)
-    t = F.regexp_replace(t, rf"\(\s*{BLESSING}\s*\)", f"({BLESSING})")
-    return F.regexp_replace(F.regexp_replace(t, "[ \t]{2,}", " "), r"^\s+|\s+$", "")
+    for pattern, new in TIDY:
+        s = F.regexp_replace(s, pattern, new)
+    return F.regexp_replace(s, r"^\s+|\s+$", "")
 
 
 def greedy_strip(s: Column) -> Column:

@@ -21,13 +21,7 @@ _HONORIFICS = re.compile(T.HONORIFICS)
 _OTHER = re.compile("[^a-z0-9]")
 _SPAN = re.compile(r"\[[^\]]*\]")
 _LINE_SPAN = re.compile(r"\[.*\]")
-_TIDY = [
-    (re.compile(rf"\(\s*{T.BLESSING}\s*\)\s*{T.BLESSING}"), T.BLESSING),
-    (re.compile(rf"{T.BLESSING}\s*\(\s*{T.BLESSING}\s*\)"), T.BLESSING),
-    (re.compile(T.SPELLED_BLESSING), T.BLESSING),
-    (re.compile(rf"\(\s*{T.BLESSING}\s*\)"), f"({T.BLESSING})"),
-    (re.compile("[ \t]{2,}"), " "),
-]
+_TIDY = [(re.compile(pattern), new) for pattern, new in T.TIDY]
 _JUNK = {"deletion": " :,-", "grouping": " \t\r\n):;,.-–]"}
 
 

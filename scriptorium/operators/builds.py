@@ -124,6 +124,11 @@ def gate(built: DataFrame, source: DataFrame, keys: list[str], what: str = "the
     refuse(diff(built, source, keys).withColumn("problem", F.when(F.col("l").isNull(), "missing").when(F.col("r").isNull(), "extra").otherwise("changed")).select(*keys, "problem"), what)
 
 
+def shape(rows: DataFrame, group: str, counts: dict[str, Column]) -> DataFrame:
+    """A row for each group, and one with a null group for all: n_rows, and for each name the rows for which its column holds."""
+    return rows.rollup(group).agg(F.count("*").alias("n_rows"), *(F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in counts.items()))
+
+
 def shape_gate(got: DataFrame, want: dict) -> None:
     """Raises unless the one row of counts has the wanted values."""
     row = got.first().asDict()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -172,6 +172,12 @@ def refuse(problems: DataFrame, what: str, shown: int = 20) -> None:
         raise ValueError(f"{what}: " + "; ".join(str(r.asDict()) for r in rows))
 
 
+def key_groups(df: DataFrame, key: Column, id_col: str) -> DataFrame:
+    """(key, n, first) of the keys that several rows share: the MD5 of the key, its rows, and their smallest id. Only hashes
+    are shuffled, and they are counted before."""
+    return df.groupBy(F.md5(key.cast("binary")).alias("key")).agg(F.count("*").alias("n"), F.min(id_col).alias("first")).filter("n > 1")
+
+
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, copies) of the keys that several rows share; nulls are equal. Rows are grouped by two hashes of the keys, of 128
     and 64 bits, which are all that is shuffled for keys that occur once."""

@@ -100,7 +100,7 @@ def norm_key(spark, d):
 
 @query(f"SELECT md5({_norm('text')}) AS key, count(*) AS docs, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
 def norm_duplicate_groups(spark, d):
-    return _docs(spark, d).groupBy(F.md5(T.norm_key(F.col("text")).cast("binary")).alias("key")).agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_id")).filter("docs > 1")
+    return L.key_groups(_docs(spark, d), T.norm_key(F.col("text")), "doc_id").select("key", F.col("n").alias("docs"), F.col("first").alias("first_id"))
 
 
 _SCARRED = "'pre [x] ' || text || ' [y]  post .'"
@@ -268,13 +268,15 @@ def corpus(spark: SparkSession, d: str, fold=T.fold_english) -> R.Corpus:
     return R.Corpus(rows, first, books, lambda hits: O.positions(hits, "book", "doc_id").withColumn("chapter", chapter))
 
 
-def _search_sql(tokens: list[tuple[str, str | None]], phrase: str, fuzzy: dict[str, str] | None = None) -> str:
+def _search_sql(tokens: list[tuple[str, str | None]], phrase: str, fuzzy: dict[str, str] | None = None, variants: dict[str, str] | None = None) -> str:
     n, fuzzy = len(tokens), fuzzy or {}
 
     def hit(i, fold, weight):
         word, stem = tokens[i]
         pad = f"(' ' || translate({fold}, chr(10) || chr(9) || chr(13), '   ') || ' ')"
         out = f"CASE WHEN contains({pad}, ' {word} ') THEN {weight + R.WHOLE_WORD} WHEN contains({fold}, '{word}') THEN {weight} "
+        if other := (variants or {}).get(word):
+            out += f"WHEN contains({pad}, ' {other} ') THEN {weight + R.WHOLE_WORD} WHEN contains({fold}, '{other}') THEN {weight} "
         if stem:
             out += f"WHEN contains({pad}, ' {stem}') THEN {max(1, weight - R.STEM_PENALTY)} "
         if word in fuzzy:
@@ -318,6 +320,11 @@ def ranked_stem(spark, d):
     return R.search(R.parse(spark, "tionings of the"), corpus(spark, d))
 
 
+@query(_search_sql([("theour", None)], "theour", variants={"theour": "theor"}))
+def ranked_variant(spark, d):
+    return R.search(R.parse(spark, "theour"), corpus(spark, d))
+
+
 @query(_search_sql([("thanedbel", None)], "thanedbel", {"thanedbel": "2"}))
 def ranked_typo(spark, d):
     return R.search(R.parse(spark, "thanedbel", _vocabulary(spark, d)), corpus(spark, d))
@@ -357,8 +364,10 @@ def maxsim_search(spark, d):
 
 @query("SELECT source, count(*) AS docs, count(l.doc_id) AS graded, count(*) FILTER (WHERE text <> '') AS with_text, coalesce(sum(toxic), 0)::BIGINT AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY ROLLUP (source)")
 def corpus_shape(spark, d):
-    j = _docs(spark, d).join(_t(spark, d, "labels").withColumnRenamed("doc_id", "labelled"), F.col("doc_id") == F.col("labelled"), "left")
-    return j.rollup("source").agg(F.count("*").alias("docs"), F.count("labelled").alias("graded"), F.count_if(F.col("text") != "").alias("with_text"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
+    labels = _t(spark, d, "labels").withColumnRenamed("doc_id", "labelled")
+    j = _docs(spark, d).select("doc_id", "source", "text").join(labels, F.col("doc_id") == F.col("labelled"), "left")
+    counts = {"graded": F.col("labelled").isNotNull(), "with_text": F.col("text") != "", "toxic": F.col("toxic") == 1}
+    return D.shape(j, "source", counts).withColumnRenamed("n_rows", "docs")
 
 
 @query(f"WITH r AS ({ROWS}) SELECT book, row // 10 AS chapter, min(row) AS first_row, count(*) AS n_rows, max(row) - min(row) + 1 = count(*) AS contiguous FROM r GROUP BY 1, 2")
@@ -571,18 +580,18 @@ def text_edges(spark, d):
 _MARKED = "regexp_replace(translate(text, 'aeio', chr(1576) || chr(1603) || chr(1587) || chr(1604)), '([' || chr(1576) || chr(1603) || '])', '\\1' || chr(1614) || chr(1617), 'g')"
 
 
-@query(f"SELECT doc_id, translate({_MARKED}, chr(1614) || chr(1617), '') AS letters, list_filter(string_split_regex(translate({_MARKED}, chr(1614) || chr(1617), ''), '[^\\x{{600}}-\\x{{6FF}}]+'), lambda x: x <> '') AS words FROM documents")
+@query(f"SELECT doc_id, translate({_MARKED}, chr(1614) || chr(1617), '') AS letters, array_to_string(list_filter(string_split_regex(translate({_MARKED}, chr(1614) || chr(1617), ''), '[^\\x{{600}}-\\x{{6FF}}]+'), lambda x: x <> ''), ' ') AS words FROM documents")
 def arabic_skeletons(spark, d):
     marked = F.regexp_replace(F.translate("text", "aeio", "بكسل"), "([بك])", "$1َّ")
-    return _docs(spark, d).select("doc_id", A.skeleton(marked).alias("letters"), A.arabic_words(marked).alias("words"))
+    return _docs(spark, d).select("doc_id", A.skeleton(marked).alias("letters"), F.array_join(A.arabic_words(marked), " ").alias("words"))
 
 
-@query("SELECT doc_id, [x FOR x IN [lang, text, source, 'n' || n_chars] IF x IS NOT NULL] AS leaves, regexp_replace(replace(' ' || chr(13) || chr(10) || text || chr(13), chr(13) || chr(10), chr(10)), '^\\s+|\\s+$', '', 'g') AS body FROM documents")
+@query("SELECT doc_id, array_to_string([x FOR x IN [lang, text, source, 'n' || n_chars] IF x IS NOT NULL], '|') AS leaves, regexp_replace(replace(' ' || chr(13) || chr(10) || text || chr(13), chr(13) || chr(10), chr(10)), '^\\s+|\\s+$', '', 'g') AS body FROM documents")
 def nested_texts(spark, d):
     tree = F.struct(F.struct("lang", F.array("text", "source").alias("texts")).alias("a"), F.col("doc_id"), F.create_map(F.lit("k"), F.concat(F.lit("n"), F.col("n_chars").cast("string"))).alias("m"))
     df = _docs(spark, d).select("doc_id", tree.alias("tree"), F.struct(F.array(F.concat(F.lit(" \r\n"), "text", F.lit("\r"))).alias("x")).alias("s"))
     clean = Y.cleaned(df.select("doc_id", "s")).select(F.col("doc_id").alias("id"), F.col("s.x")[0].alias("body"))
-    return df.select("doc_id", Y.string_leaves(F.col("tree"), df.schema["tree"].dataType).alias("leaves")).join(clean, F.col("doc_id") == F.col("id")).drop("id")
+    return df.select("doc_id", F.array_join(Y.string_leaves(F.col("tree"), df.schema["tree"].dataType), "|").alias("leaves")).join(clean, F.col("doc_id") == F.col("id")).drop("id")
 
 
 @query("SELECT '87ae980f6662910b' AS folds, '364acd6b07a2588f' AS blocked")

@@ -427,3 +427,16 @@ def svec_content(vectors: dict[str, list[float]], items: list[list[str]], keys:
     for item in items:
         out += [struct.pack("<I", len(item)), np.array([place[w] for w in item], f"<u{width}").tobytes()]
     return b"".join(out)
+
+
+def vector_files(vectors: DataFrame, items: DataFrame, revision: int = 0, fingerprint: str = "") -> DataFrame:
+    """(slug, content) of a vector pack for each slug. vectors: slug, word, vector; items: slug, position, key, words, as they
+    are read; keys are left out where any is null. A file is made by one task, as items name words by their place in it."""
+
+    def make(key, words, rows):
+        words, rows = words.sort_values("word"), rows.sort_values("position")
+        keys = rows["key"].tolist() if len(rows) and rows["key"].notna().all() else None
+        content = svec_content(dict(zip(words["word"], words["vector"])), [list(x) for x in rows["words"]], keys, revision, fingerprint)
+        return pd.DataFrame([(key[0], content)], columns=["slug", "content"])
+
+    return vectors.groupBy("slug").cogroup(items.groupBy("slug")).applyInPandas(make, "slug string, content binary")

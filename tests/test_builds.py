@@ -260,3 +260,15 @@ def test_catalogue_books_and_donor_a_from_files(spark, tmp_path):
     got = {r["position"]: (r["hadithnumber"], [tuple(g) for g in r["grades"]]) for r in donor.collect()}
     assert got[0] == ("1", [("N", "Sahih")]) and set(got) == {0, 2, 3, 4}
     assert [r["number"] for r in S.donor_numbers(donor).collect()] == [3]
+
+
+def test_vector_packs_are_written_by_slug(spark, tmp_path):
+    from scriptorium.sources import containers as C
+
+    vectors = spark.createDataFrame([(s, w, v) for s in ("a", "b") for w, v in (("one", [3.0, 4.0]), ("two", [0.0, 2.0]))], "slug string, word string, vector array<double>")
+    items = spark.createDataFrame([("a", 1, "k1", ["two", "one"]), ("a", 0, "k0", []), ("b", 0, None, ["one"])], "slug string, position long, key string, words array<string>")
+    C.write_files(C.vector_files(vectors, items, 7, "ff"), str(tmp_path), ".svec").collect()
+    got = C.read_vectors(spark, str(tmp_path), revision=7, fingerprint="ff").orderBy("slug", "word").collect()
+    assert [(r["slug"], r["word"], [round(x, 2) for x in r["vector"]]) for r in got] == [(s, w, v) for s in ("a", "b") for w, v in (("one", [0.6, 0.8]), ("two", [0.0, 1.0]))]
+    back = C.read_vector_items(spark, str(tmp_path)).orderBy("slug", "position").collect()
+    assert [tuple(r) for r in back] == [("a", 0, "k0", []), ("a", 1, "k1", ["two", "one"]), ("b", 0, None, ["one"])]
