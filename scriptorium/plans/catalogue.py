@@ -594,6 +594,28 @@ def nested_texts(spark, d):
     return df.select("doc_id", F.array_join(Y.string_leaves(F.col("tree"), df.schema["tree"].dataType), "|").alias("leaves")).join(clean, F.col("doc_id") == F.col("id")).drop("id")
 
 
+def _respell_sql(x: str) -> str:
+    for wrong, right in A.spellings():
+        x = f"replace({x}, '{wrong}', '{right}')"
+    return x
+
+
+_LISTED = "list_value(" + ", ".join(f"'{wrong}'" for wrong, _ in A.spellings()) + ")"
+
+
+@query(f"SELECT doc_id, {_respell_sql(f"left(text, 40) || ' ' || {_LISTED}[1 + doc_id % {len(A.spellings())}] || ' ' || {_LISTED}[1 + doc_id * 7 % {len(A.spellings())}]")} AS respelled FROM documents")
+def respelled(spark, d):
+    listed = F.array(*(F.lit(wrong) for wrong, _ in A.spellings()))
+    pick = lambda by: F.element_at(listed, (1 + F.col("doc_id") * by % len(A.spellings())).cast("int"))
+    return _docs(spark, d).select("doc_id", A.respell(F.concat_ws(" ", F.substring("text", 1, 40), pick(1), pick(7))).alias("respelled"))
+
+
+@query("SELECT doc_id, replace(text, ' ', chr(10) || '\"') || 'A' || chr(92) || 'x' AS plain FROM documents")
+def unescaped(spark, d):
+    literal = F.concat(F.replace("text", F.lit(" "), F.lit('\\n\\"')), F.lit("\\u{41}\\\\x"))
+    return _docs(spark, d).select("doc_id", A.unescape(literal).alias("plain"))
+
+
 @query("SELECT '87ae980f6662910b' AS folds, '364acd6b07a2588f' AS blocked")
 def fold_fingerprints(spark, d):
     return spark.range(1).select(T.fold_fingerprint().alias("folds"), T.word_list_fingerprint(F.array(*map(F.lit, BLOCKED))).alias("blocked"))
