@@ -34,6 +34,8 @@ MAGIC = b"RTKV0001"
 #: Text bytes that one range of doc ids should hold, and ids that one shard holds at most (but for a single longer text).
 RANGE_BYTES = 32 << 20
 SHARD_TOKENS = 4 << 20
+#: Ranges whose shards one file of the manifest names.
+RANGES_A_FILE = 4096
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _MASK = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -154,7 +156,8 @@ def write_token_file(docs: DataFrame, out_dir: str, *, id_col: str = "doc_id", t
 
     own = own.withColumn("place", F.monotonically_increasing_id())
     dealt = own.repartitionByRange(n, "doc_id", "place").sortWithinPartitions("doc_id", "place").drop("place")
-    dealt.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
+    # a row for each shard: a file holds the rows of many ranges
+    dealt.mapInArrow(write, MANIFEST).repartition(-(-n // RANGES_A_FILE)).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
 
