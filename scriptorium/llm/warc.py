@@ -37,6 +37,7 @@ from .common import attempt, open_fs, put_file, table, work_dir
 ARCHIVE_BYTES = 32 << 20
 MIN_REVISIT_BYTES = 100
 HEAD_BYTES = 2048
+MANIFEST_FILES = 4
 _GZIP = struct.Struct("<4sIBBH2sHII")
 
 
@@ -99,7 +100,8 @@ def write_warc(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", url_c
             yield flush()
 
     schema = "path string, n_records long, n_bytes long"
-    joined.mapInArrow(write, schema).write.parquet(f"{out_dir}/manifest")
+    # a row for each archive, so a few files hold them all
+    joined.mapInArrow(write, schema).repartition(MANIFEST_FILES).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(schema).parquet(f"{out_dir}/manifest")
 
 
