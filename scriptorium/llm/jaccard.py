@@ -33,7 +33,7 @@ from .common import discard, materialise, slots, table, text_bytes, trim
 
 N, THRESHOLD, RECALL, MAX_HASHES, BLOCK, BLOCK_GRAMS = 5, 0.8, 0.9999, 128, 512, 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
