@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import marks as M
 from ..functions import text as T
 from .boundary import restore_rows, restored
-from .linkage import proof_status, repair_by_key
+from .linkage import proofs, repair_by_key
 
 LOG_KEY = ["book", "id"]
 
@@ -44,13 +44,17 @@ def pass_two(rows: DataFrame, donors: DataFrame, log: DataFrame | None = None, r
     earlier pass has repaired it) or unmatched. rows: book, id, narrator, body; donors: book, ord, clean, a donor being an
     ord; log: book, id. The text of the first donor is taken."""
     own = rows.select("book", "id", F.coalesce("narrator", F.lit("")).alias("narrator"), F.coalesce("body", F.lit("")).alias("body"))
-    own = own.withColumn("key", T.norm_key(F.concat_ws(" ", "narrator", "body")))
+    whole = T.norm_key(F.concat_ws(" ", "narrator", "body"))
     # a donor's texts of a book are a sequence of their own
     of_donor = donors.select(F.struct("book", "ord").alias("book"), "clean")
     kinds = donors.select("book", "ord").distinct()
-    targets = own.select("book", "id", "key").join(kinds, "book").select(F.struct("book", "ord").alias("book"), "id", "key")
-    hits = proof_status(targets, of_donor, radius).filter("status = 'repaired'").select("book.book", "book.ord", "id", "clean")
-    agreed = hits.withColumn("key", T.norm_key(F.col("clean"))).groupBy("book", "id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").cast("int").alias("confirmed_by"), F.min_by("clean", "ord").alias("clean"))
+    targets = own.select("book", "id", whole.alias("key")).join(F.broadcast(kinds), "book").select(F.struct("book", "ord").alias("book"), "id", "key")
+    proved, texts = proofs(targets, of_donor, radius)
+    hits = proved.filter("lo = hi").select("book.book", "book.ord", "id", F.col("lo").alias("key"))
+    agreed = hits.groupBy("book", "id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").cast("int").alias("confirmed_by"), F.min("ord").alias("ord"))
+    # only the texts of donors that agree are fetched
+    texts = texts.select("book.book", "book.ord", F.col("key").alias("lo"), F.col("key").alias("hi"), "clean")
+    agreed = agreed.join(texts, ["book", "ord", "lo", "hi"], "left").drop("ord")
     j = own.join(agreed, ["book", "id"], "left")
     one = F.col("lo") == F.col("hi")
     j = j.withColumn("r", restored(F.when(one, F.col("clean")), F.col("narrator"), F.col("body"), "grouping"))
@@ -58,7 +62,7 @@ def pass_two(rows: DataFrame, donors: DataFrame, log: DataFrame | None = None, r
     if log is not None:
         j = j.join(log.select("book", "id", F.lit(True).alias("logged")).distinct(), ["book", "id"], "left")
         logged = F.col("logged")
-    same = T.norm_key(F.concat_ws(" ", "r.narrator", "r.body")) == F.col("key")
+    same = T.norm_key(F.concat_ws(" ", "r.narrator", "r.body")) == whole
     status = F.when(F.col("lo").isNull(), "unmatched").when(~one, "ambiguous").when(F.col("r.body").isNull(), "unprovable").when(same, "unchanged").when(logged, "logged").otherwise("repaired")
     new = F.col("status") == "repaired"
     return j.withColumn("status", status).select(

@@ -8,12 +8,12 @@ rows: book, row, fold, narrator, text. donors: book, donor (0, 1, ...), fold, en
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..store import materialise
-from .linkage import align_groups, proved_in_window
+from .linkage import Keys, align_groups, fingerprint, proved_in_window
 from .ordered import steady_runs, with_neighbours
 
 PREFIX, LEAST_FOLD = 48, 24
@@ -26,21 +26,36 @@ def fold_tiers(rows: DataFrame, donors: DataFrame) -> DataFrame:
     return p.select("book", "row", "donor", F.when(F.col("n") == 1, "T1").otherwise("T2").alias("tier"))
 
 
-def translation_candidates(rows: DataFrame, donors: DataFrame) -> DataFrame:
-    """(book, row, k, proof, donor, n): donors whose key equals a row's k-th key (0: narrator and text, 1: text), or from
-    which that key can be proved. n counts the donors with the same key; donor is the first of them."""
-    blank = f"^[{T.WHITE_SPACE}]*$"
-    english = donors.filter(~F.col("english").rlike(blank)).select("book", "donor", "english", T.norm_key(F.col("english")).alias("key"))
-    groups = english.groupBy("book", "key").agg(F.min("donor").alias("donor"), F.count("*").alias("n"), F.min_by("english", "donor").alias("clean"))
+def _shortened(rows: DataFrame, donors: DataFrame, save) -> tuple[DataFrame, DataFrame]:
+    """What the tiers need of rows and donors, stored: a digest of each fold ('' if it is empty) and its prefix, and the
+    fingerprints of the texts' keys. Texts are read once for each side and never move."""
+    text, blank = F.coalesce("text", F.lit("")), f"^[{T.WHITE_SPACE}]*$"
+    fold = [F.when(F.col("fold") == "", "").otherwise(T.digest(F.col("fold"))).alias("fold"), F.substring("fold", 1, PREFIX).alias("prefix")]
+    keys = F.array(*(F.struct(*fingerprint(k)) for k in _row_keys()))
+    a = rows.select("book", "row", *fold, text.rlike(blank).alias("blank"), keys.alias("keys"))
+    english = T.norm_key(F.col("english"))
+    b = donors.select("book", "donor", *fold, F.coalesce(F.col("english").rlike(blank), F.lit(True)).alias("blank"), *fingerprint(english), T.grouping_digests(F.col("english")).alias("ways"))
+    return save(a, "rows"), save(b, "donors")
+
+
+def _row_keys() -> list[Column]:
     text = F.coalesce("text", F.lit(""))
-    keys = F.array(T.norm_key(F.concat(F.coalesce("narrator", F.lit("")), F.lit(" "), text)), T.norm_key(text))
-    wanted = rows.filter(~text.rlike(blank)).select("book", "row", F.posexplode(keys).alias("k", "key")).withColumn("id", F.col("row") * 2 + F.col("k"))
-    met = wanted.join(groups.select("book", "key", "donor", "n"), ["book", "key"], "left")
+    return [T.norm_key(F.concat(F.coalesce("narrator", F.lit("")), F.lit(" "), text)), T.norm_key(text)]
+
+
+def translation_candidates(rows: DataFrame, donors: DataFrame, row_keys: Keys, donor_keys: Keys) -> DataFrame:
+    """(book, row, k, proof, donor, n): donors whose key equals a row's k-th key (0: narrator and text, 1: text), or from
+    which that key can be proved. n counts the donors with the same key; donor is the first of them. rows and donors as
+    ``_shortened`` makes them; row_keys and donor_keys as for
+    ``proved_in_window``."""
+    groups = donors.filter("not blank").groupBy("book", "key", "head").agg(F.min("donor").alias("donor"), F.count("*").alias("n"), F.min_by("ways", "donor").alias("ways"))
+    groups = materialise(groups, "english")
+    wanted = rows.filter("not blank").select("book", "row", F.posexplode("keys").alias("k", "x")).select("book", "row", "k", "x.key", "x.head", (F.col("row") * 2 + F.col("k")).alias("id"))
+    met = materialise(wanted.join(groups.select("book", "key", "donor", "n"), ["book", "key"], "left"), "wanted")
     exact = met.filter("n is not null").select("book", "row", "k", F.lit(False).alias("proof"), "donor", "n")
     # a key that several donors share is refused, so it needs no proof
-    open_keys = met.filter("n is null or n = 1").select("book", "id", "key")
-    found = proved_in_window(open_keys.select("book", "id", "key"), groups.select("book", "key", "clean"))
-    found = found.withColumn("given", T.norm_key(F.col("clean"))).select("book", "id", F.col("given").alias("key"))
+    open_keys = met.filter("n is null or n = 1").select("book", "id", "key", "head")
+    found = proved_in_window(open_keys, groups.select("book", "key", "head", "ways"), row_keys, donor_keys).select("book", "id", F.col("given").alias("key"))
     proved = found.join(groups.select("book", "key", "donor", "n"), ["book", "key"]).select("book", F.floor(F.col("id") / 2).alias("row"), (F.col("id") % 2).cast("int").alias("k"), F.lit(True).alias("proof"), "donor", "n")
     return exact.unionByName(proved)
 
@@ -65,9 +80,9 @@ def choose_translations(pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["book", "row", "donor"])
 
 
-def translation_tier(rows: DataFrame, donors: DataFrame) -> DataFrame:
+def translation_tier(rows: DataFrame, donors: DataFrame, row_keys: Keys, donor_keys: Keys) -> DataFrame:
     """T3 of the rows and donors that are still open."""
-    found = translation_candidates(rows, donors).groupBy("book").applyInPandas(choose_translations, PAIRS)
+    found = translation_candidates(rows, donors, row_keys, donor_keys).groupBy("book").applyInPandas(choose_translations, PAIRS)
     return found.withColumn("tier", F.lit("T3"))
 
 
@@ -107,11 +122,11 @@ def choose_prefixes(pairs: pd.DataFrame) -> pd.DataFrame:
 def prefix_tier(rows: DataFrame, pairs: DataFrame, donors: DataFrame) -> DataFrame:
     """T5: open rows whose fold begins as the fold of exactly one free donor between the neighbours' donors does."""
     ends = donors.groupBy("book").agg((F.max("donor") + 1).alias("__stop"))
-    d = rows.select("book", "row", F.substring("fold", 1, PREFIX).alias("p")).join(pairs.select("book", "row", "donor"), ["book", "row"], "left")
+    d = rows.select("book", "row", F.col("prefix").alias("p")).join(pairs.select("book", "row", "donor"), ["book", "row"], "left")
     d = d.withColumn("anchor", F.when(F.col("donor").isNotNull(), F.col("row")))
     d = with_neighbours(d, "book", "row", {"lo": "donor", "gap": "anchor"}, {"hi": "donor"}).filter((F.col("donor").isNull()) & (F.length("p") == PREFIX)).drop("donor", "anchor")
     d = d.join(ends, "book").select("book", "row", "p", F.coalesce("lo", F.lit(-1)).alias("lo"), F.coalesce("hi", "__stop").alias("hi"), F.coalesce("gap", F.lit(-1)).alias("gap"), F.substring("p", 1, LEAST_FOLD).alias("head"))
-    free = donors.join(pairs.select("book", "donor"), ["book", "donor"], "left_anti").select("book", "donor", F.substring("fold", 1, PREFIX).alias("q")).filter(F.length("q") >= LEAST_FOLD)
+    free = donors.join(pairs.select("book", "donor"), ["book", "donor"], "left_anti").select("book", "donor", F.col("prefix").alias("q")).filter(F.length("q") >= LEAST_FOLD)
     met = d.join(free.withColumn("head", F.substring("q", 1, LEAST_FOLD)), ["book", "head"]).filter("startswith(p, q) and donor > lo and donor < hi")
     return met.select("book", "row", "donor", "lo", "hi", "gap").groupBy("book").applyInPandas(choose_prefixes, PAIRS).withColumn("tier", F.lit("T5"))
 
@@ -119,9 +134,14 @@ def prefix_tier(rows: DataFrame, pairs: DataFrame, donors: DataFrame) -> DataFra
 def aligned(rows: DataFrame, donors: DataFrame, save=materialise) -> DataFrame:
     """(book, row, donor, tier) through all tiers; donor and tier are null where nothing matched. ``save(df, name)`` keeps a
     tier's pairs, so that a later tier does not work them out again: by default as a table in the shared folder."""
+    texts, english = rows, donors
+    row_keys = lambda ids: texts.join(ids.select("book", F.floor(F.col("id") / 2).alias("row")).distinct(), ["book", "row"], "left_semi").select("book", F.explode(F.array(*_row_keys())).alias("whole"))
+    rows, donors = _shortened(rows, donors, save)
     equal = save(fold_tiers(rows, donors), "folds")
     open_rows, open_donors = rows.join(equal, ["book", "row"], "left_anti"), donors.join(equal, ["book", "donor"], "left_anti")
-    content = save(equal.unionByName(translation_tier(open_rows, open_donors)), "content")
+    held_donors = lambda held: open_donors.filter("not blank").join(held, ["book", "head"], "left_semi").select("book", "donor")
+    donor_keys = lambda held: english.join(held_donors(held), ["book", "donor"], "left_semi").select("book", T.norm_key(F.col("english")).alias("whole"))
+    content = save(equal.unionByName(translation_tier(open_rows, open_donors, row_keys, donor_keys)), "content")
     runs = steady_runs(content.select("book", "row", "donor")).select("book", "row")
     steady = save(content.join(runs, ["book", "row"], "left_semi"), "steady")
     placed = save(steady.unionByName(position_tier(rows, steady, donors)), "placed")
