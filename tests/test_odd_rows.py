@@ -31,7 +31,7 @@ def odd(spark, small, tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["encyclopedia_build"])
+@pytest.mark.parametrize("name", ["encyclopedia_build", "bracket_proof"])
 def test_odd_rows_equal_sql(spark, odd, name):
     same(spark, odd, catalogue.QUERIES[name], catalogue.ORACLE_SQL[name])
 
