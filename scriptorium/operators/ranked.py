@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import words as W
+from ..store import materialise
 
 # Weights of the scoring.
 TITLE, CITATION, BODY, PHRASE_TITLE, PHRASE_BODY = 12, 7, 3, 60, 25
 WHOLE_WORD, STEM_PENALTY, FUZZY_PENALTY, RELAXED = 6, 2, 5, 40
 FLOOR, FLOOR_SHARE, SEMANTIC_LIMIT = 0.38, 0.85, 20
+#: Up to so many vectors their cosines, under 100 bytes each, are sent to all executors.
+BROADCAST_VECTORS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -132,23 +135,38 @@ def contiguous_scan(rows: DataFrame, folded: str, fold_col: str = "body_fold") -
     return rows.filter(F.col(fold_col).contains(folded))
 
 
-def max_sim(items: DataFrame, vectors: DataFrame, query_words: list[str], limit: int = SEMANTIC_LIMIT) -> DataFrame:
+def max_sim(items: DataFrame, vectors: DataFrame, query_words: list[str], limit: int = SEMANTIC_LIMIT, slot: Callable[[Column], Column] | None = None) -> DataFrame:
     """position, score of the items nearest in meaning: for each query word the best cosine over an item's words, then the
-    mean. items: position, words; vectors: word, vector (zero vectors are dropped). Cosines are worked out once a word, and
-    the best limit items are taken before the floor, which follows from the first of them."""
-    found = vectors.filter(F.col("word").isin(query_words)).select("word", "vector").collect()  # one for each query word
+    mean. items: position, words; vectors: word, vector (zero vectors are dropped). Where words share vectors, slot makes of a
+    word what vectors has as word; then only query words that some item holds are asked for. Cosines are worked out once a
+    vector and go to the items' words, which are shuffled only where there are more vectors than BROADCAST_VECTORS; the best
+    limit items are taken before the floor, which follows from the first of them."""
+    spark, key = items.sparkSession, slot or (lambda w: w)
+    places = spark.range(1).select(*(key(F.lit(w)).alias(f"k{i}") for i, w in enumerate(query_words))).first()
+    found = vectors.filter(F.col("word").isin(*set(places))).select("word", "vector").collect()  # one for each query word
     known = {}
     for r in found:
         length = math.sqrt(sum(float(x) ** 2 for x in r["vector"]))
         if length > 0:
-            known |= {q: [float(x) / length for x in r["vector"]] for q, w in enumerate(query_words) if w == r["word"]}
+            known |= {q: [float(x) / length for x in r["vector"]] for q, w in enumerate(places) if w == r["word"]}
+    nothing = items.limit(0).select("position", F.lit(0.0).alias("score"))
     if not known:
-        return items.limit(0).select("position", F.lit(0.0).alias("score"))
+        return nothing
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     v = vectors.select("word", F.col("vector").cast("array<double>").alias("v")).withColumn("n", F.sqrt(dot(F.col("v"), F.col("v")))).filter("n > 0")
     cosines = v.select("word", *((dot(F.col("v"), F.lit(q)) / F.col("n")).alias(f"c{i}") for i, q in sorted(known.items())))
-    pairs = items.select("position", F.explode(F.array_distinct("words")).alias("word")).join(cosines, "word")
-    per = pairs.groupBy("position").agg(*(F.max(f"c{q}").alias(f"c{q}") for q in known))
+    cosines = materialise(cosines, "cosines")
+    few = cosines.count() <= BROADCAST_VECTORS
+    words = items.select("position", F.explode(F.array_distinct("words")).alias("word"))
+    held = [(F.col("word") == query_words[q]).alias(f"h{q}") for q in known if slot]
+    pairs = words.select("position", key(F.col("word")).alias("word"), *held).join(F.broadcast(cosines) if few else cosines, "word")
+    per = pairs.groupBy("position").agg(*(F.max(f"c{q}").alias(f"c{q}") for q in known), *(F.max(f"h{q}").alias(f"h{q}") for q in known if slot))
+    if slot:
+        per = materialise(per, "best-cosines")  # a few numbers an item: the texts are read once
+        held = per.agg(*(F.max(f"h{q}").alias(f"h{q}") for q in known)).first()
+        known = {q: x for q, x in known.items() if held[f"h{q}"]}
+        if not known:
+            return nothing
     scored = per.select("position", (sum(F.col(f"c{q}") for q in known) / len(known)).alias("score"))
     top = scored.orderBy(F.desc("score"), "position").limit(limit)
     best = F.max("score").over(Window.orderBy(F.desc("score")))  # over limit rows at most
