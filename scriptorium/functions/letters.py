@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -122,10 +121,9 @@ def spelling_report(texts: DataFrame, text_col: str) -> DataFrame:
     return met.groupBy("word", "expected").agg(F.max_by(F.when(F.col("n").isNotNull(), F.col("spelled")), order).alias("best"), F.coalesce(F.max("n"), F.lit(0)).alias("n"))
 
 
-@F.pandas_udf(StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    """Composed form: the engine has no function for it."""
-    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+def nfc(s: Column) -> Column:
+    """Composed form, by the ICU library that the engine uses for its collations; so no text goes to Python."""
+    return F.when(s.isNotNull(), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), s, F.lit(False)))
 
 
 def skeleton(s: Column) -> Column:
