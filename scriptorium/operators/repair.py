@@ -7,26 +7,28 @@ from pyspark.sql import functions as F
 
 from ..functions import marks as M
 from ..functions import text as T
-from .boundary import restore_rows, restored
-from .linkage import proofs, repair_by_key
+from .boundary import restored
+from .linkage import matched_by_key, proofs
 
 LOG_KEY = ["book", "id"]
 
 
 def pass_one(rows: DataFrame, donors: DataFrame) -> DataFrame:
     """rows with narrator and body repaired where a donor, with its brackets deleted line by line, is the row; status is
-    repaired, unprovable, ambiguous, unchanged or unmatched; scarred, before and narrator_folded tell the rest.
-    rows: book, id, narrator, body; donors: book, ord, body. Rows are told apart by (book, id)."""
-    own = rows.select("book", "id", F.coalesce("narrator", F.lit("")).alias("narrator"), F.coalesce("body", F.lit("")).alias("body"))
-    key = F.struct("book", "id")
-    whole = F.concat_ws(" ", "narrator", "body")
-    found = repair_by_key(own.select(key.alias("id"), F.col("book").alias("group"), whole.alias("body")), donors.select(F.col("book").alias("group"), "ord", "body"), "group")
-    hits = found.filter("status = 'repaired'").select("id", F.col("repaired").alias("clean"))
-    done = restore_rows(own.select(key.alias("id"), "narrator", "body"), hits, "deletion").withColumnRenamed("status", "restored")
-    out = done.join(found.select("id", "status"), "id")
-    status = F.when(F.col("status") != "repaired", F.col("status")).otherwise(F.col("restored"))
-    old = F.coalesce("before", "body")
-    return out.select("id.book", "id.id", "narrator", "body", status.alias("status"), T.looks_scarred(old).alias("scarred"), "before", "narrator_folded")
+    repaired, ambiguous, unchanged or unmatched; scarred, before and narrator_folded tell the rest.
+    rows: book, id, narrator, body; donors: book, ord, body. Each row is matched once, whatever else has its (book, id), and
+    one whose body is null meets no donor.
+    The match of keys is the proof that ``restored`` asks for, so no repaired row is unprovable, and statuses need no text."""
+    key = F.when(F.col("body").isNotNull(), T.digest(T.norm_key(F.concat_ws(" ", "narrator", "body"))))
+    own = rows.select("book", "id", F.coalesce("narrator", F.lit("")).alias("narrator"), F.coalesce("body", F.lit("")).alias("body"), key.alias("key"))
+    old = F.col("body")
+    found = matched_by_key(own.select("*", T.looks_scarred(old).alias("scarred")), donors.select("book", "ord", "body"), ["book"])
+    new = F.col("status") == "repaired"
+    found = found.withColumn("r", restored(F.col("repaired"), F.when(new, F.col("narrator")), F.when(new, old), "deletion"))
+    return found.select(
+        "book", "id", F.when(new, F.col("r.narrator")).otherwise(F.col("narrator")).alias("narrator"), F.when(new, F.col("r.body")).otherwise(old).alias("body"), "status",
+        "scarred", F.when(new, old).alias("before"), F.when(new, F.col("r.folded")).alias("narrator_folded"),
+    )
 
 
 def pass_one_stats(repaired: DataFrame) -> DataFrame:
